@@ -1,0 +1,25 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is only broadcast when it provably holds at most this many rows;
+# past the bound the join stays a shuffle join (and AQE may still switch it
+# to a broadcast join once the real shuffle size is known).
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads no more than ``max_rows + 1`` rows (the limit is pushed into every
+    task), so the check stays cheap when the answer is "too big".
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if its row count is within the bound, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
