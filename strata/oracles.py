@@ -13,14 +13,25 @@ from .queries import MIN_SITES, PARTITION_YEAR, ROW_CAP, TOP_K
 from .sources.fixtures import LANDING_HEADERS, READINGS_SQL
 
 E, S = "total_energie_soutiree_wh", "nb_points_soutirage"
+
+
+def R(x: str, d: int) -> str:
+    """Spark's round: half-up on the decimal form of the double."""
+    return f"CAST(round(CAST(({x}) AS DECIMAL(38,10)), {d}) AS DOUBLE)"
+
+
+def RE(x: str, d: int) -> str:
+    """Spark's bround: half-even on the decimal form of the double."""
+    return f"CAST(round_even(CAST(({x}) AS DECIMAL(38,10)), {d}) AS DOUBLE)"
+
 READING_COLS = ["region", "horodate", "profil", E, S]
 
 CATEGORY = scoring.categorize_sql(E)
 SCORE = (f"CASE WHEN {E} IS NOT NULL AND {S} IS NOT NULL AND {S} <> 0 THEN "
-         f"least({scoring.NORMALISED_CAP!r}, round_even({E} / {S} / {scoring.NORMALISED_DIVISOR!r}"
-         f" * 10.0, 0) / 10.0) END")
+         f"least({scoring.NORMALISED_CAP!r}, "
+         f"{RE(f'{E} / {S} / {scoring.NORMALISED_DIVISOR!r} * 10.0', 0)} / 10.0) END")
 EMISSION = (f"CASE WHEN {E} IS NOT NULL AND {S} IS NOT NULL AND {S} <> 0 THEN "
-            f"round({E} / 1000.0 * {scoring.EMISSION_FACTOR!r} / {S}, 2) END")
+            f"{R(f'{E} / 1000.0 * {scoring.EMISSION_FACTOR!r} / {S}', 2)} END")
 YEAR = "CAST(year(horodate) AS INTEGER)"
 
 READINGS = f"readings AS ({READINGS_SQL})"
@@ -64,7 +75,7 @@ def _dq(rel: str, columns: list[str], numeric: list[str], rows_are_distinct: boo
     total = f"(SELECT count(*) FROM {rel})"
     pct = f"CASE WHEN {total} > 0 THEN metric_count / {total} * 100.0 ELSE 0.0 END"
     return (f"SELECT check_name, column_name, CAST(metric_count AS BIGINT) AS metric_count, "
-            f"CASE WHEN check_name = '{quality.NULL_CHECK}' THEN round_even({pct}, 2) END AS metric_pct, "
+            f"CASE WHEN check_name = '{quality.NULL_CHECK}' THEN {RE(pct, 2)} END AS metric_pct, "
             f"CASE WHEN check_name = '{quality.NULL_CHECK}' THEN "
             f"  CASE WHEN {pct} = 0 THEN 'PASS' WHEN {pct} < {quality.NULL_FAIL_PCT!r} THEN 'WARNING' ELSE 'FAIL' END "
             f" WHEN check_name = '{quality.DUPLICATE_CHECK}' THEN "
@@ -75,35 +86,35 @@ def _dq(rel: str, columns: list[str], numeric: list[str], rows_are_distinct: boo
 
 # --- KPI building blocks ---------------------------------------------------------
 
-K1 = (f"k1 AS (SELECT region, annee, round(sum({E}), 2) AS energy_total, round(avg({E}), 2) AS energy_mean, "
+K1 = (f"k1 AS (SELECT region, annee, {R(f'sum({E})', 2)} AS energy_total, {R(f'avg({E})', 2)} AS energy_mean, "
       f"count(*) AS n_records, CAST(sum({S}) AS BIGINT) AS sites_total, "
-      f"round(CASE WHEN sum({S}) > 0 THEN round(sum({E}), 2) / sum({S}) END, 2) AS energy_per_site "
+      f"{R(f'CASE WHEN sum({S}) > 0 THEN {R(f'sum({E})', 2)} / sum({S}) END', 2)} AS energy_per_site "
       f"FROM silver GROUP BY region, annee)")
 K2 = (f"k2g AS (SELECT annee, sum({E}) AS t, count(*) AS n_records FROM silver GROUP BY annee),\n"
-      f"k2s AS (SELECT annee, round(t, 2) AS energy_total, n_records, round(t / 1000000.0, 4) AS energy_scaled FROM k2g),\n"
+      f"k2s AS (SELECT annee, {R('t', 2)} AS energy_total, n_records, {R('t / 1000000.0', 4)} AS energy_scaled FROM k2g),\n"
       f"k2l AS (SELECT *, lag(energy_scaled) OVER (ORDER BY annee) AS prev FROM k2s),\n"
       f"k2 AS (SELECT annee, energy_total, n_records, energy_scaled, "
-      f"round(CASE WHEN prev IS NOT NULL AND prev <> 0 THEN (energy_scaled - prev) / prev * 100.0 END, 2) AS yoy_pct "
+      f"{R('CASE WHEN prev IS NOT NULL AND prev <> 0 THEN (energy_scaled - prev) / prev * 100.0 END', 2)} AS yoy_pct "
       f"FROM k2l)")
 
 
 def _k3(cat: str) -> str:
-    return (f"k3g AS (SELECT {cat}, count(*) AS n_records, round(sum({E}), 2) AS energy_total FROM silver GROUP BY {cat}),\n"
-            f"k3 AS (SELECT *, round(CASE WHEN sum(energy_total) OVER () <> 0 THEN "
-            f"energy_total / sum(energy_total) OVER () * 100.0 END, 2) AS pct_of_total FROM k3g)")
+    share = R("CASE WHEN sum(energy_total) OVER () <> 0 THEN energy_total / sum(energy_total) OVER () * 100.0 END", 2)
+    return (f"k3g AS (SELECT {cat}, count(*) AS n_records, {R(f'sum({E})', 2)} AS energy_total FROM silver GROUP BY {cat}),\n"
+            f"k3 AS (SELECT *, {share} AS pct_of_total FROM k3g)")
 
 
-K4 = (f"k4g AS (SELECT region, round(sum({E}), 2) AS energy_total, CAST(sum({S}) AS BIGINT) AS sites_total "
+K4 = (f"k4g AS (SELECT region, {R(f'sum({E})', 2)} AS energy_total, CAST(sum({S}) AS BIGINT) AS sites_total "
       f"FROM silver WHERE annee = (SELECT max(annee) FROM silver) GROUP BY region),\n"
       f"k4 AS (SELECT *, CAST(rank() OVER (ORDER BY energy_total DESC NULLS LAST) AS INTEGER) AS ranking FROM k4g)")
 
 
 def _fixed(x: str, d: int) -> str:
-    return f"CAST(CAST(round({x}, {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
+    return f"CAST(CAST({R(x, d)} AS DECIMAL(38,{d})) AS VARCHAR)"
 
 
 def _totals(by: str) -> str:
-    return f"t AS (SELECT {by}, round(sum({E}), 2) AS energy_total FROM (SELECT *, {YEAR} AS annee FROM readings) r GROUP BY {by})"
+    return f"t AS (SELECT {by}, {R(f'sum({E})', 2)} AS energy_total FROM (SELECT *, {YEAR} AS annee FROM readings) r GROUP BY {by})"
 
 
 BN = "energy_total / 1000000000.0"
@@ -196,8 +207,8 @@ def oracle_sql() -> dict[str, str]:
         "lag_previous_period": _with(READINGS, _totals("annee"))
             + "SELECT annee, energy_total, lag(energy_total) OVER (ORDER BY annee) AS previous_total FROM t",
         "share_of_total": _with(READINGS, _totals("region"))
-            + "SELECT region, energy_total, round(CASE WHEN sum(energy_total) OVER () <> 0 THEN "
-              "energy_total / sum(energy_total) OVER () * 100.0 END, 2) AS pct_of_total FROM t",
+            + "SELECT region, energy_total, " + R("CASE WHEN sum(energy_total) OVER () <> 0 THEN "
+              "energy_total / sum(energy_total) OVER () * 100.0 END", 2) + " AS pct_of_total FROM t",
         "rank_desc": _with(READINGS, _totals("region"))
             + "SELECT region, energy_total, CAST(rank() OVER (ORDER BY energy_total DESC NULLS LAST) AS INTEGER)"
               " AS ranking FROM t",
