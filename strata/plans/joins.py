@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,16 +12,44 @@ from pyspark.sql import functions as F
 # to a broadcast join once the real shuffle size is known).
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
+# Outcome of earlier checks, keyed by canonical plan and input files. Spark
+# writes new part-file names on every overwrite, so changed inputs miss.
+_checked: dict[tuple, bool] = {}
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads no more than ``max_rows + 1`` rows (the limit is pushed into every
-    task), so the check stays cheap when the answer is "too big".
+def _key(df: DataFrame, max_rows: int) -> tuple:
+    try:
+        files = tuple(sorted(df.inputFiles()))
+    except Exception:  # noqa: BLE001 - plans without file inputs
+        files = None
+    return df.semanticHash(), files, max_rows
+
+
+def rows_within(checks: list[tuple[DataFrame, int]]) -> list[bool]:
+    """For each (frame, bound): does the frame hold at most ``bound`` rows?
+
+    All unanswered checks run as one Spark job; each reads at most
+    ``bound + 1`` rows (the limit is pushed into every task).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    keys = [_key(df, n) for df, n in checks]
+    pending = [(i, df, n) for i, ((df, n), k) in enumerate(zip(checks, keys)) if k not in _checked]
+    if pending:
+        parts = [df.limit(n + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+                 for i, df, n in pending]
+        counts = {r["i"]: r["n"] for r in reduce(DataFrame.unionByName, parts).collect()}
+        for i, _, n in pending:
+            _checked[keys[i]] = counts[i] <= n
+    return [_checked[k] for k in keys]
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return rows_within([(df, max_rows)])[0]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if its row count is within the bound, else ``df``."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def hint_if(df: DataFrame, ok: bool) -> DataFrame:
+    return F.broadcast(df) if ok else df

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_broadcast
+from ..plans.joins import DEFAULT_BROADCAST_MAX_ROWS, hint_if, rows_within
 from ..session import scratch_path
 from ..spec import DatasetSpec
 from .delimited import write_delimited
@@ -21,33 +21,64 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Schemas of the test tables this package reads, as Spark
+# reads them. An explicit schema spares a footer-reading job per scan.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(s_suppkey, region) through nation and region.
+DIMENSION_MAX_ROWS = 10_000
 
-    nation and region are tiny dimension tables; each is broadcast only
-    after its row count was checked. The supplier side is checked before
-    the reading join does the same.
-    """
+
+def _geo_parts(spark: SparkSession, sf_dir: str):
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nation_region = nation.join(bounded_broadcast(region, 10_000),
-                                F.col("n_regionkey") == F.col("r_regionkey"))
     supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return (supplier.join(bounded_broadcast(nation_region, 10_000),
-                          F.col("s_nationkey") == F.col("n_nationkey"))
+    return nation, region, supplier
+
+
+def _geo(nation, region, supplier, hints=(False, False)):
+    nation_region = nation.join(hint_if(region, hints[0]), F.col("n_regionkey") == F.col("r_regionkey"))
+    return (supplier.join(hint_if(nation_region, hints[1]), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", F.col("r_name").alias("region")))
 
 
+def supplier_regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
+    """(s_suppkey, region) through nation and region, and whether it may be broadcast.
+
+    Each dimension is broadcast only when its row count is proven within a
+    bound; the three checks run as one small job (and are remembered).
+    """
+    nation, region, supplier = _geo_parts(spark, sf_dir)
+    plain_nr = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    ok_region, ok_nr, ok_geo = rows_within([
+        (region, DIMENSION_MAX_ROWS), (plain_nr, DIMENSION_MAX_ROWS),
+        (_geo(nation, region, supplier), DEFAULT_BROADCAST_MAX_ROWS)])
+    return _geo(nation, region, supplier, (ok_region, ok_nr)), ok_geo
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(region, horodate, profil, total_energie_soutiree_wh, nb_points_soutirage)."""
     li = load(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_quantity")
-    geo = bounded_broadcast(supplier_regions(spark, sf_dir))
-    return (li.join(geo, F.col("l_suppkey") == F.col("s_suppkey"))
+    geo, small = supplier_regions(spark, sf_dir)
+    return (li.join(hint_if(geo, small), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 F.col("region"),
                 F.col("l_shipdate").alias("horodate"),
