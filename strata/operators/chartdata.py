@@ -48,6 +48,10 @@ def chart_region_year_matrix(kpi: DataFrame, region: str = "region", year: str =
 
     Rows with a NULL region or year are left out; rows are ordered by the sum
     of their year columns (missing cells count as 0), largest first.
+
+    Without ``years`` the pivot first runs a job for the distinct years of
+    its input, so pass a stored KPI table (as the Gold layer writes it) or
+    the list of years, not a lazy aggregation over the full data.
     """
     keyed = kpi.filter(F.col(region).isNotNull() & F.col(year).isNotNull())
     wide = keyed.groupBy(region).pivot(year, years).agg(F.avg(F.col(value)))

@@ -131,6 +131,8 @@ def oracle_sql() -> dict[str, str]:
         "row_cap": f"SELECT CAST(least(count(*), {ROW_CAP}) AS BIGINT) AS n_rows FROM lineitem",
         "ingest_audit_columns": r + "SELECT *, 'readings' AS source_dataset, "
             "'Energy readings per region and period (test tables)' AS source_description FROM readings",
+        "ingest_stream_available_now": r + "SELECT *, 'readings' AS source_dataset, "
+            "'Energy readings per region and period (test tables)' AS source_description FROM readings",
         "table_overwrite_roundtrip": "SELECT *, 'v2' AS version FROM customer",
         "partitioned_write_pruned_read": f"SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year "
             f"FROM orders WHERE year(o_orderdate) = {PARTITION_YEAR}",
