@@ -56,6 +56,36 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Scratch folders and databases handed out by this process, for release_scratch.
+_issued_paths: list[str] = []
+_issued_databases: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder below the scratch root."""
-    return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
+    _issued_paths.append(path)
+    return path
+
+
+def note_scratch_database(name: str) -> None:
+    _issued_databases.append(name)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Drop the scratch databases and delete the scratch folders issued so far.
+
+    Only for callers that own the whole lifecycle (benchmarks, test
+    sessions): frames returned earlier may still read these files.
+    """
+    for name in _issued_databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _issued_paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    released = len(_issued_paths) + len(_issued_databases)
+    _issued_paths.clear()
+    _issued_databases.clear()
+    return released

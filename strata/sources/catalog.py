@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import note_scratch_database, scratch_path
 
 
 @dataclass
@@ -32,6 +32,7 @@ class TableStore:
         name = f"strata_{uuid.uuid4().hex[:10]}"
         location = scratch_path(spark, "warehouse")
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+        note_scratch_database(name)
         return cls(spark, name, fmt)
 
     def qualify(self, table: str) -> str:

@@ -20,6 +20,9 @@ def spark():
         s.conf.set("spark.checkpoint.dir", root)
         s.sparkContext.setCheckpointDir(root)
     yield s
+    from strata.session import release_scratch
+
+    release_scratch(s)
     s.stop()
 
 
