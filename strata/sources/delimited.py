@@ -29,22 +29,28 @@ def read_text_cells(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     return raw.select([_na_to_null(F.col(f"`{c}`"), spec.na_tokens).alias(c) for c in raw.columns])
 
 
+# Text shapes that parse as a whole number (fits bigint) or as a number.
+_WHOLE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*(?i)[+-]?(inf|infinity)\s*$"
+
+
 def infer_cell_types(df: DataFrame) -> dict[str, str]:
     """Narrowest of bigint / double / string per text column, in one pass.
 
-    A column is bigint when every non-NULL cell parses as a whole number,
-    double when every cell parses as a number; otherwise it stays text.
-    One aggregate over the whole input (partial aggregation per task).
+    A column is bigint when every non-NULL cell is a whole number that fits,
+    double when every cell is a number; otherwise it stays text. The tests
+    are JVM regular expressions (no failing casts), and the whole input is
+    one aggregate with partial aggregation per task.
     """
     probes = []
-    for c in df.columns:
+    for i, c in enumerate(df.columns):
         col = F.col(f"`{c}`")
-        probes.append(F.count_if(col.isNotNull() & col.try_cast("double").isNull()).alias(f"d{len(probes)}"))
-        probes.append(F.count_if(col.isNotNull() & col.try_cast("bigint").isNull()).alias(f"l{len(probes)}"))
+        probes.append(F.count_if(col.isNotNull() & ~col.rlike(_NUMBER)).alias(f"d{i}"))
+        probes.append(F.count_if(col.isNotNull() & ~col.rlike(_WHOLE)).alias(f"l{i}"))
     row = df.agg(*probes).first()
     kinds = {}
     for i, c in enumerate(df.columns):
-        not_double, not_long = row[2 * i], row[2 * i + 1]
+        not_double, not_long = row[f"d{i}"], row[f"l{i}"]
         kinds[c] = "bigint" if not_long == 0 else ("double" if not_double == 0 else "string")
     return kinds
 
