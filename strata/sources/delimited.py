@@ -55,25 +55,33 @@ def infer_cell_types(df: DataFrame) -> dict[str, str]:
     return kinds
 
 
-def read_delimited(spark: SparkSession, spec: DatasetSpec, strict: bool = True) -> DataFrame:
+def read_delimited(spark: SparkSession, spec: DatasetSpec, strict: bool = True,
+                   bad_cells_column: str | None = None) -> DataFrame:
     """Scan ``spec.location`` into typed columns.
 
     Types come from ``spec.columns`` (raw header -> Spark type); columns not
     listed stay text unless ``spec.infer_types``. ``strict=False`` turns
-    unparsable cells into NULL instead of failing the job.
+    unparsable cells into NULL instead of failing the job; with
+    ``bad_cells_column`` each row then also carries how many of its cells
+    were turned into NULL that way, so the loss can be counted.
     """
     cells = read_text_cells(spark, spec)
     types = dict(spec.columns or ())
     if spec.infer_types:
         types = {**infer_cell_types(cells.select([c for c in cells.columns if c not in types])),
                  **types}
-    out = []
+    out, lost = [], []
     for c in cells.columns:
-        col = F.col(f"`{c}`")
+        text = F.col(f"`{c}`")
         kind = types.get(c, "string")
+        col = text
         if kind != "string":
-            col = col.cast(kind) if strict else col.try_cast(kind)
+            col = text.cast(kind) if strict else text.try_cast(kind)
+            if not strict:
+                lost.append(F.when(text.isNotNull() & col.isNull(), 1).otherwise(0))
         out.append(col.alias(c))
+    if bad_cells_column and not strict:
+        out.append(sum(lost, F.lit(0)).alias(bad_cells_column))
     df = cells.select(out)
     return apply_row_cap(df, spec.row_cap)
 

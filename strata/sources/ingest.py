@@ -20,12 +20,15 @@ from ..spec import DatasetSpec, TableName
 from .catalog import TableStore
 from .delimited import add_audit_columns, read_delimited
 
+_BAD = "__strata_bad_cells"
+
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()),
     T.StructField("database", T.StringType()),
     T.StructField("table_name", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("columns", T.IntegerType()),
+    T.StructField("bad_cells", T.LongType()),
     T.StructField("duration_s", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("error_class", T.StringType()),
@@ -43,12 +46,18 @@ def ingest(store: TableStore, spec: DatasetSpec, strict: bool = True) -> tuple:
     started = datetime.now()
     t0 = time.monotonic()
     table = TableName("bronze", spec.name, store.database)
-    df = read_delimited(store.spark, spec, strict=strict)
-    n_columns = len(df.columns)
+    df = read_delimited(store.spark, spec, strict=strict, bad_cells_column=_BAD)
+    lenient = _BAD in df.columns
+    n_columns = len(df.columns) - lenient
     obs = Observation(f"ingest_{spec.name}_{uuid.uuid4().hex[:6]}")
-    store.write(add_audit_columns(df, spec), table.short, metrics=obs)
-    rows = int(obs.get["rows"])
-    return (spec.name, store.database, table.short, rows, n_columns, int(time.monotonic() - t0),
+    if lenient:
+        # cells nulled by lenient casts, counted by the write job itself
+        df = df.observe(obs, F.sum(_BAD).cast("bigint").alias("bad_cells")).drop(_BAD)
+    rows_obs = Observation(f"ingest_rows_{spec.name}_{uuid.uuid4().hex[:6]}")
+    store.write(add_audit_columns(df, spec), table.short, metrics=rows_obs)
+    rows = int(rows_obs.get["rows"])
+    bad = int(obs.get["bad_cells"] or 0) if lenient else None
+    return (spec.name, store.database, table.short, rows, n_columns, bad, int(time.monotonic() - t0),
             "SUCCESS", None, None, started)
 
 
@@ -60,7 +69,7 @@ def ingest_all(store: TableStore, specs: list[DatasetSpec], strict: bool = True)
         try:
             log.append(ingest(store, spec, strict=strict))
         except Exception as exc:  # noqa: BLE001 - recorded in the run log
-            log.append((spec.name, store.database, None, None, None, None, "FAILED",
+            log.append((spec.name, store.database, None, None, None, None, None, "FAILED",
                         _error_class(exc), str(exc).splitlines()[0][:500] if str(exc) else "",
                         started))
     return store.spark.createDataFrame(log, RUN_LOG_SCHEMA)

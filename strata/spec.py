@@ -112,3 +112,25 @@ def bind_roles(df: DataFrame, roles: Roles) -> Roles:
     present = set(df.columns)
     absent = [k for k, v in roles.__dict__.items() if v is not None and v not in present]
     return roles.without(*absent) if absent else roles
+
+
+# Default keywords that identify each role in a standardised header, tried
+# in order (see ``detect_column``).
+ROLE_KEYWORDS = {
+    "measure": ("energie", "conso", "energy"),
+    "timestamp": ("horodate", "date", "time"),
+    "region": ("region",),
+    "sites": ("nb_points", "points", "sites"),
+    "profile": ("profil",),
+}
+
+
+def detect_roles(df: DataFrame, keywords: dict[str, tuple[str, ...]] | None = None,
+                 base: Roles = Roles()) -> Roles:
+    """Bind each keyword role to the first matching column (None when absent).
+
+    Roles without keywords (year, category, score: columns this library
+    derives) keep their names from ``base``.
+    """
+    found = {role: detect_column(df, *kws) for role, kws in (keywords or ROLE_KEYWORDS).items()}
+    return replace(base, **found)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import (cast_measures, derive_year, drop_audit_columns, numeric_columns,
                                       standardize_column_names, standardize_name)
-from strata.spec import detect_column
+from strata.spec import detect_column, detect_roles
 
 
 def test_accented_headers(spark):
@@ -57,3 +57,12 @@ def test_detect_column():
     assert detect_column(cols, "energie", "conso") == "total_energie_soutiree_wh"
     assert detect_column(cols, "absent", "horo") == "Horodate"
     assert detect_column(cols, "Horo") is None  # keywords are not lower-cased
+
+
+def test_detect_roles(spark):
+    df = spark.createDataFrame([("r", "2024", 1.0, 5)],
+                               ["region", "horodate", "total_energie_soutiree_wh", "nb_points_soutirage"])
+    roles = detect_roles(df)
+    assert (roles.measure, roles.timestamp, roles.region, roles.sites, roles.profile) == \
+        ("total_energie_soutiree_wh", "horodate", "region", "nb_points_soutirage", None)
+    assert roles.year == "annee"

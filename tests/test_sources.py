@@ -82,3 +82,28 @@ def test_gold_sink_skips_missing(spark):
     log = write_gold(store, {"k1": spark.range(3), "k2": None})
     assert sorted(tuple(r) for r in log.collect()) == [("k1", "OK", 3), ("k2", "SKIP", None)]
     assert "_gold_timestamp" in store.read("k1").columns
+
+
+def test_lenient_ingest_counts_lost_cells(spark):
+    store = TableStore.scratch(spark)
+    path = _landing(spark, "a;b\n1;x\noops;2.5\n3;NA\n4;bad\n")
+    spec = DatasetSpec("dirty", path, columns=(("a", "bigint"), ("b", "double")))
+    log = ingest_all(store, [spec], strict=False).first()
+    assert (log.status, log.rows, log.columns, log.bad_cells) == ("SUCCESS", 4, 2, 3)
+    assert [tuple(r) for r in store.read("bronze_dirty").select("a", "b").collect()] == \
+        [(1, None), (None, 2.5), (3, None), (4, None)]
+    strict = ingest_all(store, [spec]).first()
+    assert strict.status == "FAILED" and strict.bad_cells is None
+
+
+def test_stream_ingest_is_exactly_once(spark):
+    from strata.streaming.bronze_stream import ingest_stream
+
+    store = TableStore.scratch(spark)
+    path = _landing(spark, "a;b\n1;x\n2;NA\n")
+    spec = DatasetSpec("s", path, columns=(("a", "bigint"),))
+    ckpt = scratch_path(spark, "t-ckpt")
+    ingest_stream(store, spec, checkpoint=ckpt)
+    ingest_stream(store, spec, checkpoint=ckpt)
+    rows = sorted(tuple(r) for r in store.read("bronze_s").select("a", "b", "_source_dataset").collect())
+    assert rows == [(1, "x", "s"), (2, None, "s")]
