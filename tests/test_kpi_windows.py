@@ -80,3 +80,40 @@ def test_chart_frames(spark):
     assert [r.label for r in rk] == ["1.00 bn Wh  (rank 1)"] and rk[0].is_top_k
     tr = chartdata.chart_trend_series(kpi.kpi_national_trend(df, R)).collect()
     assert [r.change_label for r in tr] == [None, "-71.4%"] and tr[1].change_class == "down"
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C", None]),
+                          st.one_of(st.none(), st.floats(0, 1e7, allow_nan=False))),
+                min_size=1, max_size=40))
+def test_shares_sum_to_100(spark, rows):
+    df = spark.createDataFrame([(c, 2020, v, 5, c, "P") for c, v in rows],
+                               "region string, annee int, total_energie_soutiree_wh double, "
+                               "nb_points_soutirage bigint, consumption_category string, profil string")
+    shares = [r.pct_of_total for r in kpi.kpi_category_share(df, R).collect() if r.pct_of_total is not None]
+    if shares:
+        assert abs(sum(shares) - 100.0) <= 0.005 * len(shares) + 1e-9
+
+
+def test_null_keys(spark):
+    df = _readings(spark, [(None, 2020, 1e9, 5, "X", "P"), ("a", None, 2e9, 5, "X", "P"),
+                           ("a", 2020, 3e9, 5, "X", "P")])
+    k1 = kpi.kpi_region_year(df, R)
+    keys = {(r.region, r.annee) for r in k1.collect()}
+    assert keys == {(None, 2020), ("a", None), ("a", 2020)}  # null keys form groups
+    m = chartdata.chart_region_year_matrix(k1).collect()
+    assert [(r.region, r["2020"]) for r in m] == [("a", 3.0)]  # the pivot leaves them out
+
+
+def test_hot_row_skew(spark):
+    # one row is a third of the input: collapsed map-side, counted exactly
+    from strata.operators import quality
+    hot = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "1.0 AS v")
+    m = quality.dedup_metrics(hot).first()
+    assert (m.rows_before, m.rows_after, m.rows_removed) == (30000, 20001, 9999)
+    plan = quality.dedup_metrics(hot)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate")  # partial agg below
