@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.concurrency import run_all
 from ..session import note_scratch_database, scratch_path
 
 
@@ -133,14 +134,17 @@ GOLD_LOG_SCHEMA = T.StructType([
 
 
 def write_gold(store: TableStore, tables: dict[str, DataFrame | None],
-               clock_column: str = "_gold_timestamp") -> DataFrame:
-    """Write each KPI frame that exists; log OK with its row count, or SKIP."""
-    log = []
-    for name, df in tables.items():
+               clock_column: str = "_gold_timestamp", max_workers: int = 4) -> DataFrame:
+    """Write each KPI frame that exists; log OK with its row count, or SKIP.
+
+    The writes are independent jobs and are submitted side by side.
+    """
+    def one(name: str, df: DataFrame | None):
         if df is None:
-            log.append((name, "SKIP", None))
-            continue
+            return (name, "SKIP", None)
         obs = Observation(f"gold_{name}_{uuid.uuid4().hex[:6]}")
         store.write(df.withColumn(clock_column, F.current_timestamp()), name, metrics=obs)
-        log.append((name, "OK", int(obs.get["rows"])))
+        return (name, "OK", int(obs.get["rows"]))
+
+    log = run_all([lambda n=n, d=d: one(n, d) for n, d in tables.items()], max_workers)
     return store.spark.createDataFrame(log, GOLD_LOG_SCHEMA)
