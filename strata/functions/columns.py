@@ -70,26 +70,37 @@ def _to_double(c: Column, strict: bool) -> Column:
     return c.cast("double") if strict else c.try_cast("double")
 
 
+def as_measure(col: Column, strict: bool = True) -> Column:
+    """A measure as double."""
+    return _to_double(col, strict)
+
+
+def as_count(col: Column, source: T.DataType, strict: bool = True) -> Column:
+    """A count as bigint.
+
+    Text goes through ``decimal(38,10)``, so ``'12.0'`` becomes 12 and every
+    bigint stays exact; values are truncated toward zero like a cast from
+    double. (A direct ``try_cast`` to bigint would fail through an exception
+    on every such row, which is ~25x slower.)
+    """
+    if isinstance(source, T.LongType):
+        return col
+    if isinstance(source, T.StringType):
+        return col.cast(_COUNT_TEXT).cast("bigint") if strict else col.try_cast(_COUNT_TEXT).try_cast("bigint")
+    return col.cast("bigint") if strict else col.try_cast("bigint")
+
+
 def cast_measures(df: DataFrame, doubles: list[str | None] = (), longs: list[str | None] = (),
                   strict: bool = True) -> DataFrame:
     """Cast measure columns to double and count columns to bigint.
 
-    Count text goes through ``decimal(38,10)``, so ``'12.0'`` becomes 12 and
-    every bigint stays exact; values are truncated toward zero like a cast
-    from double. (A direct ``try_cast`` to bigint would fail through an
-    exception on every such row, which is ~25x slower.)
     ``strict=False`` turns unparsable values into NULL instead of failing.
     """
     changes: dict[str, Column] = {}
     for name in (c for c in doubles if c and c in df.columns):
-        changes[name] = _to_double(F.col(name), strict)
+        changes[name] = as_measure(F.col(name), strict)
     for name in (c for c in longs if c and c in df.columns):
-        col = F.col(name)
-        if isinstance(df.schema[name].dataType, T.StringType):
-            changes[name] = (col.cast(_COUNT_TEXT).cast("bigint") if strict
-                             else col.try_cast(_COUNT_TEXT).try_cast("bigint"))
-        elif not isinstance(df.schema[name].dataType, T.LongType):
-            changes[name] = col.cast("bigint") if strict else col.try_cast("bigint")
+        changes[name] = as_count(F.col(name), df.schema[name].dataType, strict)
     return df.withColumns(changes) if changes else df
 
 
@@ -106,12 +117,17 @@ def year_of(c: Column | str, business_tz: str | None = None, strict: bool = True
     return F.year(ts)
 
 
+def year_expr(col: Column, source: T.DataType, business_tz: str | None = None,
+              strict: bool = True) -> Column:
+    """Year of a column typed ``source`` (timestamp, timestamp_ntz, date or text)."""
+    if isinstance(source, (T.TimestampNTZType, T.DateType)) and not business_tz:
+        return F.year(col)
+    return year_of(col, business_tz, strict)
+
+
 def derive_year(df: DataFrame, source: str, target: str = "annee",
                 business_tz: str | None = None, strict: bool = True) -> DataFrame:
-    field = df.schema[source].dataType
-    if isinstance(field, (T.TimestampNTZType, T.DateType)) and not business_tz:
-        return df.withColumn(target, F.year(F.col(source)))
-    return df.withColumn(target, year_of(source, business_tz, strict))
+    return df.withColumn(target, year_expr(F.col(source), df.schema[source].dataType, business_tz, strict))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

@@ -42,14 +42,14 @@ def kpi_region_year(df: DataFrame, roles: Roles = Roles()) -> DataFrame | None:
             F.count(F.lit(1)).alias("n_records")]
     if roles.sites:
         aggs.append(F.sum(F.col(roles.sites)).alias("sites_total"))
-    out = df.groupBy(roles.region, roles.year).agg(*aggs).withColumns({
-        "energy_total": F.round("energy_total", TOTAL_DECIMALS),
-        "energy_mean": F.round("energy_mean", TOTAL_DECIMALS),
-    })
+    g = df.groupBy(roles.region, roles.year).agg(*aggs)
+    total = F.round("energy_total", TOTAL_DECIMALS)
+    cols = [roles.region, roles.year, total.alias("energy_total"),
+            F.round("energy_mean", TOTAL_DECIMALS).alias("energy_mean"), "n_records"]
     if roles.sites:
-        per_site = F.when(F.col("sites_total") > 0, F.col("energy_total") / F.col("sites_total"))
-        out = out.withColumn("energy_per_site", F.round(per_site, TOTAL_DECIMALS))
-    return out.orderBy(roles.region, roles.year)
+        per_site = F.when(F.col("sites_total") > 0, total / F.col("sites_total"))
+        cols += ["sites_total", F.round(per_site, TOTAL_DECIMALS).alias("energy_per_site")]
+    return g.select(cols).orderBy(roles.region, roles.year)
 
 
 def kpi_national_trend(df: DataFrame, roles: Roles = Roles(),

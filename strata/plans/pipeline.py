@@ -16,8 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.columns import (cast_measures, drop_audit_columns, numeric_columns,
-                                 standardize_column_names)
+from ..functions.columns import (BRONZE_AUDIT_COLUMNS, as_count, as_measure, numeric_columns,
+                                 standardized_names, year_expr)
 from ..functions.scoring import carbon_score_normalised, categorize
 from ..operators import kpi
 from ..operators.privacy import AUDIT_COLUMN, DEFAULT_MIN_SITES, keep_condition
@@ -43,37 +43,50 @@ class SilverPlan:
 def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFAULT_MIN_SITES,
                 strict: bool = True, business_tz: str | None = None,
                 with_clock: bool = True, observe: bool = True) -> SilverPlan:
-    """Build the Silver frame from a Bronze frame (nothing runs here)."""
-    df = standardize_column_names(drop_audit_columns(bronze))
+    """Build the Silver frame from a Bronze frame (nothing runs here).
+
+    Dedupe happens on the values as they arrive (before any cast), as the
+    quality checks do; casts, year, band and score are then one projection.
+    """
+    kept = [c for c in bronze.columns if c not in BRONZE_AUDIT_COLUMNS]
+    names = standardized_names(kept)
+    df = bronze.select([F.col(f"`{old}`").alias(new) for old, new in zip(kept, names)])
     columns, numeric = df.columns, numeric_columns(df)
+    types = {f.name: f.dataType for f in df.schema.fields}
     g = grouped_rows(df)
     quality = suppression = None
     if observe:
-        tag = uuid.uuid4().hex[:8]
-        quality = Observation(f"silver_quality_{tag}")
+        quality = Observation(f"silver_quality_{uuid.uuid4().hex[:8]}")
         # Checks describe the deduplicated rows (weight 1); rows_in counts
         # what came in, so rows_in - rows_total is what the dedupe removed.
         g = g.observe(quality, *metric_exprs(columns, numeric, None),
                       F.coalesce(F.sum(N), F.lit(0)).cast("bigint").alias("rows_in"))
-    df = g.drop(N)
-    df = cast_measures(df, [roles.measure], [roles.sites], strict=strict)
-    df = kpi.with_year(df, roles, business_tz)
-    derived = {}
-    if roles.measure and roles.measure in df.columns:
-        if roles.category:
-            derived[roles.category] = categorize(roles.measure)
-        if roles.sites and roles.sites in df.columns and roles.score:
-            derived[roles.score] = carbon_score_normalised(roles.measure, roles.sites)
-    if derived:
-        df = df.withColumns(derived)
-    if roles.sites and roles.sites in df.columns:
-        df = df.filter(keep_condition(roles.sites, min_sites)).withColumn(AUDIT_COLUMN, F.lit(min_sites))
-        if observe:
-            suppression = Observation(f"silver_suppression_{uuid.uuid4().hex[:8]}")
-            df = df.observe(suppression, F.count(F.lit(1)).alias("rows_out"))
+
+    out = {c: F.col(c) for c in columns}
+    measure = sites = None
+    if roles.measure in types:
+        measure = out[roles.measure] = as_measure(F.col(roles.measure), strict)
+    if roles.sites in types:
+        sites = out[roles.sites] = as_count(F.col(roles.sites), types[roles.sites], strict)
+    if roles.year and roles.year not in types and roles.timestamp in types:
+        out[roles.year] = year_expr(F.col(roles.timestamp), types[roles.timestamp], business_tz, strict)
+    if measure is not None and roles.category:
+        out[roles.category] = categorize(measure)
+    if measure is not None and sites is not None and roles.score:
+        out[roles.score] = carbon_score_normalised(measure, sites)
+    df = g.select([expr.alias(name) for name, expr in out.items()])
+
+    extra = {}
+    if sites is not None:
+        df = df.filter(keep_condition(roles.sites, min_sites))
+        extra[AUDIT_COLUMN] = F.lit(min_sites)
     if with_clock:
-        df = df.withColumns({"_silver_timestamp": F.current_timestamp(),
-                             "_silver_date": F.current_date()})
+        extra.update(_silver_timestamp=F.current_timestamp(), _silver_date=F.current_date())
+    if extra:
+        df = df.withColumns(extra)
+    if sites is not None and observe:
+        suppression = Observation(f"silver_suppression_{uuid.uuid4().hex[:8]}")
+        df = df.observe(suppression, F.count(F.lit(1)).alias("rows_out"))
     return SilverPlan(df, columns, numeric, quality, suppression)
 
 
