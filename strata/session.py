@@ -42,12 +42,16 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session first; set our own (a fresh temp folder) only when
-    the session has none, which happens in bare local test sessions.
+    the session has none and runs in local mode (tests). On a cluster a
+    missing setting is an error, never a machine-local folder.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder on shared storage: "
+                               "scratch data must survive the loss of any one machine")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
         spark.sparkContext.setCheckpointDir(root)
