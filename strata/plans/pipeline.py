@@ -81,7 +81,7 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
         df = df.filter(keep_condition(roles.sites, min_sites))
         extra[AUDIT_COLUMN] = F.lit(min_sites)
     if with_clock:
-        extra.update(_silver_timestamp=F.current_timestamp(), _silver_date=F.current_date())
+        extra.update(zip(SILVER_CLOCK_COLUMNS, (F.current_timestamp(), F.current_date())))
     if extra:
         df = df.withColumns(extra)
     if sites is not None and observe:

@@ -19,7 +19,7 @@ from .functions.columns import (cast_measures, derive_year, drop_audit_columns,
 from .functions.scoring import (carbon_score_emission, carbon_score_normalised, categorize,
                                 register_sql_functions)
 from .operators import chartdata, kpi, privacy, quality, windows
-from .plans.pipeline import gold_frames, run_silver, silver_plan
+from .plans.pipeline import SILVER_CLOCK_COLUMNS, gold_frames, run_silver, silver_plan
 from .session import scratch_path
 from .sources import fixtures
 from .sources.catalog import TableStore, table_profile, write_gold
@@ -145,7 +145,7 @@ def q_silver_pipeline(spark, sf_dir):
     store = TableStore.scratch(spark)
     ingest_all(store, [fixtures.write_readings_landing(spark, sf_dir)])
     run_silver(store, "readings", ROLES, MIN_SITES)
-    return store.read("silver_readings").drop("_silver_timestamp", "_silver_date")
+    return store.read("silver_readings").drop(*SILVER_CLOCK_COLUMNS)
 
 
 def q_silver_quality_report(spark, sf_dir):

@@ -107,13 +107,6 @@ def require_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
 
 
-def bind_roles(df: DataFrame, roles: Roles) -> Roles:
-    """Drop roles whose column is absent, so each step can test for ``None``."""
-    present = set(df.columns)
-    absent = [k for k, v in roles.__dict__.items() if v is not None and v not in present]
-    return roles.without(*absent) if absent else roles
-
-
 # Default keywords that identify each role in a standardised header, tried
 # in order (see ``detect_column``).
 ROLE_KEYWORDS = {

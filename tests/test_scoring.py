@@ -5,7 +5,6 @@ import math
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from strata.functions.scoring import (carbon_score_emission, carbon_score_normalised, categorize,
                                       register_sql_functions)

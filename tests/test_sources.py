@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
-from strata.sources.catalog import TableStore, table_profile, write_gold
+from strata.sources.catalog import TableStore, schema_listing, table_profile, write_gold
 from strata.sources.delimited import add_audit_columns, read_delimited
 from strata.sources.ingest import ingest_all, ingestion_report
 from strata.spec import DatasetSpec
@@ -107,3 +107,9 @@ def test_stream_ingest_is_exactly_once(spark):
     ingest_stream(store, spec, checkpoint=ckpt)
     rows = sorted(tuple(r) for r in store.read("bronze_s").select("a", "b", "_source_dataset").collect())
     assert rows == [(1, "x", "s"), (2, None, "s")]
+
+
+def test_schema_listing(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "k bigint, s string, v double")
+    assert [tuple(r) for r in schema_listing(df).collect()] == \
+        [(0, "k", "bigint"), (1, "s", "string"), (2, "v", "double")]
