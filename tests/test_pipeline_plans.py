@@ -62,3 +62,20 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["region", "annee", "energy_total", "energy_mean", "n_records",
                           "sites_total", "energy_per_site"]
+
+
+def test_command_line_runs_all_layers(spark, capsys):
+    import uuid
+
+    from strata.__main__ import main
+
+    spec = fixtures.write_readings_landing(spark, SF_SMALL)
+    db = f"cli_{uuid.uuid4().hex[:8]}"
+    main(["all", "--dataset", f"readings={spec.location}", "--database", db,
+          "--column", "Total énergie soutirée (Wh)=double", "--column", "Nb points soutirage=bigint"])
+    out = capsys.readouterr().out
+    assert "[SUCCESS]" in out and "duplicate_check" in out
+    tables = {t.name for t in spark.catalog.listTables(db)}
+    assert {"bronze_readings", "silver_readings", "gold_region_year_readings",
+            "gold_top_regions_readings"} <= tables
+    spark.sql(f"DROP DATABASE {db} CASCADE")
