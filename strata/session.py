@@ -38,6 +38,36 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return builder.getOrCreate()
 
 
+_MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Session settings sized for the input, for ``build_session(extra=...)``.
+
+    Scans split into ~256 MB tasks (512 MB past 10 TB, to keep the task
+    count in the hundreds of thousands at most). The shuffle starts with one
+    partition per ~256 MB of input, between 2x the cores and 100,000; AQE
+    then coalesces small partitions to the 256 MB advisory size and splits
+    skewed ones (a partition 5x the median and over 512 MB). The Silver
+    dedupe and the quality pass shuffle about the projected input, so this
+    keeps each reducer's share near the advisory size.
+    """
+    split = 512 * _MB if input_bytes > 10 * 1024 ** 4 else 256 * _MB
+    partitions = max(2 * total_cores, min(100_000, input_bytes // (256 * _MB) or 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * _MB),
+        "spark.sql.files.maxRecordsPerFile": "50000000",
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
