@@ -70,7 +70,11 @@ def test_command_line_runs_all_layers(spark, capsys):
     from strata.__main__ import main
 
     spec = fixtures.write_readings_landing(spark, SF_SMALL)
+    from strata.session import note_scratch_database, scratch_path
+
     db = f"cli_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'cli-warehouse')}'")
+    note_scratch_database(db)
     main(["all", "--dataset", f"readings={spec.location}", "--database", db,
           "--column", "Total énergie soutirée (Wh)=double", "--column", "Nb points soutirage=bigint"])
     out = capsys.readouterr().out
@@ -78,4 +82,3 @@ def test_command_line_runs_all_layers(spark, capsys):
     tables = {t.name for t in spark.catalog.listTables(db)}
     assert {"bronze_readings", "silver_readings", "gold_region_year_readings",
             "gold_top_regions_readings"} <= tables
-    spark.sql(f"DROP DATABASE {db} CASCADE")
