@@ -76,3 +76,15 @@ def test_scale_settings():
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 * 1024
     small = scale_settings(10 * 1024 ** 2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+
+@given(st.text(max_size=30))
+def test_standardize_name_properties(name):
+    out = standardize_name(name)
+    assert out == out.lower() and out.isascii()
+    assert not out.startswith("_") and not out.endswith("_") and "__" not in out
+    assert standardize_name(out) == out
