@@ -67,3 +67,43 @@ def top_k_rows(df: DataFrame, value_col: str, k: int, out_col: str = "ranking",
     shuffle, so each task forwards at most ``k`` rows per partition key.
     """
     return rank_desc(df, value_col, out_col, partition_by).filter(F.col(out_col) <= F.lit(k))
+
+
+def rank_desc_unbounded(df: DataFrame, value_col: str, out_col: str = "ranking",
+                        buckets: int = 64, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+    """``rank_desc`` for inputs of any size, with no single-task window.
+
+    rank(v) = 1 + number of rows whose value is greater. Rows are counted
+    per distinct value (a partial aggregation, so a hot value is one row),
+    values are cut into ``buckets`` ranges at approximate quantiles (only
+    the bucket boundaries reach the driver), bucket totals become offsets (a
+    window over ``buckets`` rows), and a running sum inside each bucket (a
+    window partitioned by bucket) finishes the count. NULL values rank last,
+    NaN first (it sorts above every number). Values are compared as doubles.
+    The offsets are broadcast (one row per bucket); the per-value ranks are
+    broadcast only within ``broadcast_max_rows``, else the join back is a
+    shuffle join that AQE splits if one value is hot.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    from ..plans.joins import bounded_broadcast
+
+    v = F.col(value_col)
+    counts = df.groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    valued = counts.filter(F.col("_v").isNotNull()).withColumn("_v", F.col("_v").cast("double"))
+    cuts = valued.approxQuantile("_v", [i / buckets for i in range(1, buckets)], 0.001)
+    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
+    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep").transform(valued)
+    # buckets are ordered by value; descending rank counts the higher buckets first
+    totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_t"))
+    above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_b", F.coalesce(F.sum("_t").over(above), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy("_b").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (bucketed.withColumn("_c", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+              .join(F.broadcast(offsets), "_b")
+              .select(F.col("_v"), (F.lit(1) + F.col("_o") + F.col("_c")).cast("int").alias(out_col)))
+    non_null = valued.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_k"))
+    null_rank = non_null.select(F.lit(None).cast("double").alias("_v"),
+                                (F.lit(1) + F.col("_k")).cast("int").alias(out_col))
+    ranks = bounded_broadcast(ranked.unionByName(null_rank), broadcast_max_rows)
+    return df.join(ranks, v.cast("double").eqNullSafe(F.col("_v"))).drop("_v")

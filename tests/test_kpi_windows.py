@@ -117,3 +117,16 @@ def test_hot_row_skew(spark):
     assert (m.rows_before, m.rows_after, m.rows_removed) == (30000, 20001, 9999)
     plan = quality.dedup_metrics(hot)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate")  # partial agg below
+
+
+def test_unbounded_rank_equals_window_rank(spark):
+    import random
+
+    random.seed(7)
+    rows = [(i, random.choice([None, float(random.randint(0, 300))])) for i in range(3000)]
+    rows += [(10_000 + i, 42.0) for i in range(1500)]  # a hot value: a third of the rows
+    rows += [(20_000, float("nan")), (20_001, float("nan"))]
+    df = spark.createDataFrame(rows, "id int, v double")
+    expect = {r.id: r.ranking for r in windows.rank_desc(df, "v").collect()}
+    got = {r.id: r.ranking for r in windows.rank_desc_unbounded(df, "v", buckets=8).collect()}
+    assert got == expect
