@@ -47,6 +47,20 @@ def share_of_total(df: DataFrame, value_col: str, out_col: str = "pct_of_total",
     return df.withColumn(out_col, F.round(ratio, decimals))
 
 
+def share_of_total_unbounded(df: DataFrame, value_col: str, out_col: str = "pct_of_total",
+                             decimals: int = 2) -> DataFrame:
+    """``share_of_total`` for inputs of any size.
+
+    The total is a scalar subquery (one partial sum per task, one value
+    back), so the rows themselves never leave their partitions. The input
+    is aggregated a second time for the total, so pass a stored or cheap
+    frame.
+    """
+    total = df.select(F.sum(F.col(value_col))).scalar()
+    ratio = F.when(total != 0, F.col(value_col) / total * F.lit(100.0))
+    return df.withColumn(out_col, F.round(ratio, decimals))
+
+
 def rank_desc(df: DataFrame, value_col: str, out_col: str = "ranking",
               partition_by: list[str] | None = None) -> DataFrame:
     """Competition rank by descending value: ties share, a gap follows, NULLs last."""

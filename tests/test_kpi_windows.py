@@ -130,3 +130,13 @@ def test_unbounded_rank_equals_window_rank(spark):
     expect = {r.id: r.ranking for r in windows.rank_desc(df, "v").collect()}
     got = {r.id: r.ranking for r in windows.rank_desc_unbounded(df, "v", buckets=8).collect()}
     assert got == expect
+
+
+def test_unbounded_share_equals_window_share(spark):
+    rows = [(i, float(i % 17) if i % 5 else None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    expect = {r.id: r.pct_of_total for r in windows.share_of_total(df, "v").collect()}
+    got = windows.share_of_total_unbounded(df, "v")
+    assert {r.id: r.pct_of_total for r in got.collect()} == expect
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
