@@ -33,6 +33,36 @@ def lag_previous_period(df: DataFrame, order_col: str, value_col: str, out_col:
     return df.withColumn(out_col, prev)
 
 
+def lag_previous_unbounded(df: DataFrame, order_col: str, value_col: str, out_col: str,
+                           buckets: int = 64) -> DataFrame:
+    """``lag_previous_period`` (offset 1) for inputs of any size.
+
+    The order key is cut into ``buckets`` ranges at approximate quantiles;
+    inside a bucket the previous row comes from a window partitioned by
+    bucket, and the first row of a bucket takes the last value of the
+    previous non-empty bucket (a window over one row per bucket). NULL keys
+    come first, as in an ascending window. Keys should be unique, as the
+    previous row among equal keys has no defined order.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    key = F.col(order_col)
+    keyed = df.withColumn("_k", key.cast("double"))
+    cuts = keyed.approxQuantile("_k", [i / buckets for i in range(1, buckets)], 0.001)
+    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
+    b = (Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep")
+         .transform(keyed.fillna({"_k": float("nan")}).withColumn("_null", key.isNull())))
+    b = b.withColumn("_b", F.when(F.col("_null"), F.lit(-1.0)).otherwise(F.col("_b")))
+    inside = Window.partitionBy("_b").orderBy(key.asc_nulls_first())
+    b = b.withColumn("_l", F.lag(F.col(value_col)).over(inside)) \
+         .withColumn("_r", F.row_number().over(inside))
+    last = b.groupBy("_b").agg(F.max_by(F.col(value_col), F.col("_r")).alias("_last"))
+    carry = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_carry"))
+    out = b.join(F.broadcast(carry), "_b")
+    return out.withColumn(out_col, F.when(F.col("_r") == 1, F.col("_carry")).otherwise(F.col("_l"))) \
+              .drop("_k", "_b", "_null", "_l", "_r", "_carry")
+
+
 def pct_change(current: Column, previous: Column, decimals: int = 2) -> Column:
     """round((current - previous) / previous * 100); NULL if previous is NULL or 0."""
     ok = previous.isNotNull() & (previous != 0)

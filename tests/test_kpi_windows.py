@@ -140,3 +140,15 @@ def test_unbounded_share_equals_window_share(spark):
     assert {r.id: r.pct_of_total for r in got.collect()} == expect
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_unbounded_lag_equals_window_lag(spark):
+    import random
+
+    random.seed(3)
+    keys = random.sample(range(100_000), 3000) + [None]
+    rows = [(k, random.choice([None, float(random.randint(0, 99))])) for k in keys]
+    df = spark.createDataFrame(rows, "k int, v double")
+    expect = {r.k: r.prev for r in windows.lag_previous_period(df, "k", "v", "prev").collect()}
+    got = {r.k: r.prev for r in windows.lag_previous_unbounded(df, "k", "v", "prev", buckets=8).collect()}
+    assert got == expect
