@@ -220,6 +220,10 @@ def oracle_sql() -> dict[str, str]:
         "top_k_per_year": _with(READINGS, _totals("region, annee"))
             + "SELECT * FROM (SELECT region, annee, energy_total, CAST(rank() OVER (PARTITION BY annee "
               f"ORDER BY energy_total DESC NULLS LAST) AS INTEGER) AS ranking FROM t) x WHERE ranking <= {TOP_K}",
+        "rank_desc_unbounded": "SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(rank() OVER "
+            "(ORDER BY l_extendedprice DESC NULLS LAST) AS INTEGER) AS ranking FROM lineitem",
+        "lag_previous_unbounded": "SELECT o_orderkey, o_totalprice, lag(o_totalprice) OVER "
+            "(ORDER BY o_orderkey NULLS FIRST) AS previous_totalprice FROM orders",
         # KPIs
         "kpi_region_year": _with(READINGS, SILVER, K1) + "SELECT * FROM k1",
         "kpi_national_trend": _with(READINGS, SILVER, K2) + "SELECT * FROM k2",

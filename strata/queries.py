@@ -292,6 +292,17 @@ def q_top_k_per_year(spark, sf_dir):
     return windows.top_k_rows(totals, "energy_total", TOP_K, partition_by=[ROLES.year])
 
 
+def q_rank_desc_unbounded(spark, sf_dir):
+    # every line item ranked by price: an input far too large for one task
+    li = fixtures.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return windows.rank_desc_unbounded(li, "l_extendedprice")
+
+
+def q_lag_previous_unbounded(spark, sf_dir):
+    orders = fixtures.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return windows.lag_previous_unbounded(orders, "o_orderkey", "o_totalprice", "previous_totalprice")
+
+
 # --- KPIs ----------------------------------------------------------------------
 
 def q_kpi_region_year(spark, sf_dir):
