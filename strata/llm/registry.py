@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from ..session import scratch_path
-from . import exact_dedup, sharding
+from . import bpe, decontaminate, exact_dedup, sharding, warc
 from .common import ROW, table
 
 SHARDS = 40
@@ -18,6 +20,31 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "text_sha256")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = warc.write_archive(table(spark, sf_dir, "pages"))
+    return warc.read_records(chunks).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.annotate(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+    hit = decontaminate.n_hit()
+    return out.select(F.col(ROW)["doc_id"].alias("doc_id"), "n_words", hit.alias("n_hit"),
+                      F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (hit > 0).alias("contaminated"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select(F.col(ROW)["doc_id"].alias("doc_id"), "n_tokens",
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "slot-map")
     owner = sharding.initial_map(SHARDS)
@@ -30,6 +57,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_warc": op2_warc,
+    "op4_decontaminate": op4_decontaminate,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_sharding": op10_sharding,
 }
 
@@ -42,4 +72,44 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM n WINDOW w AS (PARTITION BY text_sha256)""",
+    "op2_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                          sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id
+                    THEN first_id END AS refers_to
+        FROM f""",
+    "op4_decontaminate": f"""
+        WITH texts AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', item_id, text FROM benchmark),
+        lists AS (
+            SELECT kind, id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS ws
+            FROM texts),
+        starts AS (
+            SELECT kind, id, ws, unnest(range(1, greatest(len(ws) - k + 2, 1))) AS s, k
+            FROM (SELECT kind, id, ws, unnest(CASE WHEN kind = 'd' THEN range(1, 11)
+                         ELSE [least(10, greatest(len(ws), 1))] END) AS k FROM lists)
+            WHERE k IN (SELECT least(10, len(ws)) FROM lists WHERE kind = 'i')),
+        windows AS (SELECT kind, id, s, k, array_to_string(ws[s:s + k - 1], ' ') AS w
+                    FROM starts),
+        hits AS (SELECT d.id, d.s, d.k, i.id AS item FROM windows d
+                 JOIN windows i ON i.kind = 'i' AND i.w = d.w AND i.k = d.k
+                 WHERE d.kind = 'd' AND d.w <> ''),
+        marked AS (SELECT id, count(DISTINCT p) AS n_hit
+                   FROM (SELECT id, unnest(range(s, s + k)) AS p FROM hits) GROUP BY id),
+        named AS (SELECT id, count(*) AS n_items,
+                         string_agg(item, ',' ORDER BY item) AS item_list
+                  FROM (SELECT DISTINCT id, item::VARCHAR AS item FROM hits) GROUP BY id)
+        SELECT l.id AS doc_id, len(l.ws) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(item_list, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM lists l LEFT JOIN marked m ON m.id = l.id LEFT JOIN named n ON n.id = l.id
+        WHERE l.kind = 'd'""",
 }
