@@ -7,7 +7,7 @@ contracts, in every word, the leftmost pair of least rank, until no pair of a
 word can merge. Decoding joins ids to the vocabulary and concatenates the token
 bytes by an ordered aggregation.
 
-Encoded words are kept per worker, at most CACHE_WORDS of them, and
+Encoded pieces are kept per worker, about CACHE_CHUNKS of them, and
 WORDS_PER_QUERY bounds a query's rows, so memory does not grow with the input.
 Text goes through in whole, one batch after the other; nothing is shuffled.
 
@@ -19,6 +19,8 @@ gives an empty result; extra columns are carried unchanged.
 from __future__ import annotations
 
 import base64
+import gc
+import re
 from collections.abc import Iterator
 
 import duckdb
@@ -31,25 +33,29 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import ROW, packed
 
-CACHE_WORDS = 400_000
-WORDS_PER_QUERY = 40_000
+CACHE_CHUNKS = 400_000
+WORDS_PER_QUERY = 100_000
 SLICE_BYTES = 4 << 20
 
+#: The pattern of the public byte-level vocabularies: no match of it reaches over a
+#: single space from left to right, so its texts can be cut before such spaces.
+_SPACED_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+                   r"|\s+(?!\S)|\s+")
+_SPACE_RUN = re.compile(r" \s|\s |\0")
+
 _ENCODE = """
-WITH RECURSIVE state(word, pos, token, round) AS (
-    SELECT word, pos, token, 0 FROM start
+WITH RECURSIVE state(word, tokens) AS (
+    SELECT word, tokens FROM start
     UNION ALL
-    SELECT word, pos, CASE WHEN here THEN merged ELSE token END, round + 1
-    FROM (SELECT *, coalesce(lag(here) OVER (PARTITION BY word ORDER BY pos), false) AS gone
-          FROM (SELECT *, coalesce(pair = min(pair) OVER (PARTITION BY word), false) AS here,
-                       min(pair) OVER (PARTITION BY word) AS best
-                FROM (SELECT s.*, m.merged, m.merged::BIGINT * 4294967296 + s.pos AS pair
-                      FROM (SELECT *, lead(token) OVER (PARTITION BY word ORDER BY pos) AS right_
-                            FROM state) s
-                      LEFT JOIN merges m ON m.a = s.token AND m.b = s.right_)))
-    WHERE best IS NOT NULL AND NOT gone)
-SELECT s.word, s.pos, s.token FROM state s
-JOIN (SELECT word, max(round) AS round FROM state GROUP BY word) USING (word, round)
+    SELECT word, list_concat(list_append(tokens[:p - 1], (best >> 32)::INT), tokens[p + 2:])
+    FROM (SELECT word, s.tokens, best, (best & 4294967295)::INT AS p
+          FROM state s
+          JOIN (SELECT word, min(m.merged::BIGINT << 32 | pos) AS best
+                FROM (SELECT word, unnest(range(1, len(tokens))) AS pos,
+                             unnest(tokens[:-2]) AS a, unnest(tokens[2:]) AS b FROM state)
+                JOIN merges m ON m.pair = a::BIGINT << 32 | b
+                GROUP BY word) USING (word)))
+SELECT word, tokens FROM state
 """
 _DECODE = """
 SELECT t.word, unhex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
@@ -68,56 +74,92 @@ class Tokenizer:
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
                   for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        pairs = pa.table(dict(zip("ab", map(pa.array, zip(*[m[:2] for m in merges]))))
-                         | {"merged": pa.array([m[2] for m in merges], pa.int32())})
+        pairs = pa.table({"pair": pa.array([a << 32 | b for a, b, _ in merges], pa.int64()),
+                          "merged": pa.array([m for _, _, m in merges], pa.int32())})
         names = pa.table({"token": pa.array(self.ranks.values(), pa.int32()),
                           "hex": [t.hex() for t in self.ranks]})
         for name, rows in (("merges", pairs), ("vocabulary", names)):
             self.db.register("rows_", rows)
             self.db.execute(f"CREATE TABLE {name} AS FROM rows_")
             self.db.unregister("rows_")
-        # word -> (ids as little-endian uint32, decoded bytes)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.spaced = pattern == _SPACED_PATTERN
+        # chunk -> (ids as little-endian uint32, decoded bytes), in two generations:
+        # what the last chunks needed moves to the young one, the old one goes.
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
+
+    def _chunks(self, text: str) -> list[str]:
+        """Pieces that matches of the pattern never reach over; the whole text if in doubt."""
+        if not self.spaced or _SPACE_RUN.search(text):
+            return [text]
+        return text.replace(" ", "\0 ").split("\0")
+
+    def _decoded(self, word: np.ndarray, pos: np.ndarray, token: np.ndarray) -> dict[int, bytes]:
+        self.db.register("tokens", pa.table({"word": word, "pos": pos, "token": token}))
+        found = self.db.sql(_DECODE).to_arrow_table().to_pydict()
+        return dict(zip(found["word"], found["bytes"]))
 
-    def _contract(self, words: list[str]) -> None:
+    def _contract(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids and decoded bytes of distinct words, by contraction to the fixpoint."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        sizes = np.array([len(r) for r in raw], np.int64)
-        word = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
-        pos = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        token = self.byte_ranks[np.frombuffer(b"".join(raw), np.uint8)]
-        # tiktoken takes a word that is a token as it is.
-        whole = np.array([self.ranks.get(r, -1) for r in raw], np.int32)
-        single = whole[word] >= 0
-        first = pos == 0
-        token = np.where(single & first, whole[word], token)
-        keep = ~single | first
-        self.db.register("start", pa.table({"word": word[keep],
-                                            "pos": pos[keep].astype(np.int32),
-                                            "token": token[keep]}))
-        tokens = self.db.sql(_ENCODE).to_arrow_table()
-        self.db.register("tokens", tokens)
-        decoded = self.db.sql(_DECODE).to_arrow_table().column("bytes").to_pylist()
-        order = np.lexsort((tokens["pos"].to_numpy(), tokens["word"].to_numpy()))
-        ids = tokens["token"].to_numpy()[order].astype("<u4").tobytes()
-        ends = 4 * np.cumsum(np.bincount(tokens["word"].to_numpy(), minlength=len(raw)))
-        last = 0
-        for w, end, back in zip(words, ends.tolist(), decoded):
-            self.known[w] = (ids[last:end], back)
-            last = end
+        # A word that is a token is taken as it is, before any merge.
+        whole = [self.ranks.get(r) for r in raw]
+        sizes = np.array([len(r) if w is None else 1 for r, w in zip(raw, whole)], np.int32)
+        spelled = self.byte_ranks[np.frombuffer(
+            b"".join([r if w is None else b" " for r, w in zip(raw, whole)]), np.uint8)]
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        known = np.array([w is not None for w in whole])
+        spelled[starts[known]] = [w for w in whole if w is not None]
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.append(starts, np.int32(len(spelled)))), pa.array(spelled))
+        self.db.register("start", pa.table({
+            "word": pa.array(np.arange(len(raw), dtype=np.int32)), "tokens": lists}))
+        rounds = self.db.sql(_ENCODE).to_arrow_table().combine_chunks()
+        # Rounds come in order: a word's last row is its fixpoint.
+        last = np.empty(len(raw), np.int64)
+        last[rounds["word"].to_numpy()] = np.arange(rounds.num_rows)
+        lists = rounds["tokens"].combine_chunks().take(pa.array(last))
+        ends = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.to_numpy()[ends[0]:ends[-1]].astype("<i4")
+        ends -= ends[0]
+        word = np.repeat(np.arange(len(raw), dtype=np.int32), np.diff(ends))
+        back = self._decoded(word, np.arange(len(flat), dtype=np.int32), flat)
+        ids = flat.tobytes()
+        at = (4 * ends).tolist()
+        return {w: (ids[at[i]:at[i + 1]], back[i]) for i, w in enumerate(words)}
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian uint32, bytes decoded from the ids) of each text."""
-        split = [self.split(t) for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = list({w for ws in split for w in ws})
-        for i in range(0, len(new), WORDS_PER_QUERY):
-            self._contract(new[i:i + WORDS_PER_QUERY])
+        gc.disable()  # hundreds of thousands of cached tuples, none in a cycle
+        if len(self.young) > CACHE_CHUNKS // 2:
+            self.old, self.young = self.young, {}
+        cut = [self._chunks(t) for t in texts]
+        young, old = self.young, self.old
+        new = []
+        for chunk in set().union(*cut).difference(young):
+            seen = old.get(chunk)
+            if seen is None:
+                new.append(chunk)
+            else:
+                young[chunk] = seen
+        split = [self.split(c) for c in new]
+        pairs: dict[str, tuple[bytes, bytes]] = {}
+        words = []
+        for word in set().union(*split):  # a word may be known as a chunk of its own
+            seen = young.get(word) or old.get(word)
+            if seen is None:
+                words.append(word)
+            else:
+                pairs[word] = seen
+        for i in range(0, len(words), WORDS_PER_QUERY):
+            pairs |= self._contract(words[i:i + WORDS_PER_QUERY])
+        for chunk, ws in zip(new, split):
+            young[chunk] = (pairs[ws[0]] if len(ws) == 1 else
+                            tuple(b"".join([pairs[w][k] for w in ws]) for k in (0, 1)))
         out = []
-        for ws in split:
-            pairs = [self.known[w] for w in ws]
-            out.append((b"".join([p[0] for p in pairs]), b"".join([p[1] for p in pairs])))
+        for chunks in cut:
+            found = [young[c] for c in chunks]
+            out.append((b"".join([p[0] for p in found]), b"".join([p[1] for p in found])))
         return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
@@ -127,11 +169,8 @@ class Tokenizer:
         if not sum(sizes):
             return [b""] * len(ids)
         word = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        self.db.register("tokens", pa.table({
-            "word": word, "pos": np.arange(len(word), dtype=np.int32),
-            "token": np.concatenate(arrays).astype(np.int32)}))
-        found = self.db.sql(_DECODE).to_arrow_table().to_pydict()
-        by_word = dict(zip(found["word"], found["bytes"]))
+        by_word = self._decoded(word, np.arange(len(word), dtype=np.int32),
+                                np.concatenate(arrays).astype(np.int32))
         return [by_word.get(i, b"") for i in range(len(ids))]
 
 
