@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import gc
-import re
 from collections.abc import Iterator
 
 import duckdb
@@ -41,7 +40,13 @@ SLICE_BYTES = 4 << 20
 #: single space from left to right, so its texts can be cut before such spaces.
 _SPACED_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                    r"|\s+(?!\S)|\s+")
-_SPACE_RUN = re.compile(r" \s|\s |\0")
+_WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+
+
+def _has_space_run(text: str) -> bool:
+    """A space beside other white space, where a match may reach over the space."""
+    return any(w in text and (" " + w in text or w + " " in text) for w in _WHITE)
+
 
 _ENCODE = """
 WITH RECURSIVE state(word, tokens) AS (
@@ -90,7 +95,7 @@ class Tokenizer:
 
     def _chunks(self, text: str) -> list[str]:
         """Pieces that matches of the pattern never reach over; the whole text if in doubt."""
-        if not self.spaced or _SPACE_RUN.search(text):
+        if not self.spaced or "\0" in text or _has_space_run(text):
             return [text]
         return text.replace(" ", "\0 ").split("\0")
 
@@ -142,7 +147,9 @@ class Tokenizer:
                 new.append(chunk)
             else:
                 young[chunk] = seen
-        split = [self.split(c) for c in new]
+        # " " and letters only is one word of the pattern.
+        split = [[c] if self.spaced and c[:1] == " " and c[1:].isalpha() else self.split(c)
+                 for c in new]
         pairs: dict[str, tuple[bytes, bytes]] = {}
         words = []
         for word in set().union(*split):  # a word may be known as a chunk of its own
@@ -158,8 +165,8 @@ class Tokenizer:
                             tuple(b"".join([pairs[w][k] for w in ws]) for k in (0, 1)))
         out = []
         for chunks in cut:
-            found = [young[c] for c in chunks]
-            out.append((b"".join([p[0] for p in found]), b"".join([p[1] for p in found])))
+            ids, back = zip(*map(young.__getitem__, chunks))
+            out.append((b"".join(ids), b"".join(back)))
         return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
