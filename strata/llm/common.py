@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import string
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,3 +45,15 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Give the Python workers this package, as ``--py-files`` would (once per context)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strata-lib-"), "strata"),
+                                  "zip", os.path.dirname(package), os.path.basename(package))
+    sc.addPyFile(archive)
+    sc._strata_shipped = True

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+import functools
+from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, exact_dedup, sharding, warc
-from .common import ROW, table
+from . import bpe, decontaminate, exact_dedup, html_blocks, sharding, toxicity, warc
+from .common import ROW, ship_library, table
 
 SHARDS = 40
 
@@ -45,6 +47,22 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.Model(docs, table(spark, sf_dir, "labels"))
+    return model.score(docs.select("doc_id", "text")).select(
+        F.col(ROW)["doc_id"].alias("doc_id"),
+        (toxicity.fold(F.col(ROW)["doc_id"]) == 0).alias("held_out"), "score", "predicted")
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    out = html_blocks.extract(pages, html_blocks.train(spark))
+    return out.select(F.col(ROW)["page_id"].alias("page_id"), F.col(ROW)["url"].alias("url"),
+                      F.col("main_text").alias("text"),
+                      F.char_length("main_text").cast("long").alias("n_chars"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "slot-map")
     owner = sharding.initial_map(SHARDS)
@@ -55,13 +73,24 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("key"))
 
 
-QUERIES = {
+def _shipped(query: Callable) -> Callable:
+    """The query, run after the workers can import this package."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_library(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
     "op4_decontaminate": op4_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_toxicity": op8_toxicity,
+    "op5_html_extract": op5_html_extract,
     "op10_sharding": op10_sharding,
-}
+}.items()}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
