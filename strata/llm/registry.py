@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, exact_dedup, html_blocks, sharding, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, html_blocks, sharding, simhash, toxicity, warc
 from .common import ROW, ship_library, table
 
 SHARDS = 40
@@ -63,6 +63,12 @@ def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"),
+        "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "slot-map")
     owner = sharding.initial_map(SHARDS)
@@ -89,6 +95,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op6_byte_bpe": op6_byte_bpe,
     "op8_toxicity": op8_toxicity,
     "op5_html_extract": op5_html_extract,
+    "op7_simhash": op7_simhash,
     "op10_sharding": op10_sharding,
 }.items()}
 
