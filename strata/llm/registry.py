@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, exact_dedup, html_blocks, sharding, simhash, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, html_blocks, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from .common import ROW, ship_library, table
 
 SHARDS = 40
@@ -69,6 +69,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                      "kept_sha256")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "slot-map")
     owner = sharding.initial_map(SHARDS)
@@ -96,6 +107,8 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_toxicity": op8_toxicity,
     "op5_html_extract": op5_html_extract,
     "op7_simhash": op7_simhash,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
 }.items()}
 

@@ -153,7 +153,7 @@ def _forest(home: np.ndarray, points: np.ndarray, radius: int) -> list[tuple[int
 
 
 def _search(radius: int):
-    def run(shard: pa.Table) -> pa.Table:
+    def run(shard):
         fp = shard["fp"].to_numpy().view(np.uint64)
         overlap = shard["overlap"].to_numpy()
         order = np.argsort(overlap, kind="stable")  # home points first
