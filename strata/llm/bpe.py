@@ -7,7 +7,7 @@ contracts, in every word, the leftmost pair of least rank, until no pair of a
 word can merge. Decoding joins ids to the vocabulary and concatenates the token
 bytes by an ordered aggregation.
 
-Encoded pieces are kept per worker, about CACHE_CHUNKS of them, and
+Encoded pieces are kept during a task, about CACHE_CHUNKS of them, and
 WORDS_PER_QUERY bounds a query's rows, so memory does not grow with the input.
 Text goes through in whole, one batch after the other; nothing is shuffled.
 
@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import ROW, packed
+from .common import ROW, packed, release_memory
 
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 WORDS_PER_QUERY = 100_000
 SLICE_BYTES = 4 << 20
 
@@ -133,9 +133,19 @@ class Tokenizer:
         at = (4 * ends).tolist()
         return {w: (ids[at[i]:at[i + 1]], back[i]) for i, w in enumerate(words)}
 
+    def forget(self) -> None:
+        """Drop the cached pieces, at the end of a task."""
+        self.young, self.old = {}, {}
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian uint32, bytes decoded from the ids) of each text."""
-        gc.disable()  # hundreds of thousands of cached tuples, none in a cycle
+        gc.disable()  # hundreds of thousands of new tuples, none in a cycle
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         if len(self.young) > CACHE_CHUNKS // 2:
             self.old, self.young = self.young, {}
         cut = [self._chunks(t) for t in texts]
@@ -218,6 +228,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text")
                      pa.array([i for i, _ in pairs], pa.binary()),
                      pa.array([d for _, d in pairs], pa.binary())],
                     names=[ROW, "n_tokens", "ids", "decoded"])
+                del pairs, part
+        bpe.forget()
+        release_memory()
 
     source = packed(df, text=F.col(text_col))
     schema = StructType([source.schema[ROW], StructField("n_tokens", LongType()),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import shutil
 import string
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +60,12 @@ def ship_library(spark: SparkSession) -> None:
                                   "zip", os.path.dirname(package), os.path.basename(package))
     sc.addPyFile(archive)
     sc._strata_shipped = True
+
+
+def release_memory() -> None:
+    """Give a Python worker's freed memory back at the end of a task; workers live on."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import stored
+from .common import release_memory, stored
 from .components import components
 
 SHINGLE = 4
@@ -85,6 +85,7 @@ def fingerprints(df: DataFrame, text: Column, shingle: int = SHINGLE, **extra: C
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(0)],
                              np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], names=names)
+        release_memory()
 
     schema = StructType([*[source.schema[n] for n in extra], StructField("fp", LongType())])
     return source.mapInArrow(run, schema)

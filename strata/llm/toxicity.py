@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import ROW, packed, stored
+from .common import ROW, packed, release_memory, stored
 from .decontaminate import words_of
 
 FOLDS = 5
@@ -69,7 +69,7 @@ def fold(doc_id: Column) -> Column:
 
 Judged = tuple[bool, float, float]  # in the seed lexicon, weight of word, of its beginning
 _NOTHING: Judged = (False, 0.0, 0.0)
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 
 
 class Judge:
@@ -132,6 +132,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(names, pa.binary()), pa.array([counts[0][t] for t in names], pa.int64()),
              pa.array([counts[1][t] for t in names], pa.int64())],
             names=["term", "clean", "toxic"])
+    release_memory()
 
 
 def learn_lexicon(rows: DataFrame) -> tuple[Lexicon, Lexicon]:
@@ -174,6 +175,8 @@ def with_features(df: DataFrame, text: Column, lexicon: tuple[Lexicon, Lexicon],
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *batch.columns[2:],
                  pa.ListArray.from_arrays(pa.array(ends), flat)], names=names)
+        judge.memo.clear()
+        release_memory()
 
     schema = StructType([source.schema[ROW], *[source.schema[n] for n in extra],
                          StructField("values", ArrayType(DoubleType()))])
