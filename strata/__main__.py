@@ -58,16 +58,21 @@ def main(argv: list[str] | None = None) -> None:
     ok = [s.name for s in specs]
     if args.layer in ("bronze", "all"):
         log = ingest_all(store, specs, strict=not args.lenient)
-        ingestion_report(log).select("line").show(truncate=False)
+        _print_all(ingestion_report(log).select("line"))
         ok = [r["dataset"] for r in log.filter("status = 'SUCCESS'").select("dataset").collect()]
     if args.layer in ("silver", "all"):
         for name in ok:
             result = run_silver(store, name, roles, args.min_sites, strict=not args.lenient)
-            result.quality_report.show(truncate=False)
+            _print_all(result.quality_report)
             print(result.table, result.metrics)
     if args.layer in ("gold", "all"):
         for name in ok:
-            run_gold(store, name, roles).show(truncate=False)
+            _print_all(run_gold(store, name, roles))
+
+
+def _print_all(report):
+    """Every row of a report (a row per check, dataset or table), whole."""
+    report.show(max(1, report.count()), truncate=False)
 
 
 def _active_or_default():

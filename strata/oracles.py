@@ -252,4 +252,5 @@ def oracle_sql() -> dict[str, str]:
               f"{_fixed(BN, 2)} || ' bn Wh  (rank ' || CAST(ranking AS VARCHAR) || ')' AS label, "
               f"avg({BN}) OVER () AS mean_bn, max({BN}) OVER () * 1.4 AS axis_max FROM k4",
     }
+    sql["ingest_stream_second_batch"] = sql["ingest_stream_available_now"]
     return sql

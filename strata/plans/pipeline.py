@@ -11,6 +11,7 @@ lost executor forces a retry.
 from __future__ import annotations
 
 import uuid
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -84,6 +85,8 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
         extra.update(zip(SILVER_CLOCK_COLUMNS, (F.current_timestamp(), F.current_date())))
     if extra:
         df = df.withColumns(extra)
+    if sites is None:
+        warnings.warn(f"no column {roles.sites!r}: small counts are not suppressed", stacklevel=2)
     if sites is not None and observe:
         suppression = Observation(f"silver_suppression_{uuid.uuid4().hex[:8]}")
         df = df.observe(suppression, F.count(F.lit(1)).alias("rows_out"))

@@ -10,6 +10,7 @@ of returned frames, so results are reproducible.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,6 +90,24 @@ def q_ingest_stream_available_now(spark, sf_dir):
         bronze.drop("_ingestion_timestamp", "_ingestion_date", "_source_url"))
 
 
+def q_ingest_stream_second_batch(spark, sf_dir):
+    # Half of the rows land, are ingested, then the other half lands: the
+    # default checkpoint must carry on and pick up the second file only.
+    spec = fixtures.write_readings_landing(spark, sf_dir, typed_timestamp=True)
+    rows = (spark.read.option("sep", spec.sep).option("header", True).option("escape", '"')
+            .csv(spec.location))
+    landing = replace(spec, location=scratch_path(spark, "landing-two-batches"))
+    store = TableStore.scratch(spark)
+    half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
+    for n in (0, 1):
+        (rows.filter(half == n).coalesce(1).write.mode("append").option("sep", spec.sep)
+         .option("header", True).option("escape", '"').csv(landing.location))
+        ingest_stream(store, landing)
+    bronze = store.read("bronze_readings")
+    return standardize_column_names(
+        bronze.drop("_ingestion_timestamp", "_ingestion_date", "_source_url"))
+
+
 def q_table_overwrite_roundtrip(spark, sf_dir):
     store = TableStore.scratch(spark)
     customer = fixtures.load(spark, sf_dir, "customer")

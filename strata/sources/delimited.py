@@ -24,13 +24,13 @@ def read_text_cells(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     raw = (spark.read.option("sep", spec.sep).option("header", spec.header)
            .option("inferSchema", False).option("encoding", spec.encoding)
            .option("mode", "PERMISSIVE").option("nullValue", None)
-           .option("emptyValue", "")
+           .option("emptyValue", "").option("escape", '"')
            .csv(spec.location))
     return raw.select([_na_to_null(F.col(f"`{c}`"), spec.na_tokens).alias(c) for c in raw.columns])
 
 
 # Text shapes that parse as a whole number (fits bigint) or as a number.
-_WHOLE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*(?i)[+-]?(inf|infinity)\s*$"
 
 
@@ -39,14 +39,15 @@ def infer_cell_types(df: DataFrame) -> dict[str, str]:
 
     A column is bigint when every non-NULL cell is a whole number that fits,
     double when every cell is a number; otherwise it stays text. The tests
-    are JVM regular expressions (no failing casts), and the whole input is
+    are JVM regular expressions and lenient casts (none fails), and the whole input is
     one aggregate with partial aggregation per task.
     """
     probes = []
     for i, c in enumerate(df.columns):
         col = F.col(f"`{c}`")
         probes.append(F.count_if(col.isNotNull() & ~col.rlike(_NUMBER)).alias(f"d{i}"))
-        probes.append(F.count_if(col.isNotNull() & ~col.rlike(_WHOLE)).alias(f"l{i}"))
+        fits = col.rlike(_WHOLE) & F.trim(col).try_cast("bigint").isNotNull()
+        probes.append(F.count_if(col.isNotNull() & ~fits).alias(f"l{i}"))
     row = df.agg(*probes).first()
     kinds = {}
     for i, c in enumerate(df.columns):

@@ -74,7 +74,7 @@ def ingest_all(store: TableStore, specs: list[DatasetSpec], strict: bool = True,
             return ingest(store, spec, strict=strict)
         except Exception as exc:  # noqa: BLE001 - recorded in the run log
             return (spec.name, store.database, None, None, None, None, None, "FAILED",
-                    _error_class(exc), str(exc).splitlines()[0][:500] if str(exc) else "", started)
+                    _error_class(exc), str(exc), started)
 
     log = run_all([lambda s=spec: one(s) for spec in specs], max_workers)
     return store.spark.createDataFrame(log, RUN_LOG_SCHEMA)

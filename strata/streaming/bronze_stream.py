@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
+from ..session import scratch_root
 from ..sources.catalog import TableStore
 from ..sources.delimited import _na_to_null, add_audit_columns
 from ..spec import DatasetSpec, TableName
@@ -36,6 +36,7 @@ def bronze_stream_frame(spark: SparkSession, spec: DatasetSpec, max_files_per_tr
         raise ValueError("a row cap has no meaning for an incremental stream")
     raw = (spark.readStream.schema(_header_schema(spark, spec))
            .option("sep", spec.sep).option("header", spec.header).option("encoding", spec.encoding)
+           .option("escape", '"')
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .csv(spec.location))
     types = dict(spec.columns or ())
@@ -49,14 +50,23 @@ def bronze_stream_frame(spark: SparkSession, spec: DatasetSpec, max_files_per_tr
     return add_audit_columns(raw.select(cols), spec)
 
 
+def stream_checkpoint(store: TableStore, table: str) -> str:
+    """The one progress folder of a table; a fresh one would make the sink drop new files."""
+    return f"{scratch_root(store.spark)}/strata/stream-checkpoints/{table}"
+
+
 def ingest_stream(store: TableStore, spec: DatasetSpec, checkpoint: str | None = None,
                   max_files_per_trigger: int = 1000, wait: bool = True) -> StreamingQuery:
-    """Append new landing files to ``bronze_<name>``; stop when caught up."""
+    """Append new landing files to ``bronze_<name>``; stop when caught up.
+
+    Without ``checkpoint`` the progress is kept at a fixed place per table below
+    the shared scratch folder, so the next run goes on where this one stopped.
+    """
     spark = store.spark
     table = store.qualify(TableName("bronze", spec.name).short)
     frame = bronze_stream_frame(spark, spec, max_files_per_trigger)
     query = (frame.writeStream.format(store.fmt)
-             .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-bronze-{spec.name}"))
+             .option("checkpointLocation", checkpoint or stream_checkpoint(store, table))
              .outputMode("append")
              .trigger(availableNow=True)
              .toTable(table))
