@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
 
 
 def _window(partition_by: list[str] | None):
@@ -33,34 +36,47 @@ def lag_previous_period(df: DataFrame, order_col: str, value_col: str, out_col:
     return df.withColumn(out_col, prev)
 
 
+def _ranges(df: DataFrame, order: Column, ranges: int | None) -> DataFrame:
+    """``df`` cut into ranges of ``order``, stored once: adds ``_s`` (row hash) and ``_p`` (range).
+
+    Spark's range partitioning samples the keys, so any orderable type works.
+    The row hash is a second key: a run of equal or NULL keys spreads over as
+    many ranges as its size asks for (rows equal in every column stay
+    together). The ranges are stored below the shared scratch folder, because
+    a second evaluation could sample other bounds.
+    """
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    cut = (df.withColumn("_s", F.xxhash64(*hashed)).repartitionByRange(n, order, F.col("_s"))
+           .withColumn("_p", F.spark_partition_id()))
+    path = scratch_path(spark, "ranges")
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
+
+
 def lag_previous_unbounded(df: DataFrame, order_col: str, value_col: str, out_col: str,
-                           buckets: int = 64) -> DataFrame:
-    """``lag_previous_period`` (offset 1) for inputs of any size.
-
-    The order key is cut into ``buckets`` ranges at approximate quantiles;
-    inside a bucket the previous row comes from a window partitioned by
-    bucket, and the first row of a bucket takes the last value of the
-    previous non-empty bucket (a window over one row per bucket). NULL keys
-    come first, as in an ascending window. Keys should be unique, as the
-    previous row among equal keys has no defined order.
+                           ranges: int | None = None) -> DataFrame:
+    """``lag_previous_period`` (offset 1) for inputs of any size and any orderable key.
+
+    Inside a range the previous row comes from a window partitioned by range;
+    the first row of a range takes the last value of the previous non-empty
+    range (a window over one row per range, broadcast: as many rows as
+    shuffle partitions). NULL keys come first, as in an ascending window. The
+    previous row among equal keys has no defined order. Empty input gives an
+    empty frame.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    key = F.col(order_col)
-    keyed = df.withColumn("_k", key.cast("double"))
-    cuts = keyed.approxQuantile("_k", [i / buckets for i in range(1, buckets)], 0.001)
-    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
-    b = (Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep")
-         .transform(keyed.fillna({"_k": float("nan")}).withColumn("_null", key.isNull())))
-    b = b.withColumn("_b", F.when(F.col("_null"), F.lit(-1.0)).otherwise(F.col("_b")))
-    inside = Window.partitionBy("_b").orderBy(key.asc_nulls_first())
-    b = b.withColumn("_l", F.lag(F.col(value_col)).over(inside)) \
-         .withColumn("_r", F.row_number().over(inside))
-    last = b.groupBy("_b").agg(F.max_by(F.col(value_col), F.col("_r")).alias("_last"))
-    carry = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_carry"))
-    out = b.join(F.broadcast(carry), "_b")
-    return out.withColumn(out_col, F.when(F.col("_r") == 1, F.col("_carry")).otherwise(F.col("_l"))) \
-              .drop("_k", "_b", "_null", "_l", "_r", "_carry")
+    order = F.col(order_col).asc_nulls_first()
+    inside = Window.partitionBy("_p").orderBy(order, "_s")
+    rows = _ranges(df, order, ranges)
+    numbered = (rows.withColumn("_l", F.lag(F.col(value_col)).over(inside))
+                .withColumn("_r", F.row_number().over(inside)))
+    last = (rows.withColumn("_r", F.row_number().over(inside)).groupBy("_p")
+            .agg(F.max_by(F.struct(F.col(value_col).alias("v")), F.col("_r")).alias("_last")))
+    carry = last.select("_p", F.lag("_last").over(Window.orderBy("_p"))["v"].alias("_carry"))
+    out = numbered.join(F.broadcast(carry), "_p")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      F.when(F.col("_r") == 1, F.col("_carry")).otherwise(F.col("_l")).alias(out_col))
 
 
 def pct_change(current: Column, previous: Column, decimals: int = 2) -> Column:
@@ -114,40 +130,37 @@ def top_k_rows(df: DataFrame, value_col: str, k: int, out_col: str = "ranking",
 
 
 def rank_desc_unbounded(df: DataFrame, value_col: str, out_col: str = "ranking",
-                        buckets: int = 64, broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """``rank_desc`` for inputs of any size, with no single-task window.
-
-    rank(v) = 1 + number of rows whose value is greater. Rows are counted
-    per distinct value (a partial aggregation, so a hot value is one row),
-    values are cut into ``buckets`` ranges at approximate quantiles (only
-    the bucket boundaries reach the driver), bucket totals become offsets (a
-    window over ``buckets`` rows), and a running sum inside each bucket (a
-    window partitioned by bucket) finishes the count. NULL values rank last,
-    NaN first (it sorts above every number). Values are compared as doubles.
-    The offsets are broadcast (one row per bucket); the per-value ranks are
-    broadcast only within ``broadcast_max_rows``, else the join back is a
-    shuffle join that AQE splits if one value is hot.
+                        ranges: int | None = None) -> DataFrame:
+    """``rank_desc`` (as bigint) for inputs of any size and any orderable value.
+
+    Each range is ranked by a window partitioned by range, then shifted by
+    the rows of the ranges before it. A run of equal values that began in an
+    earlier range takes the rank of its first row; the run starts come from a
+    window over one row per range (broadcast: as many rows as shuffle
+    partitions). NULL values rank last; empty input gives an empty frame.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    from ..plans.joins import bounded_broadcast
-
-    v = F.col(value_col)
-    counts = df.groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    valued = counts.filter(F.col("_v").isNotNull()).withColumn("_v", F.col("_v").cast("double"))
-    cuts = valued.approxQuantile("_v", [i / buckets for i in range(1, buckets)], 0.001)
-    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep").transform(valued)
-    # buckets are ordered by value; descending rank counts the higher buckets first
-    totals = bucketed.groupBy("_b").agg(F.sum("_n").alias("_t"))
-    above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", F.coalesce(F.sum("_t").over(above), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy("_b").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (bucketed.withColumn("_c", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-              .join(F.broadcast(offsets), "_b")
-              .select(F.col("_v"), (F.lit(1) + F.col("_o") + F.col("_c")).cast("int").alias(out_col)))
-    non_null = valued.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_k"))
-    null_rank = non_null.select(F.lit(None).cast("double").alias("_v"),
-                                (F.lit(1) + F.col("_k")).cast("int").alias(out_col))
-    ranks = bounded_broadcast(ranked.unionByName(null_rank), broadcast_max_rows)
-    return df.join(ranks, v.cast("double").eqNullSafe(F.col("_v"))).drop("_v")
+    value = F.col(value_col)
+    order = value.desc_nulls_last()
+    rows = _ranges(df, order, ranges).withColumn(
+        "_r", F.rank().over(Window.partitionBy("_p").orderBy(order)).cast("bigint"))
+    key = F.struct(value.alias("v"))
+    summary = rows.groupBy("_p").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_r").alias("_last_rank"),
+        F.min_by(key, F.col("_r")).alias("_first"), F.max_by(key, F.col("_r")).alias("_last"))
+    in_order = Window.orderBy("_p")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce((F.col("_n_prev") > 0) & F.col("_first")["v"].eqNullSafe(F.col("_prev")["v"]),
+                         F.lit(False))
+    starts = (summary
+              .withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .withColumn("_prev", F.lag("_last").over(in_order))
+              .withColumn("_n_prev", F.lag("_n").over(in_order))
+              .withColumn("_goes_on", goes_on)
+              .withColumn("_start", F.when(~(F.col("_goes_on") & (F.col("_last_rank") == 1)),
+                                           F.col("_o") + F.col("_last_rank")))
+              .withColumn("_run", F.last("_start", ignorenulls=True).over(before))
+              .select("_p", "_o", F.when(F.col("_goes_on"), F.col("_run"))
+                      .otherwise(F.col("_o") + 1).alias("_head")))
+    out = rows.join(F.broadcast(starts), "_p")
+    rank = F.when(F.col("_r") == 1, F.col("_head")).otherwise(F.col("_o") + F.col("_r"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], rank.alias(out_col))

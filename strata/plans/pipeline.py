@@ -23,9 +23,10 @@ from ..functions.scoring import carbon_score_normalised, categorize
 from ..operators import kpi
 from ..operators.privacy import AUDIT_COLUMN, DEFAULT_MIN_SITES, keep_condition
 from ..operators.quality import N, grouped_rows, metric_exprs, report_from_values
+from ..session import scratch_path
 from ..sources.catalog import TableStore, write_gold
 from ..sources.ingest import ingest_all
-from ..spec import DatasetSpec, Roles, TableName
+from ..spec import DatasetSpec, Roles, TableName, bind_roles
 
 SILVER_CLOCK_COLUMNS = ("_silver_timestamp", "_silver_date")
 
@@ -43,9 +44,13 @@ class SilverPlan:
 
 def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFAULT_MIN_SITES,
                 strict: bool = True, business_tz: str | None = None,
-                with_clock: bool = True, observe: bool = True) -> SilverPlan:
+                with_clock: bool = True, observe: bool = True,
+                allow_unsuppressed: bool = False) -> SilverPlan:
     """Build the Silver frame from a Bronze frame (nothing runs here).
 
+    Without a sites column small counts cannot be suppressed: that raises,
+    unless ``allow_unsuppressed``, which warns instead.
+
     Dedupe happens on the values as they arrive (before any cast), as the
     quality checks do; casts, year, band and score are then one projection.
     """
@@ -54,6 +59,11 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
     df = bronze.select([F.col(f"`{old}`").alias(new) for old, new in zip(kept, names)])
     columns, numeric = df.columns, numeric_columns(df)
     types = {f.name: f.dataType for f in df.schema.fields}
+    if roles.sites not in types:
+        message = f"no column {roles.sites!r}: small counts cannot be suppressed"
+        if not allow_unsuppressed:
+            raise ValueError(f"{message} (allow_unsuppressed=True keeps the rows)")
+        warnings.warn(message, stacklevel=2)
     g = grouped_rows(df)
     quality = suppression = None
     if observe:
@@ -85,8 +95,6 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
         extra.update(zip(SILVER_CLOCK_COLUMNS, (F.current_timestamp(), F.current_date())))
     if extra:
         df = df.withColumns(extra)
-    if sites is None:
-        warnings.warn(f"no column {roles.sites!r}: small counts are not suppressed", stacklevel=2)
     if sites is not None and observe:
         suppression = Observation(f"silver_suppression_{uuid.uuid4().hex[:8]}")
         df = df.observe(suppression, F.count(F.lit(1)).alias("rows_out"))
@@ -100,18 +108,31 @@ class SilverResult:
     metrics: dict = field(default_factory=dict)
 
 
-def run_silver(store: TableStore, dataset: str, roles: Roles = Roles(),
+def silver_roles(bronze: DataFrame, base: Roles = Roles()) -> Roles:
+    """Roles bound to the standardised names of a Bronze frame."""
+    kept = [c for c in bronze.columns if c not in BRONZE_AUDIT_COLUMNS]
+    return bind_roles(standardized_names(kept), base)
+
+
+def run_silver(store: TableStore, dataset: str, roles: Roles | None = None,
                min_sites: int = DEFAULT_MIN_SITES, strict: bool = True,
-               business_tz: str | None = None) -> SilverResult:
-    """Write ``silver_<dataset>`` from ``bronze_<dataset>``, partitioned by year."""
+               business_tz: str | None = None, allow_unsuppressed: bool = False) -> SilverResult:
+    """Write ``silver_<dataset>`` from ``bronze_<dataset>``, partitioned by year.
+
+    Without ``roles`` they are bound by name, then by keyword. The metrics say
+    whether small counts were suppressed.
+    """
     bronze = store.read(TableName("bronze", dataset).short)
-    plan = silver_plan(bronze, roles, min_sites, strict, business_tz)
+    roles = roles or silver_roles(bronze)
+    plan = silver_plan(bronze, roles, min_sites, strict, business_tz,
+                       allow_unsuppressed=allow_unsuppressed)
     target = TableName("silver", dataset).short
     parts = [roles.year] if roles.year and roles.year in plan.frame.columns else None
     store.write(plan.frame, target, partition_by=parts)
     q = plan.quality.get
     metrics = {"rows_in": q["rows_in"], "rows_distinct": q["rows_total"],
-               "rows_deduplicated": q["rows_in"] - q["rows_total"]}
+               "rows_deduplicated": q["rows_in"] - q["rows_total"],
+               "suppression_applied": plan.suppression is not None}
     if plan.suppression is not None:
         out = plan.suppression.get["rows_out"]
         metrics.update(rows_out=out, rows_suppressed=q["rows_total"] - out)
@@ -124,34 +145,62 @@ GOLD_TABLES = ("gold_region_year", "gold_national_trend", "gold_category_share",
 
 
 def gold_frames(silver: DataFrame, roles: Roles = Roles()) -> dict[str, DataFrame | None]:
-    """The four KPI frames (None where a needed role is missing)."""
-    frames = (kpi.kpi_region_year(silver, roles), kpi.kpi_national_trend(silver, roles),
-              kpi.kpi_category_share(silver, roles), kpi.kpi_top_regions(silver, roles))
-    return dict(zip(GOLD_TABLES, frames))
+    """The four KPI frames, unsorted (None where a needed column is missing)."""
+    builders = (kpi.kpi_region_year, kpi.kpi_national_trend, kpi.kpi_category_share, kpi.kpi_top_regions)
+    return {name: build(silver, roles, ordered=False) for name, build in zip(GOLD_TABLES, builders)}
+
 
+def run_gold(store: TableStore, dataset: str, roles: Roles | None = None) -> DataFrame:
+    """Write the KPI tables of a dataset from one pass over its Silver table.
 
-def run_gold(store: TableStore, dataset: str, roles: Roles = Roles()) -> DataFrame:
+    The pass leaves one small base table below the scratch folder; the KPIs
+    read that.
+    """
     silver = store.read(TableName("silver", dataset).short)
-    frames = gold_frames(silver, roles)
+    roles = roles or bind_roles(silver.columns)
+    base = kpi.gold_base(silver, roles)
+    path = scratch_path(store.spark, f"gold-base-{dataset}")
+    base.write.parquet(path)
+    frames = gold_frames(store.spark.read.schema(base.schema).parquet(path), roles)
     return write_gold(store, {f"{name}_{dataset}": df for name, df in frames.items()})
 
 
+LAYER_LOG_SCHEMA = "dataset string, layer string, status string, error string"
+
+
 @dataclass
 class PipelineResult:
+    """Logs and results per dataset; ``layer_log`` has a row per dataset and layer after Bronze."""
+
     bronze_log: DataFrame
     silver: dict[str, SilverResult]
     gold_log: dict[str, DataFrame]
+    layer_log: DataFrame
+
 
+def run_pipeline(store: TableStore, specs: list[DatasetSpec], roles: Roles | None = None,
+                 min_sites: int = DEFAULT_MIN_SITES, strict: bool = True,
+                 allow_unsuppressed: bool = False) -> PipelineResult:
+    """Every dataset through all three layers.
 
-def run_pipeline(store: TableStore, specs: list[DatasetSpec], roles: Roles = Roles(),
-                 min_sites: int = DEFAULT_MIN_SITES, strict: bool = True) -> PipelineResult:
-    """Every dataset through all three layers; a failed ingest skips the rest for it."""
+    A failed layer is logged, skips the rest for its dataset and leaves the
+    other datasets alone. Without ``roles`` each dataset binds its own.
+    """
     log = ingest_all(store, specs, strict=strict)
     ok = {r["dataset"] for r in log.filter(F.col("status") == "SUCCESS").select("dataset").collect()}
-    silver, gold = {}, {}
+    silver, gold, layers = {}, {}, []
     for spec in specs:
         if spec.name not in ok:
             continue
-        silver[spec.name] = run_silver(store, spec.name, roles, min_sites, strict)
-        gold[spec.name] = run_gold(store, spec.name, roles)
-    return PipelineResult(log, silver, gold)
+        layer = "silver"
+        try:
+            silver[spec.name] = run_silver(store, spec.name, roles, min_sites, strict,
+                                           allow_unsuppressed=allow_unsuppressed)
+            note = None if silver[spec.name].metrics["suppression_applied"] else "small counts not suppressed"
+            layers.append((spec.name, layer, "SUCCESS" if note is None else "WARNING", note))
+            layer = "gold"
+            gold[spec.name] = run_gold(store, spec.name, roles)
+            layers.append((spec.name, layer, "SUCCESS", None))
+        except Exception as exc:  # noqa: BLE001 - recorded in the layer log
+            layers.append((spec.name, layer, "FAILED", str(exc)))
+    return PipelineResult(log, silver, gold, store.spark.createDataFrame(layers, LAYER_LOG_SCHEMA))

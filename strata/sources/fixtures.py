@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.joins import DEFAULT_BROADCAST_MAX_ROWS, hint_if, rows_within
 from ..session import scratch_path
 from ..spec import DatasetSpec
 from .delimited import write_delimited
@@ -43,42 +42,22 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-DIMENSION_MAX_ROWS = 10_000
-
-
-def _geo_parts(spark: SparkSession, sf_dir: str):
+def supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(s_suppkey, region) through nation and region."""
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    return nation, region, supplier
-
-
-def _geo(nation, region, supplier, hints=(False, False)):
-    nation_region = nation.join(hint_if(region, hints[0]), F.col("n_regionkey") == F.col("r_regionkey"))
-    return (supplier.join(hint_if(nation_region, hints[1]), F.col("s_nationkey") == F.col("n_nationkey"))
+    nation_region = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return (supplier.join(nation_region, F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", F.col("r_name").alias("region")))
 
 
-def supplier_regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
-    """(s_suppkey, region) through nation and region, and whether it may be broadcast.
-
-    Each dimension is broadcast only when its row count is proven within a
-    bound; the three checks run as one small job (and are remembered).
-    """
-    nation, region, supplier = _geo_parts(spark, sf_dir)
-    plain_nr = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    ok_region, ok_nr, ok_geo = rows_within([
-        (region, DIMENSION_MAX_ROWS), (plain_nr, DIMENSION_MAX_ROWS),
-        (_geo(nation, region, supplier), DEFAULT_BROADCAST_MAX_ROWS)])
-    return _geo(nation, region, supplier, (ok_region, ok_nr)), ok_geo
-
-
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(region, horodate, profil, total_energie_soutiree_wh, nb_points_soutirage)."""
     li = load(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_extendedprice", "l_quantity")
-    geo, small = supplier_regions(spark, sf_dir)
-    return (li.join(hint_if(geo, small), F.col("l_suppkey") == F.col("s_suppkey"))
+    geo = supplier_regions(spark, sf_dir)  # no hints: joins follow measured bytes
+    return (li.join(geo, F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 F.col("region"),
                 F.col("l_shipdate").alias("horodate"),

@@ -128,7 +128,7 @@ def test_unbounded_rank_equals_window_rank(spark):
     rows += [(20_000, float("nan")), (20_001, float("nan"))]
     df = spark.createDataFrame(rows, "id int, v double")
     expect = {r.id: r.ranking for r in windows.rank_desc(df, "v").collect()}
-    got = {r.id: r.ranking for r in windows.rank_desc_unbounded(df, "v", buckets=8).collect()}
+    got = {r.id: r.ranking for r in windows.rank_desc_unbounded(df, "v", ranges=8).collect()}
     assert got == expect
 
 
@@ -150,5 +150,34 @@ def test_unbounded_lag_equals_window_lag(spark):
     rows = [(k, random.choice([None, float(random.randint(0, 99))])) for k in keys]
     df = spark.createDataFrame(rows, "k int, v double")
     expect = {r.k: r.prev for r in windows.lag_previous_period(df, "k", "v", "prev").collect()}
-    got = {r.k: r.prev for r in windows.lag_previous_unbounded(df, "k", "v", "prev", buckets=8).collect()}
+    got = {r.k: r.prev for r in windows.lag_previous_unbounded(df, "k", "v", "prev", ranges=8).collect()}
     assert got == expect
+
+
+def test_unbounded_windows_on_awkward_inputs(spark):
+    kinds = {"big": "1152921504606846976 + id % 5", "day": "date_add(date'2020-01-01', CAST(id % 7 AS int))",
+             "word": "concat('w', id % 11)", "dec": "CAST(id % 13 AS decimal(20,3))",
+             "none": "CAST(NULL AS date)", "hot": "IF(id % 3 = 0, NULL, id)"}
+    for name, sql in kinds.items():
+        df = spark.range(400).selectExpr("id", f"{sql} AS v")
+        expect = {r.id: r.ranking for r in windows.rank_desc(df, "v").collect()}
+        assert {r.id: r.ranking for r in windows.rank_desc_unbounded(df, "v", ranges=6).collect()} == expect, name
+        lagged = windows.lag_previous_unbounded(df, "v", "v", "prev", ranges=6)
+        same = windows.lag_previous_period(df, "v", "v", "prev")
+        assert sorted(map(repr, lagged.select("v", "prev").collect())) == \
+            sorted(map(repr, same.select("v", "prev").collect())), name
+        empty = df.filter("false")
+        assert windows.rank_desc_unbounded(empty, "v").count() == 0
+        assert windows.lag_previous_unbounded(empty, "v", "v", "prev").count() == 0
+    assert windows.rank_desc_unbounded(empty, "v").schema["ranking"].dataType.simpleString() == "bigint"
+
+
+def test_gold_base_gives_the_same_kpis(spark):
+    df = _readings(spark, [("a", 2020, 10.25, 5, "X", "P"), ("a", 2020, None, 6, "INCONNU", "P"),
+                           (None, 2021, 3.5, None, "Y", None), ("b", 2021, None, 7, "INCONNU", "Q"),
+                           ("b", None, 2.0, 8, "X", "Q")])
+    base = kpi.gold_base(df, R)
+    for build in (kpi.kpi_region_year, kpi.kpi_national_trend, kpi.kpi_category_share, kpi.kpi_top_regions):
+        assert sorted(map(repr, build(base, R).collect())) == sorted(map(repr, build(df, R).collect()))
+    bare = df.select("region")
+    assert kpi.kpi_region_year(bare, R) is None and kpi.kpi_top_regions(kpi.gold_base(bare, R), R) is None
