@@ -3,7 +3,9 @@
 A plain ``saveAsTable(mode="overwrite")`` of a file-based table drops the
 old data before the new job has finished, so a failed job leaves no table at
 all, and a plan may not overwrite a table it reads. ``write_table`` therefore
-writes a staging table first and swaps it in only after the job succeeded.
+writes a staging table first and swaps it in only after the job succeeded; the
+old table is kept as a backup until the swap is done. Transactional formats
+overwrite themselves atomically and take no staging table.
 """
 
 from __future__ import annotations
@@ -51,38 +53,73 @@ class TableStore:
                            partition_by=partition_by, metrics=metrics)
 
 
+# Formats of plain files, whose overwrite has to be staged.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+
+
 def write_table(df: DataFrame, table: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None,
                 metrics: Observation | None = None) -> str:
-    """Overwrite ``table`` with ``df`` (schema included) through a staging table.
+    """Overwrite ``table`` with ``df`` (schema included); the old data stays until it worked.
 
     ``metrics`` is an Observation whose row count is filled by this same
     write job, so no second pass is needed to know what was written.
     """
     spark = df.sparkSession
-    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
     out = df.observe(metrics, F.count(F.lit(1)).alias("rows")) if metrics is not None else df
     writer = out.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if fmt not in FILE_FORMATS:
+        writer.option("overwriteSchema", "true").saveAsTable(table)
+        return table
+    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
     try:
         writer.saveAsTable(staging)
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {staging}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {_unqualified(table, staging)}")
-    if partition_by:
-        # The catalog tracks partition locations; re-point them after the move.
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    _swap_in(spark, staging, table, bool(partition_by))
     return table
 
 
-def _unqualified(table: str, staging: str) -> str:
-    # RENAME keeps the database of the source table; give the target with it.
-    if "." in staging:
-        return f"{staging.rsplit('.', 1)[0]}.{table.rsplit('.', 1)[-1]}"
-    return table
+def _swap_in(spark: SparkSession, staging: str, table: str, partitioned: bool) -> None:
+    """Old table -> backup, staging -> table, drop the backup; on an error the old table returns.
+
+    The backup has a fixed name, so a table lost by a crash half way is put
+    back by ``restore_table`` (or replaced by the next write).
+    """
+    backup = f"{table}__backup"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        _rename(spark, table, backup)
+    try:
+        _rename(spark, staging, table)
+        if partitioned:
+            # The catalog tracks partition locations; re-point them after the move.
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    except Exception:
+        if spark.catalog.tableExists(backup):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            restore_table(spark, table)
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")
+
+
+def restore_table(spark: SparkSession, table: str) -> bool:
+    """Put the backup of an interrupted overwrite back; False when there is nothing to do."""
+    backup = f"{table}__backup"
+    if spark.catalog.tableExists(table) or not spark.catalog.tableExists(backup):
+        return False
+    _rename(spark, backup, table)
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return True
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
 
 PROFILE_SCHEMA = T.StructType([
@@ -130,21 +167,26 @@ GOLD_LOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("error", T.StringType()),
 ])
 
 
 def write_gold(store: TableStore, tables: dict[str, DataFrame | None],
                clock_column: str = "_gold_timestamp", max_workers: int = 4) -> DataFrame:
-    """Write each KPI frame that exists; log OK with its row count, or SKIP.
+    """Write each KPI frame that exists; log OK with its row count, SKIP or FAILED.
 
-    The writes are independent jobs and are submitted side by side.
+    The writes are independent jobs and are submitted side by side; one that
+    fails is logged with its error and leaves the others and its old table alone.
     """
     def one(name: str, df: DataFrame | None):
         if df is None:
-            return (name, "SKIP", None)
+            return (name, "SKIP", None, None)
         obs = Observation(f"gold_{name}_{uuid.uuid4().hex[:6]}")
-        store.write(df.withColumn(clock_column, F.current_timestamp()), name, metrics=obs)
-        return (name, "OK", int(obs.get["rows"]))
+        try:
+            store.write(df.withColumn(clock_column, F.current_timestamp()), name, metrics=obs)
+        except Exception as exc:  # noqa: BLE001 - recorded in the log
+            return (name, "FAILED", None, str(exc))
+        return (name, "OK", int(obs.get["rows"]), None)
 
     log = run_all([lambda n=n, d=d: one(n, d) for n, d in tables.items()], max_workers)
     return store.spark.createDataFrame(log, GOLD_LOG_SCHEMA)

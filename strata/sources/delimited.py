@@ -11,7 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
+from ..functions.columns import as_count
 from ..spec import DatasetSpec
 
 
@@ -19,14 +22,54 @@ def _na_to_null(c: Column, tokens: tuple[str, ...]) -> Column:
     return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c) if tokens else c
 
 
-def read_text_cells(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    """All columns as text, missing-value tokens already NULL."""
-    raw = (spark.read.option("sep", spec.sep).option("header", spec.header)
-           .option("inferSchema", False).option("encoding", spec.encoding)
-           .option("mode", "PERMISSIVE").option("nullValue", None)
-           .option("emptyValue", "").option("escape", '"')
-           .csv(spec.location))
-    return raw.select([_na_to_null(F.col(f"`{c}`"), spec.na_tokens).alias(c) for c in raw.columns])
+# Name of the raw text of a record whose field count differs from the header's.
+_RECORD = "__strata_record"
+# Extra fields of a record beyond the header's (0 for most), carried by lenient scans.
+SURPLUS = "__strata_surplus"
+
+
+def _reader(reader, spec: DatasetSpec):
+    # enforceSchema=false: every file's header must name the columns in this order.
+    return (reader.option("sep", spec.sep).option("header", spec.header)
+            .option("encoding", spec.encoding).option("escape", '"')
+            .option("emptyValue", "").option("multiLine", spec.multi_line)
+            .option("columnPruning", False).option("enforceSchema", not spec.header))
+
+
+def header_names(spark: SparkSession, spec: DatasetSpec) -> list[str]:
+    """Column names of the landing files (no type inference)."""
+    return _reader(spark.read, spec).option("enforceSchema", True).csv(spec.location).columns
+
+
+def read_text_cells(spark: SparkSession, spec: DatasetSpec, strict: bool = True,
+                    stream: DataStreamReader | None = None) -> DataFrame:
+    """All columns as text, missing-value tokens already NULL.
+
+    Doubled quotes stand for one quote. A file whose header differs from the
+    others', in names or order, is an error. A short record leaves its last
+    cells NULL. A record with surplus fields, or broken by a line break inside
+    quotes (see ``multi_line``), raises; lenient scans keep it and count the
+    surplus fields in ``SURPLUS``. With ``stream`` the frame is a stream.
+    """
+    names = header_names(spark, spec)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
+    raw = (_reader(stream or spark.read, spec).schema(schema)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).csv(spec.location))
+    record = F.col(_RECORD)
+    bare = F.regexp_replace(record, r'"([^"]|"")*"', "")
+    fields = (F.length(bare) - F.length(F.replace(bare, F.lit(spec.sep)))) / len(spec.sep) + 1
+    surplus = F.greatest(F.lit(0), F.coalesce(fields.cast("int"), F.lit(0)) - F.lit(len(names)))
+    cells = [_na_to_null(F.col(f"`{c}`"), spec.na_tokens).alias(c) for c in names]
+    if not strict:
+        return raw.select(*cells, surplus.alias(SURPLUS))
+    quotes = F.length(record) - F.length(F.replace(record, F.lit('"')))
+    broken = record.isNotNull() & ((surplus > 0) | (quotes % 2 == 1))
+    # The message reads a data column, as Spark refuses plans over the raw record alone.
+    message = F.concat(F.lit(f"malformed record in {spec.name} (surplus fields, or a line break in "
+                             "quotes without multi_line): "), record,
+                       F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
+    sound = F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return raw.filter(sound).select(cells)
 
 
 # Text shapes that parse as a whole number (fits bigint) or as a number.
@@ -64,27 +107,41 @@ def read_delimited(spark: SparkSession, spec: DatasetSpec, strict: bool = True,
     listed stay text unless ``spec.infer_types``. ``strict=False`` turns
     unparsable cells into NULL instead of failing the job; with
     ``bad_cells_column`` each row then also carries how many of its cells
-    were turned into NULL that way, so the loss can be counted.
+    were turned into NULL or dropped that way, so the loss can be counted.
+    Whole numbers may be written as ``12.0``.
     """
-    cells = read_text_cells(spark, spec)
+    cells = read_text_cells(spark, spec, strict)
+    df = typed_cells(cells, cell_types(cells, spec), strict, bad_cells_column)
+    return apply_row_cap(df, spec.row_cap)
+
+
+def cell_types(cells: DataFrame, spec: DatasetSpec) -> dict[str, str]:
+    """Declared types, and inferred ones (an extra pass over the text) where asked for."""
     types = dict(spec.columns or ())
     if spec.infer_types:
-        types = {**infer_cell_types(cells.select([c for c in cells.columns if c not in types])),
-                 **types}
-    out, lost = [], []
-    for c in cells.columns:
+        open_columns = [c for c in cells.columns if c not in types and c != SURPLUS]
+        types = {**infer_cell_types(cells.select([F.col(f"`{c}`") for c in open_columns])), **types}
+    return types
+
+
+def typed_cells(cells: DataFrame, types: dict[str, str], strict: bool = True,
+                bad_cells_column: str | None = None) -> DataFrame:
+    """Text cells cast to ``types``; columns without a type stay text."""
+    out, lost = [], [F.col(SURPLUS)] if SURPLUS in cells.columns else []
+    for c in (c for c in cells.columns if c != SURPLUS):
         text = F.col(f"`{c}`")
         kind = types.get(c, "string")
         col = text
-        if kind != "string":
+        if kind in ("bigint", "long"):
+            col = as_count(text, T.StringType(), strict)
+        elif kind != "string":
             col = text.cast(kind) if strict else text.try_cast(kind)
-            if not strict:
-                lost.append(F.when(text.isNotNull() & col.isNull(), 1).otherwise(0))
+        if kind != "string" and not strict:
+            lost.append(F.when(text.isNotNull() & col.isNull(), 1).otherwise(0))
         out.append(col.alias(c))
     if bad_cells_column and not strict:
         out.append(sum(lost, F.lit(0)).alias(bad_cells_column))
-    df = cells.select(out)
-    return apply_row_cap(df, spec.row_cap)
+    return cells.select(out)
 
 
 def apply_row_cap(df: DataFrame, row_cap: int) -> DataFrame:
@@ -112,7 +169,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", na_token: str = ""
                     timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> str:
     """Write a landing file set (header row, one part file per partition)."""
     (df.write.mode("overwrite").option("sep", sep).option("header", True)
-       .option("nullValue", na_token).option("emptyValue", '""')
+       .option("nullValue", na_token).option("emptyValue", '""').option("escape", '"')
        .option("timestampNTZFormat", timestamp_format)
        .option("timestampFormat", timestamp_format)
        .csv(path))

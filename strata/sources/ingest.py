@@ -30,6 +30,7 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("columns", T.IntegerType()),
     T.StructField("bad_cells", T.LongType()),
+    T.StructField("row_cap", T.LongType()),
     T.StructField("duration_s", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("error_class", T.StringType()),
@@ -58,7 +59,7 @@ def ingest(store: TableStore, spec: DatasetSpec, strict: bool = True) -> tuple:
     store.write(add_audit_columns(df, spec), table.short, metrics=rows_obs)
     rows = int(rows_obs.get["rows"])
     bad = int(obs.get["bad_cells"] or 0) if lenient else None
-    return (spec.name, store.database, table.short, rows, n_columns, bad, int(time.monotonic() - t0),
+    return (spec.name, store.database, table.short, rows, n_columns, bad, _cap(spec), int(time.monotonic() - t0),
             "SUCCESS", None, None, started)
 
 
@@ -73,13 +74,18 @@ def ingest_all(store: TableStore, specs: list[DatasetSpec], strict: bool = True,
         try:
             return ingest(store, spec, strict=strict)
         except Exception as exc:  # noqa: BLE001 - recorded in the run log
-            return (spec.name, store.database, None, None, None, None, None, "FAILED",
+            return (spec.name, store.database, None, None, None, None, _cap(spec), None, "FAILED",
                     _error_class(exc), str(exc), started)
 
     log = run_all([lambda s=spec: one(s) for spec in specs], max_workers)
     return store.spark.createDataFrame(log, RUN_LOG_SCHEMA)
 
 
+def _cap(spec: DatasetSpec) -> int | None:
+    """The row cap a dataset was ingested under, None when it is whole."""
+    return spec.row_cap if spec.row_cap is not None and spec.row_cap >= 0 else None
+
+
 def _error_class(exc: Exception) -> str:
     cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
     try:

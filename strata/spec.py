@@ -25,7 +25,10 @@ class DatasetSpec:
     ``location`` is a path (file, folder or glob) that ``spark.read.csv``
     understands; ``columns`` is an optional ``((raw name, spark type), ...)``
     schema. Without it every column stays text unless ``infer_types`` is set.
-    ``row_cap`` < 0 means no cap.
+    ``row_cap`` < 0 means no cap; a cap is recorded in the run log.
+    ``multi_line`` accepts line breaks inside quoted cells; such files are
+    read whole by one task each, so it is off by default and a record broken
+    by a line break is an error.
     """
 
     name: str
@@ -38,6 +41,7 @@ class DatasetSpec:
     na_tokens: tuple[str, ...] = DEFAULT_NA_TOKENS
     infer_types: bool = False
     encoding: str = "UTF-8"
+    multi_line: bool = False
 
 
 @dataclass(frozen=True)
@@ -101,12 +105,6 @@ def first_present(df: DataFrame, candidates: list[str | None]) -> str | None:
     return next((c for c in candidates if c and c in present), None)
 
 
-def require_columns(df: DataFrame, *names: str) -> None:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns {missing}; have {df.columns}")
-
-
 # Default keywords that identify each role in a standardised header, tried
 # in order (see ``detect_column``).
 ROLE_KEYWORDS = {
@@ -127,3 +125,14 @@ def detect_roles(df: DataFrame, keywords: dict[str, tuple[str, ...]] | None = No
     """
     found = {role: detect_column(df, *kws) for role, kws in (keywords or ROLE_KEYWORDS).items()}
     return replace(base, **found)
+
+
+def bind_roles(columns: list[str], base: Roles = Roles()) -> Roles:
+    """Roles of a dataset: the default name where it is a column, else the first keyword match.
+
+    Columns whose names start with ``_`` (audit and clock columns) are never bound.
+    """
+    own = [c for c in columns if not c.startswith("_")]
+    bound = {role: getattr(base, role) if getattr(base, role) in own else detect_column(own, *kws)
+             for role, kws in ROLE_KEYWORDS.items()}
+    return replace(base, **bound)

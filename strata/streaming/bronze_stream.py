@@ -12,42 +12,33 @@ simply started again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_root
 from ..sources.catalog import TableStore
-from ..sources.delimited import _na_to_null, add_audit_columns
+from ..sources.delimited import add_audit_columns, cell_types, read_text_cells, typed_cells
 from ..spec import DatasetSpec, TableName
 
-
-def _header_schema(spark: SparkSession, spec: DatasetSpec) -> T.StructType:
-    # Header names only (no type inference): a text schema for the stream.
-    names = (spark.read.option("sep", spec.sep).option("header", spec.header)
-             .option("encoding", spec.encoding).csv(spec.location).columns)
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+#: Lenient streams carry per row how many cells became NULL or were dropped.
+BAD_CELLS = "_bad_cells"
 
 
 def bronze_stream_frame(spark: SparkSession, spec: DatasetSpec, max_files_per_trigger: int = 1000,
-                        strict: bool = True) -> DataFrame:
-    """Streaming frame of the landing folder, typed and with audit columns."""
+                        strict: bool = True, types: dict[str, str] | None = None) -> DataFrame:
+    """Streaming frame of the landing folder, typed and with audit columns.
+
+    The scan and the casts are those of the batch ingestion. ``types``
+    (default: declared ones, and those inferred from the files there are now)
+    must not change between the runs of one table.
+    """
     if spec.row_cap is not None and spec.row_cap >= 0:
         raise ValueError("a row cap has no meaning for an incremental stream")
-    raw = (spark.readStream.schema(_header_schema(spark, spec))
-           .option("sep", spec.sep).option("header", spec.header).option("encoding", spec.encoding)
-           .option("escape", '"')
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .csv(spec.location))
-    types = dict(spec.columns or ())
-    cols = []
-    for c in raw.columns:
-        col = _na_to_null(F.col(f"`{c}`"), spec.na_tokens)
-        kind = types.get(c, "string")
-        if kind != "string":
-            col = col.cast(kind) if strict else col.try_cast(kind)
-        cols.append(col.alias(c))
-    return add_audit_columns(raw.select(cols), spec)
+    if types is None:
+        types = cell_types(read_text_cells(spark, spec, strict), spec)
+    limited = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    cells = read_text_cells(spark, spec, strict, stream=limited)
+    bad = None if strict else BAD_CELLS
+    return add_audit_columns(typed_cells(cells, types, strict, bad), spec)
 
 
 def stream_checkpoint(store: TableStore, table: str) -> str:
@@ -56,15 +47,19 @@ def stream_checkpoint(store: TableStore, table: str) -> str:
 
 
 def ingest_stream(store: TableStore, spec: DatasetSpec, checkpoint: str | None = None,
-                  max_files_per_trigger: int = 1000, wait: bool = True) -> StreamingQuery:
+                  max_files_per_trigger: int = 1000, wait: bool = True,
+                  strict: bool = True) -> StreamingQuery:
     """Append new landing files to ``bronze_<name>``; stop when caught up.
 
     Without ``checkpoint`` the progress is kept at a fixed place per table below
     the shared scratch folder, so the next run goes on where this one stopped.
+    A table that exists keeps its column types. ``strict=False`` turns
+    unparsable cells into NULL and keeps their number in ``_bad_cells``.
     """
     spark = store.spark
     table = store.qualify(TableName("bronze", spec.name).short)
-    frame = bronze_stream_frame(spark, spec, max_files_per_trigger)
+    types = dict(store.read(table).dtypes) if store.exists(table) else None
+    frame = bronze_stream_frame(spark, spec, max_files_per_trigger, strict, types)
     query = (frame.writeStream.format(store.fmt)
              .option("checkpointLocation", checkpoint or stream_checkpoint(store, table))
              .outputMode("append")

@@ -80,7 +80,7 @@ def test_ingestion_log_isolates_failures(spark):
 def test_gold_sink_skips_missing(spark):
     store = TableStore.scratch(spark)
     log = write_gold(store, {"k1": spark.range(3), "k2": None})
-    assert sorted(tuple(r) for r in log.collect()) == [("k1", "OK", 3), ("k2", "SKIP", None)]
+    assert sorted(tuple(r) for r in log.collect()) == [("k1", "OK", 3, None), ("k2", "SKIP", None, None)]
     assert "_gold_timestamp" in store.read("k1").columns
 
 
@@ -113,3 +113,51 @@ def test_schema_listing(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "k bigint, s string, v double")
     assert [tuple(r) for r in schema_listing(df).collect()] == \
         [(0, "k", "bigint"), (1, "s", "string"), (2, "v", "double")]
+
+
+def test_surplus_fields_and_broken_records_raise(spark):
+    for text in ("a;b\n1;2\n3;4;5\n", 'a;b\n1;"x\ny"\n'):
+        with pytest.raises(Exception, match="malformed record"):
+            read_delimited(spark, DatasetSpec("t", _landing(spark, text))).collect()
+        with pytest.raises(Exception, match="malformed record"):
+            read_delimited(spark, DatasetSpec("t", _landing(spark, text))).count()
+    short = _landing(spark, "a;b\n1\n2;x\n")
+    assert [tuple(r) for r in read_delimited(spark, DatasetSpec("t", short)).collect()] == [("1", None), ("2", "x")]
+    quoted = _landing(spark, 'a;b\n1.0;"x\ny ""z"";"\n')
+    spec = DatasetSpec("t", quoted, multi_line=True, columns=(("a", "bigint"),))
+    assert [tuple(r) for r in read_delimited(spark, spec).collect()] == [(1, 'x\ny "z";')]
+
+
+def test_failed_swap_keeps_old_table(spark, monkeypatch):
+    from strata.sources import catalog
+
+    store = TableStore.scratch(spark)
+    store.write(spark.range(3), "t")
+    rename = catalog._rename
+
+    def failing(s, old, new):
+        if "__staging_" in old:
+            raise RuntimeError("lost between backup and swap")
+        rename(s, old, new)
+
+    monkeypatch.setattr(catalog, "_rename", failing)
+    with pytest.raises(RuntimeError):
+        store.write(spark.range(9), "t")
+    assert store.read("t").count() == 3
+    monkeypatch.undo()
+    # a crash right after the backup: the table can be put back
+    catalog._rename(spark, store.qualify("t"), store.qualify("t") + "__backup")
+    assert catalog.restore_table(spark, store.qualify("t")) and store.read("t").count() == 3
+    assert not catalog.restore_table(spark, store.qualify("t"))
+
+
+def test_stream_infers_types_and_counts_bad_cells(spark):
+    from strata.streaming.bronze_stream import ingest_stream
+
+    store = TableStore.scratch(spark)
+    spec = DatasetSpec("i", _landing(spark, "a;b\n1;2.5\n2;NA\n"), infer_types=True)
+    ingest_stream(store, spec)
+    assert dict(store.read("bronze_i").dtypes)["a"] == "bigint" and dict(store.read("bronze_i").dtypes)["b"] == "double"
+    lenient = DatasetSpec("l", _landing(spark, "a;b\n1;x\noops;y;z\n"), columns=(("a", "bigint"),))
+    ingest_stream(store, lenient, strict=False)
+    assert sorted((r.a or 0, r._bad_cells) for r in store.read("bronze_l").collect()) == [(0, 2), (1, 0)]
