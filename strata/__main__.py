@@ -7,7 +7,8 @@
 ``bronze`` ingests the datasets and prints the run log and report;
 ``silver`` writes the cleaned tables and prints their quality report and
 metrics; ``gold`` writes the KPI tables and prints the write log; ``all``
-does the three in order. Connects to the session that spark-submit (or the
+does the three in order. Column roles are bound per dataset by name, then by
+keyword; the session is sized for the input. Connects to the session that spark-submit (or the
 environment) configures.
 """
 
@@ -16,10 +17,10 @@ from __future__ import annotations
 import argparse
 
 from .plans.pipeline import run_gold, run_silver
-from .session import build_session
+from .session import apply_scale, build_session, input_bytes
 from .sources.catalog import TableStore
 from .sources.ingest import ingest_all, ingestion_report
-from .spec import DatasetSpec, Roles
+from .spec import DatasetSpec
 
 
 def _specs(args) -> list[DatasetSpec]:
@@ -29,7 +30,7 @@ def _specs(args) -> list[DatasetSpec]:
         name, location = item.split("=", 1)
         specs.append(DatasetSpec(name=name, location=location, description=args.description,
                                  sep=args.sep, columns=columns or None, row_cap=args.row_cap,
-                                 infer_types=args.infer_types))
+                                 infer_types=args.infer_types, multi_line=args.multi_line))
     return specs
 
 
@@ -46,6 +47,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--min-sites", type=int, default=5)
     ap.add_argument("--lenient", action="store_true", help="unparsable cells become NULL (counted)")
+    ap.add_argument("--multi-line", action="store_true", help="line breaks inside quoted cells")
+    ap.add_argument("--allow-unsuppressed", action="store_true",
+                    help="go on without a sites column (small counts stay)")
     ap.add_argument("--master", default=None, help="only for runs outside spark-submit")
     args = ap.parse_args(argv)
 
@@ -53,8 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
     store = TableStore(spark, args.database, args.format)
-    roles = Roles()
     specs = _specs(args)
+    apply_scale(spark, input_bytes(spark, [s.location for s in specs]))
     ok = [s.name for s in specs]
     if args.layer in ("bronze", "all"):
         log = ingest_all(store, specs, strict=not args.lenient)
@@ -62,12 +66,13 @@ def main(argv: list[str] | None = None) -> None:
         ok = [r["dataset"] for r in log.filter("status = 'SUCCESS'").select("dataset").collect()]
     if args.layer in ("silver", "all"):
         for name in ok:
-            result = run_silver(store, name, roles, args.min_sites, strict=not args.lenient)
+            result = run_silver(store, name, None, args.min_sites, strict=not args.lenient,
+                                allow_unsuppressed=args.allow_unsuppressed)
             _print_all(result.quality_report)
             print(result.table, result.metrics)
     if args.layer in ("gold", "all"):
         for name in ok:
-            _print_all(run_gold(store, name, roles))
+            _print_all(run_gold(store, name))
 
 
 def _print_all(report):

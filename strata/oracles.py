@@ -2,14 +2,14 @@
 
 The test tables are views in DuckDB. Type conventions follow Spark's
 results: ``year()`` and ``rank()`` are cast to INTEGER, sums of integers to
-BIGINT; every division that could hit zero is guarded by CASE.
+BIGINT; every division that could hit zero is guarded by CASE. The figures of
+the domain (bands, labels, factors, thresholds, check names) are written out
+here and not taken from the implementation, so a change there shows.
 """
 
 from __future__ import annotations
 
-from .functions import scoring
-from .operators import quality
-from .queries import MIN_SITES, PARTITION_YEAR, ROW_CAP, TOP_K
+from .queries import PARTITION_YEAR, ROW_CAP, TOP_K
 from .sources.fixtures import LANDING_HEADERS, READINGS_SQL
 
 E, S = "total_energie_soutiree_wh", "nb_points_soutirage"
@@ -26,12 +26,15 @@ def RE(x: str, d: int) -> str:
 
 READING_COLS = ["region", "horodate", "profil", E, S]
 
-CATEGORY = scoring.categorize_sql(E)
+MIN_SITES = 5
+CATEGORY = (f"CASE WHEN {E} IS NULL THEN 'INCONNU' WHEN {E} < 1000 THEN 'TRES FAIBLE' "
+            f"WHEN {E} < 5000 THEN 'FAIBLE' WHEN {E} < 20000 THEN 'MODEREE' "
+            f"WHEN {E} < 100000 THEN 'ELEVEE' ELSE 'TRES ELEVEE' END")
 SCORE = (f"CASE WHEN {E} IS NOT NULL AND {S} IS NOT NULL AND {S} <> 0 THEN "
-         f"least({scoring.NORMALISED_CAP!r}, "
-         f"{RE(f'{E} / {S} / {scoring.NORMALISED_DIVISOR!r} * 10.0', 0)} / 10.0) END")
+         f"least(100.0, "
+         f"{RE(f'{E} / {S} / 50.0 * 10.0', 0)} / 10.0) END")
 EMISSION = (f"CASE WHEN {E} IS NOT NULL AND {S} IS NOT NULL AND {S} <> 0 THEN "
-            f"{R(f'{E} / 1000.0 * {scoring.EMISSION_FACTOR!r} / {S}', 2)} END")
+            f"{R(f'{E} / 1000.0 * 0.0571 / {S}', 2)} END")
 YEAR = "CAST(year(horodate) AS INTEGER)"
 
 READINGS = f"readings AS ({READINGS_SQL})"
@@ -57,28 +60,28 @@ def _with(*ctes: str) -> str:
 # --- quality report ------------------------------------------------------------
 
 def _dq(rel: str, columns: list[str], numeric: list[str], rows_are_distinct: bool = False,
-        checks: tuple[str, ...] = (quality.NULL_CHECK, quality.DUPLICATE_CHECK, quality.NEGATIVE_CHECK)
+        checks: tuple[str, ...] = ("null_check", "duplicate_check", "negative_check")
         ) -> str:
     parts = []
-    if quality.NULL_CHECK in checks:
-        parts += [f"SELECT '{quality.NULL_CHECK}' AS check_name, '{c}' AS column_name, "
+    if "null_check" in checks:
+        parts += [f"SELECT 'null_check' AS check_name, '{c}' AS column_name, "
                   f"count(*) FILTER (WHERE \"{c}\" IS NULL) AS metric_count FROM {rel}" for c in columns]
-    if quality.DUPLICATE_CHECK in checks:
+    if "duplicate_check" in checks:
         dup = "0" if rows_are_distinct else \
             f"(SELECT count(*) FROM {rel}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {rel}))"
-        parts.append(f"SELECT '{quality.DUPLICATE_CHECK}' AS check_name, '{quality.ALL_COLUMNS}' AS column_name, "
+        parts.append(f"SELECT 'duplicate_check' AS check_name, 'ALL' AS column_name, "
                      f"{dup} AS metric_count")
-    if quality.NEGATIVE_CHECK in checks:
-        parts += [f"SELECT '{quality.NEGATIVE_CHECK}' AS check_name, '{c}' AS column_name, "
+    if "negative_check" in checks:
+        parts += [f"SELECT 'negative_check' AS check_name, '{c}' AS column_name, "
                   f"count(*) FILTER (WHERE \"{c}\" < 0) AS metric_count FROM {rel}"
                   for c in numeric]
     total = f"(SELECT count(*) FROM {rel})"
     pct = f"CASE WHEN {total} > 0 THEN metric_count / {total} * 100.0 ELSE 0.0 END"
     return (f"SELECT check_name, column_name, CAST(metric_count AS BIGINT) AS metric_count, "
-            f"CASE WHEN check_name = '{quality.NULL_CHECK}' THEN {RE(pct, 2)} END AS metric_pct, "
-            f"CASE WHEN check_name = '{quality.NULL_CHECK}' THEN "
-            f"  CASE WHEN {pct} = 0 THEN 'PASS' WHEN {pct} < {quality.NULL_FAIL_PCT!r} THEN 'WARNING' ELSE 'FAIL' END "
-            f" WHEN check_name = '{quality.DUPLICATE_CHECK}' THEN "
+            f"CASE WHEN check_name = 'null_check' THEN {RE(pct, 2)} END AS metric_pct, "
+            f"CASE WHEN check_name = 'null_check' THEN "
+            f"  CASE WHEN {pct} = 0 THEN 'PASS' WHEN {pct} < 5.0 THEN 'WARNING' ELSE 'FAIL' END "
+            f" WHEN check_name = 'duplicate_check' THEN "
             f"  CASE WHEN metric_count = 0 THEN 'PASS' ELSE 'WARNING' END "
             f" ELSE CASE WHEN metric_count = 0 THEN 'PASS' ELSE 'FAIL' END END AS status "
             f"FROM ({' UNION ALL '.join(parts)}) checks")
@@ -161,7 +164,9 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'gold_national_trend', 'OK', (SELECT count(*) FROM (SELECT DISTINCT annee FROM silver)) "
             "UNION ALL SELECT 'gold_category_share', 'SKIP', NULL "
             "UNION ALL SELECT 'gold_top_regions', 'OK', (SELECT count(*) FROM (SELECT DISTINCT region FROM silver "
-            "WHERE annee = (SELECT max(annee) FROM silver)))",
+            "WHERE annee = (SELECT max(annee) FROM silver))) "
+            "UNION ALL SELECT 'gold_without_region', 'SKIP', NULL "
+            "UNION ALL SELECT 'gold_failing', 'FAILED', NULL",
         "silver_pipeline": text_silver + "SELECT * FROM silver",
         "silver_quality_report": _with(READINGS, READINGS_TEXT,
                                        "d AS (SELECT DISTINCT * FROM readings_text)")
@@ -187,10 +192,10 @@ def oracle_sql() -> dict[str, str]:
         "dedup_metrics": r + "SELECT (SELECT count(*) FROM readings) AS rows_before, "
             "(SELECT count(*) FROM (SELECT DISTINCT * FROM readings)) AS rows_after, "
             "(SELECT count(*) FROM readings) - (SELECT count(*) FROM (SELECT DISTINCT * FROM readings)) AS rows_removed",
-        "dq_null_check": r + _dq("readings", READING_COLS, [E, S], checks=(quality.NULL_CHECK,)),
-        "dq_duplicate_check": r + _dq("readings", READING_COLS, [E, S], checks=(quality.DUPLICATE_CHECK,)),
+        "dq_null_check": r + _dq("readings", READING_COLS, [E, S], checks=("null_check",)),
+        "dq_duplicate_check": r + _dq("readings", READING_COLS, [E, S], checks=("duplicate_check",)),
         "dq_negative_check": _dq("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-                                 ["c_custkey", "c_nationkey", "c_acctbal"], checks=(quality.NEGATIVE_CHECK,)),
+                                 ["c_custkey", "c_nationkey", "c_acctbal"], checks=("negative_check",)),
         "dq_summary": r + "SELECT count(*) AS n_checks, count(*) FILTER (WHERE status = 'FAIL') AS n_fail, "
             "count(*) FILTER (WHERE status = 'WARNING') AS n_warning FROM ("
             + _dq("readings", READING_COLS, [E, S]) + ") rep",
@@ -220,10 +225,21 @@ def oracle_sql() -> dict[str, str]:
         "top_k_per_year": _with(READINGS, _totals("region, annee"))
             + "SELECT * FROM (SELECT region, annee, energy_total, CAST(rank() OVER (PARTITION BY annee "
               f"ORDER BY energy_total DESC NULLS LAST) AS INTEGER) AS ranking FROM t) x WHERE ranking <= {TOP_K}",
-        "rank_desc_unbounded": "SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(rank() OVER "
-            "(ORDER BY l_extendedprice DESC NULLS LAST) AS INTEGER) AS ranking FROM lineitem",
+        "rank_desc_unbounded": "SELECT l_orderkey, l_linenumber, l_extendedprice, "
+            "rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS ranking FROM lineitem",
+        "rank_desc_large_keys": "SELECT l_linenumber, big_key, "
+            "rank() OVER (ORDER BY big_key DESC NULLS LAST) AS ranking "
+            "FROM (SELECT l_linenumber, l_orderkey + 1152921504606846976 AS big_key FROM lineitem) x",
+        "rank_desc_null_third": "SELECT l_orderkey, l_linenumber, ship_date, "
+            "rank() OVER (ORDER BY ship_date DESC NULLS LAST) AS ranking FROM (SELECT l_orderkey, l_linenumber, "
+            "CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_shipdate AS DATE) END AS ship_date FROM lineitem) x",
         "lag_previous_unbounded": "SELECT o_orderkey, o_totalprice, lag(o_totalprice) OVER "
             "(ORDER BY o_orderkey NULLS FIRST) AS previous_totalprice FROM orders",
+        "lag_previous_dates": "SELECT order_date, previous_date, count(*) AS n_rows FROM (SELECT order_date, "
+            "lag(order_date) OVER (ORDER BY order_date) AS previous_date FROM "
+            "(SELECT CAST(o_orderdate AS DATE) AS order_date FROM orders) x) y GROUP BY ALL",
+        "share_of_total_unbounded": "SELECT o_orderkey, o_totalprice, "
+            + R("o_totalprice / (SELECT sum(o_totalprice) FROM orders) * 100.0", 4) + " AS pct_of_total FROM orders",
         # KPIs
         "kpi_region_year": _with(READINGS, SILVER, K1) + "SELECT * FROM k1",
         "kpi_national_trend": _with(READINGS, SILVER, K2) + "SELECT * FROM k2",
@@ -252,5 +268,13 @@ def oracle_sql() -> dict[str, str]:
               f"{_fixed(BN, 2)} || ' bn Wh  (rank ' || CAST(ranking AS VARCHAR) || ')' AS label, "
               f"avg({BN}) OVER () AS mean_bn, max({BN}) OVER () * 1.4 AS axis_max FROM k4",
     }
+    # the same rows, whatever awkward form they landed in
+    sql["csv_quoted_cells"] = ("SELECT c_custkey, '\"' || c_name || '\";' || chr(10) || c_mktsegment AS c_quoted, "
+                               "c_nationkey FROM customer")
+    sql["csv_ragged_rows"] = ("SELECT c_custkey, CASE WHEN c_nationkey % 3 <> 0 THEN c_name END AS c_name, "
+                              "CASE WHEN c_nationkey % 3 = 1 THEN 1 ELSE 0 END AS bad_cells FROM customer")
+    sql["csv_header_order"] = ("SELECT 'swapped' AS dataset, 'FAILED' AS status, CAST(NULL AS BIGINT) AS rows "
+                               "UNION ALL SELECT 'same', 'SUCCESS', (SELECT count(*) FROM customer)")
+    sql["silver_detected_roles"] = sql["silver_pipeline"]
     sql["ingest_stream_second_batch"] = sql["ingest_stream_available_now"]
     return sql

@@ -70,6 +70,53 @@ def q_row_cap(spark, sf_dir):
     return read_delimited(spark, spec).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_csv_quoted_cells(spark, sf_dir):
+    # quotes, separators and line breaks inside quoted cells
+    cell = F.concat(F.lit('"\"\"'), F.col("c_name"), F.lit('\"\";\n'), F.col("c_mktsegment"), F.lit('"'))
+    path = scratch_path(spark, "landing-quoted")
+    rows = fixtures.load(spark, sf_dir, "customer").select(
+        F.concat_ws(";", "c_custkey", cell, "c_nationkey").alias("value"))
+    rows.write.option("lineSep", "\n").text(path)
+    spec = DatasetSpec("quoted", path, header=False, multi_line=True, infer_types=False,
+                       columns=(("_c0", "bigint"), ("_c2", "int")))
+    return read_delimited(spark, spec).toDF("c_custkey", "c_quoted", "c_nationkey")
+
+
+def _raw_lines(spark, sf_dir, header, line):
+    """Customer rows as unquoted landing lines below a header; returns the folder."""
+    path = scratch_path(spark, "landing-lines")
+    (fixtures.load(spark, sf_dir, "customer").select(line.alias(header))
+     .write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path))
+    return path
+
+
+def q_csv_ragged_rows(spark, sf_dir):
+    # a third of the records is short, a third has a field too many (lenient scan);
+    # whole numbers are written with a decimal point
+    key = F.concat(F.col("c_custkey").cast("string"), F.lit(".0"))
+    kind = F.col("c_nationkey") % 3
+    line = (F.when(kind == 0, key).when(kind == 1, F.concat_ws(";", key, "c_name", F.lit("x")))
+            .otherwise(F.concat_ws(";", key, "c_name")))
+    spec = DatasetSpec("ragged", _raw_lines(spark, sf_dir, "c_custkey;c_name", line),
+                       columns=(("c_custkey", "bigint"),))
+    return read_delimited(spark, spec, strict=False, bad_cells_column="bad_cells")
+
+
+def q_csv_header_order(spark, sf_dir):
+    # a second file with the columns in another order must fail, one in the same order must not
+    store = TableStore.scratch(spark)
+    specs = []
+    for name, second in (("swapped", ["c_name", "c_custkey"]), ("same", ["c_custkey", "c_name"])):
+        path = scratch_path(spark, f"landing-{name}")
+        customer = fixtures.load(spark, sf_dir, "customer")
+        half = F.col("c_custkey") % 2
+        for n, columns in ((0, ["c_custkey", "c_name"]), (1, second)):
+            (customer.filter(half == n).select(*columns).write.mode("append")
+             .option("sep", ";").option("header", True).csv(path))
+        specs.append(DatasetSpec(name, path))
+    return ingest_all(store, specs).select("dataset", "status", "rows")
+
+
 def q_ingest_audit_columns(spark, sf_dir):
     spec = fixtures.write_readings_landing(spark, sf_dir, typed_timestamp=True)
     store = TableStore.scratch(spark)
@@ -153,11 +200,15 @@ def q_table_profile(spark, sf_dir):
 
 def q_gold_write_log(spark, sf_dir):
     # Gold reads the stored Silver table; without category and profile the
-    # category KPI cannot be built and is logged as SKIP.
+    # category KPI cannot be built and is logged as SKIP, as is a ranking without
+    # a region column; a table whose job fails is logged and harms no other.
     store = TableStore.scratch(spark)
     store.write(silver(spark, sf_dir), "silver_readings", partition_by=[ROLES.year])
     frame = store.read("silver_readings").drop(ROLES.category, ROLES.profile)
-    return write_gold(store, gold_frames(frame, ROLES))
+    frames = gold_frames(frame, ROLES)
+    frames["gold_without_region"] = kpi.kpi_top_regions(frame.drop(ROLES.region), ROLES)
+    frames["gold_failing"] = frame.select(F.raise_error(F.lit("no such figure")).alias("x"))
+    return write_gold(store, frames).drop("error")
 
 
 def q_silver_pipeline(spark, sf_dir):
@@ -167,6 +218,18 @@ def q_silver_pipeline(spark, sf_dir):
     return store.read("silver_readings").drop(*SILVER_CLOCK_COLUMNS)
 
 
+def q_silver_detected_roles(spark, sf_dir):
+    # foreign headers: the roles are bound by keyword, so scoring and suppression still happen
+    foreign = {"region": "sales_region", "horodate": "reading_date", "profil": "client_profil",
+               E: "energy_used", S: "number_of_sites"}
+    store = TableStore.scratch(spark)
+    store.write(readings(spark, sf_dir).withColumn("horodate", F.col("horodate").cast("string"))
+                .withColumnsRenamed(foreign), "bronze_foreign")
+    run_silver(store, "foreign", None, MIN_SITES)
+    return (store.read("silver_foreign").drop(*SILVER_CLOCK_COLUMNS)
+            .withColumnsRenamed({v: k for k, v in foreign.items()}))
+
+
 def q_silver_quality_report(spark, sf_dir):
     store = TableStore.scratch(spark)
     ingest_all(store, [fixtures.write_readings_landing(spark, sf_dir)])
@@ -317,6 +380,34 @@ def q_rank_desc_unbounded(spark, sf_dir):
     return windows.rank_desc_unbounded(li, "l_extendedprice")
 
 
+def q_rank_desc_large_keys(spark, sf_dir):
+    # neighbouring keys past 2^53, which doubles cannot tell apart
+    li = fixtures.load(spark, sf_dir, "lineitem").select(
+        "l_linenumber", (F.col("l_orderkey") + F.lit(2 ** 60)).alias("big_key"))
+    return windows.rank_desc_unbounded(li, "big_key")
+
+
+def q_rank_desc_null_third(spark, sf_dir):
+    # a date key; a third of the rows has none
+    li = fixtures.load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 3 != 0, F.col("l_shipdate").cast("date")).alias("ship_date"))
+    return windows.rank_desc_unbounded(li, "ship_date")
+
+
+def q_lag_previous_dates(spark, sf_dir):
+    # a date key with ties: the pairs (date, previous date) do not depend on the order of ties
+    orders = fixtures.load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+    lagged = windows.lag_previous_unbounded(orders, "order_date", "order_date", "previous_date")
+    return lagged.groupBy("order_date", "previous_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_share_of_total_unbounded(spark, sf_dir):
+    orders = fixtures.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return windows.share_of_total_unbounded(orders, "o_totalprice", decimals=4)
+
+
 def q_lag_previous_unbounded(spark, sf_dir):
     orders = fixtures.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return windows.lag_previous_unbounded(orders, "o_orderkey", "o_totalprice", "previous_totalprice")

@@ -44,18 +44,15 @@ _MB = 1024 * 1024
 def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Session settings sized for the input, for ``build_session(extra=...)``.
 
-    Scans split into ~256 MB tasks (512 MB past 10 TB, to keep the task
-    count in the hundreds of thousands at most). The shuffle starts with one
-    partition per ~256 MB of input, between 2x the cores and 100,000; AQE
-    then coalesces small partitions to the 256 MB advisory size and splits
+    Scans split into ~256 MB tasks. The shuffle starts with one partition per
+    ~256 MB of input, at least 2x the cores; AQE then coalesces small partitions to the 256 MB advisory size and splits
     skewed ones (a partition 5x the median and over 512 MB). The Silver
     dedupe and the quality pass shuffle about the projected input, so this
     keeps each reducer's share near the advisory size.
     """
-    split = 512 * _MB if input_bytes > 10 * 1024 ** 4 else 256 * _MB
-    partitions = max(2 * total_cores, min(100_000, input_bytes // (256 * _MB) or 1))
+    partitions = max(2 * total_cores, -(-input_bytes // (256 * _MB)))
     return {
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.maxPartitionBytes": str(256 * _MB),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -68,6 +65,24 @@ def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     }
 
 
+def input_bytes(spark: SparkSession, locations: list[str]) -> int:
+    """Size of the files behind paths, folders or globs (missing ones count 0)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for location in locations:
+        path = jvm.org.apache.hadoop.fs.Path(location)
+        fs = path.getFileSystem(conf)
+        total += sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(path) or [])
+    return total
+
+
+def apply_scale(spark: SparkSession, size: int) -> None:
+    """Set ``scale_settings`` for ``size`` input bytes on a running session."""
+    for key, value in scale_settings(size, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -28,6 +28,7 @@ def test_full_pipeline(spark):
     assert rep[("null_check", "total_energie_soutiree_wh")] == "FAIL"
     gold = {r.table_name: r.status for r in res.gold_log["readings"].collect()}
     assert set(gold.values()) == {"OK"} and len(gold) == 4
+    assert [(r.layer, r.status) for r in res.layer_log.collect()] == [("silver", "SUCCESS"), ("gold", "SUCCESS")]
     # Silver is partitioned by year: a year filter prunes files
     one_year = store.read("silver_readings").filter(F.col("annee") == 1996)
     assert "PartitionFilters: [isnotnull(annee" in _plan(one_year)
@@ -82,3 +83,55 @@ def test_command_line_runs_all_layers(spark, capsys):
     tables = {t.name for t in spark.catalog.listTables(db)}
     assert {"bronze_readings", "silver_readings", "gold_region_year_readings",
             "gold_top_regions_readings"} <= tables
+
+
+def test_gold_reads_silver_once(spark, monkeypatch):
+    from strata.plans import pipeline
+
+    store = TableStore.scratch(spark)
+    df = spark.createDataFrame([("a", 2020, 1e6, 9, "X", "P"), ("b", 2021, 2e6, 9, "X", "P")],
+                               "region string, annee int, total_energie_soutiree_wh double, "
+                               "nb_points_soutirage bigint, consumption_category string, profil string")
+    store.write(df, "silver_s", partition_by=["annee"])
+    seen = {}
+    write = pipeline.write_gold
+    monkeypatch.setattr(pipeline, "write_gold", lambda st, frames: seen.update(frames) or write(st, frames))
+    assert {r.status for r in pipeline.run_gold(store, "s").collect()} == {"OK"}
+    silver = set(store.read("silver_s").inputFiles())
+    assert len(seen) == 4 and all(not silver & set(f.inputFiles()) for f in seen.values())
+    assert all("rangepartitioning" not in _plan(f) for f in seen.values())
+
+
+def test_fixture_plan_starts_no_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-only", "plan-only")
+    fixtures.readings(spark, SF_SMALL)
+    assert not sc.statusTracker().getJobIdsForGroup("plan-only")
+
+
+def test_missing_sites_column_raises(spark):
+    import pytest
+
+    from strata.plans.pipeline import run_silver
+
+    store = TableStore.scratch(spark)
+    store.write(spark.createDataFrame([("a", 1.0)], "region string, energie double"), "bronze_x")
+    with pytest.raises(ValueError, match="suppressed"):
+        run_silver(store, "x")
+    with pytest.warns(UserWarning, match="suppressed"):
+        kept = run_silver(store, "x", allow_unsuppressed=True)
+    assert kept.metrics["suppression_applied"] is False and store.read("silver_x").count() == 1
+
+
+def test_failed_dataset_leaves_others(spark):
+    from strata.session import scratch_path
+    from strata.spec import DatasetSpec
+
+    paths = {}
+    for name, cols in (("bad", "1 AS region, 2 AS energie"), ("good", "'r' AS region, 2.5 AS energie, 9 AS points")):
+        paths[name] = scratch_path(spark, "t-two")
+        spark.range(1).selectExpr(*cols.split(", ")).write.option("header", True).option("sep", ";").csv(paths[name])
+    res = run_pipeline(TableStore.scratch(spark), [DatasetSpec(n, p, infer_types=True) for n, p in paths.items()])
+    assert [(r.dataset, r.layer, r.status) for r in res.layer_log.collect()] == \
+        [("bad", "silver", "FAILED"), ("good", "silver", "SUCCESS"), ("good", "gold", "SUCCESS")]
+    assert {r.table_name: r.status for r in res.gold_log["good"].collect()}["gold_region_year_good"] == "SKIP"
