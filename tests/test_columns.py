@@ -73,7 +73,7 @@ def test_scale_settings():
 
     big = scale_settings(100 * 1024 ** 4, 8000)
     assert big["spark.sql.shuffle.partitions"] == "409600"
-    assert int(big["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 * 1024
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 * 1024
     small = scale_settings(10 * 1024 ** 2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
 
