@@ -7,8 +7,21 @@ contracts, in every word, the leftmost pair of least rank, until no pair of a
 word can merge. Decoding joins ids to the vocabulary and concatenates the token
 bytes by an ordered aggregation.
 
-Encoded pieces are kept during a task, about CACHE_CHUNKS of them, and
-WORDS_PER_QUERY bounds a query's rows, so memory does not grow with the input.
+A word of more than LONG_WORD bytes would need as many rounds as bytes. For such
+words a round contracts all pairs whose turn is certain:
+* every pair of the word's least rank, from left to right, without overlap;
+* every pair (a, b) that no neighbour can take apart first: no token that ends in
+  the token before a joins a, and no token that begins with the token after b
+  joins b, at the pair's rank or a lower one.
+Both hold only where the new token cannot at once join a neighbour at a lower rank;
+the leftmost pair of least rank is contracted in any case, and pairs of least rank
+after one that could are left to the next round.
+
+Encoded pieces are kept during a task, about CACHE_CHUNKS of them.
+WORDS_PER_QUERY and QUERY_TOKENS bound what the rounds of a query add up to; a
+query over long words stops there, and the next one goes on from its last rows.
+So memory grows with the longest match of the pattern, not with its square, nor
+with the input.
 Text goes through in whole, one batch after the other; nothing is shuffled.
 
 Defined results: null counts as empty text (no ids, empty bytes); special
@@ -34,6 +47,9 @@ from .common import ROW, packed, release_memory
 
 CACHE_CHUNKS = 200_000
 WORDS_PER_QUERY = 100_000
+LONG_WORD = 64
+QUERY_TOKENS = 8_000_000
+LONG_TOKENS = 250_000
 SLICE_BYTES = 4 << 20
 
 #: The pattern of the public byte-level vocabularies: no match of it reaches over a
@@ -62,6 +78,42 @@ WITH RECURSIVE state(word, tokens) AS (
                 GROUP BY word) USING (word)))
 SELECT word, tokens FROM state
 """
+_ENCODE_LONG = """
+WITH RECURSIVE state(word, round, tokens) AS (
+    SELECT word, 0, tokens FROM start
+    UNION ALL
+    SELECT word, round + 1,
+           list(CASE WHEN picked THEN merged ELSE a END ORDER BY pos) FILTER (NOT taken)
+    FROM (SELECT word, round, pos, a, merged, picked,
+                 lag(picked, 1, false) OVER (PARTITION BY word ORDER BY pos) AS taken
+          FROM (SELECT *, coalesce(alone OR pos = leftmost & 4294967295 OR turn
+                    AND pos < coalesce(min(CASE WHEN turn AND NOT safe THEN pos END)
+                                       OVER (PARTITION BY word), pos + 1), false) AS picked
+                FROM (SELECT *, merged = leftmost >> 32 AND (pos - coalesce(
+                          max(CASE WHEN merged IS DISTINCT FROM leftmost >> 32 THEN pos END)
+                              OVER (PARTITION BY word ORDER BY pos), 0)) % 2 = 1 AS turn
+                      FROM (SELECT p.word, round, pos, a, merged, safe,
+                                   safe AND (l.least IS NULL OR merged < l.least)
+                                        AND (r.least IS NULL OR merged < r.least) AS alone,
+                                   min(merged::BIGINT << 32 | pos) OVER (PARTITION BY word)
+                                       AS leftmost
+                            FROM (SELECT p.*, m.merged, m.twin_safe
+                                      AND (l.least IS NULL OR m.merged < l.least)
+                                      AND (r.least IS NULL OR m.merged < r.least) AS safe
+                                  FROM (SELECT word, round,
+                                               unnest(range(1, len(tokens) + 1)) AS pos,
+                                               unnest(list_prepend(NULL, tokens[:-2])) AS before,
+                                               unnest(tokens) AS a, unnest(tokens[2:]) AS b,
+                                               unnest(tokens[3:]) AS after
+                                        FROM state WHERE round < $rounds) p
+                                  LEFT JOIN long_merges m ON m.pair = a::BIGINT << 32 | b
+                                  LEFT JOIN lefts l ON l.pair = before::BIGINT << 32 | m.merged
+                                  LEFT JOIN rights r ON r.pair = m.merged::BIGINT << 32 | after) p
+                            LEFT JOIN lefts l ON l.pair = before::BIGINT << 32 | a
+                            LEFT JOIN rights r ON r.pair = b::BIGINT << 32 | after))))
+    GROUP BY word, round HAVING bool_or(picked))
+SELECT word, round, tokens FROM state
+"""
 _DECODE = """
 SELECT t.word, unhex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
 FROM tokens t JOIN vocabulary v USING (token) GROUP BY t.word ORDER BY t.word
@@ -81,18 +133,49 @@ class Tokenizer:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         pairs = pa.table({"pair": pa.array([a << 32 | b for a, b, _ in merges], pa.int64()),
                           "merged": pa.array([m for _, _, m in merges], pa.int32())})
+        self.merges, self.near = merges, False
         names = pa.table({"token": pa.array(self.ranks.values(), pa.int32()),
                           "hex": [t.hex() for t in self.ranks]})
         for name, rows in (("merges", pairs), ("vocabulary", names)):
-            self.db.register("rows_", rows)
-            self.db.execute(f"CREATE TABLE {name} AS FROM rows_")
-            self.db.unregister("rows_")
+            self._create(name, rows)
         self.spaced = pattern == _SPACED_PATTERN
         # chunk -> (ids as little-endian uint32, decoded bytes), in two generations:
         # what the last chunks needed moves to the young one, the old one goes.
         self.young: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
+    def _create(self, name: str, rows: pa.Table) -> None:
+        self.db.register("rows_", rows)
+        self.db.execute(f"CREATE TABLE {name} AS FROM rows_")
+        self.db.unregister("rows_")
+
+    def _long_tables(self) -> None:
+        """Tables of the long-word query, made when the first long word comes."""
+        if self.near:
+            return
+        token_of = {r: t for t, r in self.ranks.items()}
+        # Least rank at which b joins any token that ends in the key's left token,
+        # and a any token that begins with the key's right token.
+        lefts: dict[int, int] = {}
+        rights: dict[int, int] = {}
+        for a, b, m in self.merges:
+            left, right = token_of[a], token_of[b]
+            for end in (self.ranks.get(left[i:]) for i in range(len(left))):
+                if end is not None:
+                    lefts[end << 32 | b] = min(m, lefts.get(end << 32 | b, m))
+            for begin in (self.ranks.get(right[:i + 1]) for i in range(len(right))):
+                if begin is not None:
+                    rights[a << 32 | begin] = min(m, rights.get(a << 32 | begin, m))
+        twins = pa.table({"pair": pa.array([a << 32 | b for a, b, _ in self.merges], pa.int64()),
+                          "merged": pa.array([m for _, _, m in self.merges], pa.int32()),
+                          "twin_safe": [self.ranks.get(2 * token_of[m], m) >= m
+                                        for _, _, m in self.merges]})
+        self._create("long_merges", twins)
+        for name, least in (("lefts", lefts), ("rights", rights)):
+            self._create(name, pa.table({"pair": pa.array(least.keys(), pa.int64()),
+                                         "least": pa.array(least.values(), pa.int32())}))
+        self.near = True
+
     def _chunks(self, text: str) -> list[str]:
         """Pieces that matches of the pattern never reach over; the whole text if in doubt."""
         if not self.spaced or "\0" in text or _has_space_run(text):
@@ -104,6 +187,51 @@ class Tokenizer:
         found = self.db.sql(_DECODE).to_arrow_table().to_pydict()
         return dict(zip(found["word"], found["bytes"]))
 
+    def _rounds(self, query: str, lists: pa.ListArray, word: np.ndarray, **limits: int) -> pa.Table:
+        self.db.register("start", pa.table({
+            "word": pa.array(word.astype(np.int32)), "tokens": lists.take(pa.array(word))}))
+        return self.db.sql(query, params=limits or None).to_arrow_table().combine_chunks()
+
+    def _fixpoints(self, lists: pa.ListArray, sizes: np.ndarray) -> pa.ListArray:
+        """Each word's tokens when no pair can merge any more."""
+        done, at = [], np.empty(len(sizes), np.int64)
+        held = 0
+
+        def keep(rounds: pa.Table, last: np.ndarray, word: np.ndarray) -> None:
+            nonlocal held
+            done.append(rounds["tokens"].combine_chunks().take(pa.array(last)))
+            at[word] = held + np.arange(len(word))
+            held += len(word)
+
+        def batches(word: np.ndarray, cost: np.ndarray, limit: int) -> list[np.ndarray]:
+            return np.split(word, np.flatnonzero(np.diff(np.cumsum(cost[word]) // limit)) + 1)
+
+        square = sizes.astype(np.int64) ** 2 // 2 + 1
+        for word in batches(np.flatnonzero(sizes <= LONG_WORD), square, QUERY_TOKENS):
+            rounds = self._rounds(_ENCODE, lists, word)
+            # Rounds come in order: a word's last row is its fixpoint.
+            last = np.empty(len(sizes), np.int64)
+            last[rounds["word"].to_numpy()] = np.arange(rounds.num_rows)
+            keep(rounds, last[word], word)
+        for word in batches(np.flatnonzero(sizes > LONG_WORD), sizes.astype(np.int64),
+                            LONG_TOKENS):
+            now = lists
+            if len(word):
+                self._long_tables()
+            while len(word):
+                left = len(now.take(pa.array(word)).values)
+                limit = max(1, QUERY_TOKENS // left)
+                rounds = self._rounds(_ENCODE_LONG, now, word, rounds=limit)
+                last = np.empty(len(sizes), np.int64)
+                last[rounds["word"].to_numpy()] = np.arange(rounds.num_rows)
+                more = rounds["round"].to_numpy()[last[word]] == limit
+                keep(rounds, last[word[~more]], word[~more])
+                where = np.zeros(len(sizes), np.int64)
+                where[word] = last[word]
+                now = rounds["tokens"].combine_chunks().take(pa.array(where))
+                word = word[more]
+        return pa.concat_arrays(done).take(pa.array(at))
+
     def _contract(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
         """Ids and decoded bytes of distinct words, by contraction to the fixpoint."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -117,13 +245,7 @@ class Tokenizer:
         spelled[starts[known]] = [w for w in whole if w is not None]
         lists = pa.ListArray.from_arrays(
             pa.array(np.append(starts, np.int32(len(spelled)))), pa.array(spelled))
-        self.db.register("start", pa.table({
-            "word": pa.array(np.arange(len(raw), dtype=np.int32)), "tokens": lists}))
-        rounds = self.db.sql(_ENCODE).to_arrow_table().combine_chunks()
-        # Rounds come in order: a word's last row is its fixpoint.
-        last = np.empty(len(raw), np.int64)
-        last[rounds["word"].to_numpy()] = np.arange(rounds.num_rows)
-        lists = rounds["tokens"].combine_chunks().take(pa.array(last))
+        lists = self._fixpoints(lists, sizes)
         ends = lists.offsets.to_numpy().astype(np.int64)
         flat = lists.values.to_numpy()[ends[0]:ends[-1]].astype("<i4")
         ends -= ends[0]

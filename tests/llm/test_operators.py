@@ -231,6 +231,23 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, docs, empty):
     assert bpe.encode(empty, path, pattern).count() == 0
 
 
+@pytest.mark.parametrize("query_tokens", [bpe.QUERY_TOKENS, 40_000])
+def test_bpe_long_matches_equal_tiktoken(query_tokens, monkeypatch):
+    monkeypatch.setattr(bpe, "QUERY_TOKENS", query_tokens)
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    own = bpe.Tokenizer(path, pattern)
+    reference = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=own.ranks,
+                                  special_tokens={})
+    rng = np.random.default_rng(9)
+    letters = lambda of, n: "".join(rng.choice(list(of), n))
+    texts = ["a" * 100_000, "-" * 100_000, letters("ACGT", 100_000), "ab" * 40 + "c" * 65,
+             letters("abcdefghijklmnopqrstuvwxyz", 2_000), letters("-=", 2_000), "日本語" * 500]
+    texts += [letters("aeinorst", int(n)) for n in rng.integers(50, 200, 300)]
+    for text, (ids, back) in zip(texts, own.encode(texts)):
+        want = reference.encode_ordinary(text)
+        assert ids == struct.pack(f"<{len(want)}I", *want) and back == text.encode()
+
+
 # --- SimHash ----------------------------------------------------------------------------
 
 def brute_fingerprint(text):
