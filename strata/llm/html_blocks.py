@@ -8,7 +8,14 @@ whether it is inside an article, inside a page part that is never article text
 A decision tree, trained by Spark on the small labelled table that
 TRAINING_PAGES spells out, says which blocks are main text.
 
-Scripts, styles and other parts without reading text never make blocks.
+A class, id, role or label marks such a page part only as a whole name: every
+word of it is one of _NEVER_WORDS or a neutral word ("cookie-banner",
+"widget-area"; not "no-sidebar", "has-share-buttons", "tags-news"). Names on
+html, body, main and article never do. A name, or a form, around a whole article
+or main counts only if the page has an article or main of its own beside it (so
+comments that are articles stay out, and a wrapper never empties a page).
+
+Scripts, styles, titles and other parts without reading text never make blocks.
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined in page order by one space.
 
@@ -36,24 +43,30 @@ from .common import ROW, packed
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"                                     # comment
-    r"|<(script|style|noscript|template|svg|math|iframe|object|textarea|select|button|head)"
+    r"|<title\b[^>]*(?:>.*?(?:</title\s*>|(?=</head\b|<body\b)|\Z)|\Z)"  # text of the head
+    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select)"
     r"\b[^>]*(?:/>|>.*?(?:</\1\s*>|\Z)|\Z)"                   # no reading text
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)"                                   # doctype, stray ends
     r"|<[a-zA-Z][^>]*(?:>|\Z)",                               # tag with broken quotes
     re.S | re.I)
-_HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*[\"']?([^\"'>]*)", re.I)
+_HINT = re.compile(r"(?<![\w-])(class|id|role|aria-label)\s*=\s*"
+                   r"(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 _TOKEN = re.compile(r"[a-z]+")
 
 #: Inline elements: they neither end nor start a block.
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s "
-    "samp small span strike strong sub sup time tt u var wbr".split())
+    "a abbr acronym b bdi bdo big button cite code data del dfn em font i img ins kbd label mark "
+    "math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder "
+    "munderover q s samp semantics small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 _MAIN = frozenset("article main".split())
-_NEVER = frozenset("nav header footer aside form fieldset menu dialog figcaption".split())
+_NEVER = frozenset("nav header footer aside form fieldset menu dialog".split())
+#: Around a whole article these say no more than a class name does.
+_WRAPPERS = frozenset("form fieldset".split())
+_UNNAMED = frozenset("html body main article".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of a class, id or role that mark a page part as no article text.
 _NEVER_WORDS = frozenset(
@@ -63,6 +76,11 @@ _NEVER_WORDS = frozenset(
     "recommended related reply replies respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe tags toolbar widget complementary".split())
 _MAIN_WORDS = frozenset("article articlebody content entry main post story".split())
+_NEUTRAL_WORDS = frozenset(
+    "area article bar block box buttons container entry form inner item items links list outer "
+    "post posts section site wrap wrapper".split())
+#: Words of a block that shows that an article or main holds text of its own.
+_OWN_WORDS = 10
 
 FEATURES = ("words", "words_before", "words_after", "links", "links_before", "links_after",
             "in_main", "in_never", "heading")
@@ -82,9 +100,14 @@ def _hints(name: str, attributes: str) -> tuple[bool, bool]:
     """(marks main text, marks no article text) for an opening tag."""
     main, never = name in _MAIN, name in _NEVER
     if attributes and not never:
-        words = {w for value in _HINT.findall(attributes) for w in _TOKEN.findall(value.lower())}
-        never = bool(words & _NEVER_WORDS)
-        main = main or bool(words & _MAIN_WORDS) and not never
+        names = []
+        for kind, *values in _HINT.findall(attributes):
+            value = "".join(values).lower()
+            names += [value] if kind.lower() == "aria-label" else value.split()
+        words = [set(_TOKEN.findall(n)) for n in names]
+        if name not in _UNNAMED:
+            never = any(w & _NEVER_WORDS and w <= _NEVER_WORDS | _NEUTRAL_WORDS for w in words)
+        main = main or not never and any(w & _MAIN_WORDS and not w & _NEVER_WORDS for w in words)
     return main, never
 
 
@@ -95,15 +118,25 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, bool, bool, str | None]] = []  # name, main, never, label
     parts: list[str] = []
     linked: list[str] = []
+    around: list[int] = []
+    owned = False
     in_link = 0
 
     def flush() -> None:
-        nonlocal parts, linked
+        nonlocal parts, linked, owned
         text = _SPACE.sub(" ", "".join(parts)).strip()
         if text:
             n = len(text.split())
+            # What only a name or a form around the innermost article or main says.
+            inner = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _MAIN), 0)
+            never = [i for i, s in enumerate(stack) if s[2]]
+            sure = any(i >= inner or stack[i][0] in _NEVER - _WRAPPERS for i in never)
+            if never and not sure:
+                around.append(len(out))
+            elif not sure and n >= _OWN_WORDS and stack and stack[inner][0] in _MAIN:
+                owned = True
             out.append(Block(text, n, len(" ".join(linked).split()) / n,
-                             any(s[1] for s in stack), any(s[2] for s in stack),
+                             any(s[1] for s in stack), sure,
                              any(s[0] in _HEADING for s in stack),
                              next((s[3] for s in reversed(stack) if s[3]), None)))
         parts, linked = [], []
@@ -141,6 +174,8 @@ def blocks(page: str | None) -> list[Block]:
     if last < len(page):
         add(page[last:])
     flush()
+    for i in around if owned else ():
+        out[i] = out[i]._replace(in_never=True)
     return out
 
 

@@ -426,6 +426,41 @@ def test_html_main_text(spark):
     assert html_blocks.extract(df.limit(0), tree).count() == 0
 
 
+BODY = " ".join(["The old bridge over the river was closed on Monday after a long inspection."] * 3)
+OTHER = "A reader writes that this was all quite clear to anyone who had walked there before."
+TEMPLATES = {
+    "body class": ("<body class='single-post no-sidebar'><article><p>{}</p></article>", BODY),
+    "main class": ("<main class='has-share-buttons'><p>{}</p></main>", BODY),
+    "article class": ("<article class='post tags-news widget'><p>{}</p></article>", BODY),
+    "wrapper": ("<div class='post tags-news'><div id='with-sidebar'><p>{}</p></div></div>", BODY),
+    "named wrapper": ("<div class='widget'><article><p>{}</p></article></div>", BODY),
+    "form wrapper": ("<form id=aspnet><main><p>{}</p></main></form>", BODY),
+    "sidebar": ("<article><p>{}</p></article><div class='sidebar widget-area'><p>" + OTHER
+                + "</p></div>", BODY),
+    "inside": ("<article><p>{}</p><div class='newsletter-box'><p>" + OTHER + "</p></div></article>",
+               BODY),
+    "comments": ("<main><p>{}</p><div id='comments'><article class='comment'><p>" + OTHER
+                 + "</p></article></div></main>", BODY),
+    "open head": ("<html><head><title>Site</title><meta charset=utf-8><body><article><p>{}</p>"
+                  "</article>", BODY),
+    "open head, no body": ("<head><title>Site</title><link rel=x><main><p>{}</p></main>", BODY),
+    "open title": ("<head><title>Site</head><body><main><p>{}</p></main>", BODY),
+    "parts": ("<article><p>{}</p><figure><img src=x><figcaption>The bridge in May.</figcaption>"
+              "</figure><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p>"
+              "<p>Press <button>Start</button> now.</p></article>",
+              BODY + " The bridge in May. So a=2 holds. Press Start now."),
+}
+
+
+def test_html_of_other_templates(spark):
+    ship_library(spark)
+    tree = html_blocks.train(spark)
+    df = spark.createDataFrame([(n, t.format(BODY)) for n, (t, _) in TEMPLATES.items()],
+                               "name string, html string")
+    got = {r[ROW].name: r.main_text for r in html_blocks.extract(df, tree).collect()}
+    assert got == {n: want for n, (_, want) in TEMPLATES.items()}
+
+
 # --- toxicity ---------------------------------------------------------------------------
 
 def test_toxicity_learns_scores_and_ignores_held_out_labels(spark, empty):
