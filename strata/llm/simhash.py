@@ -24,7 +24,9 @@ joins exactly what the links join.
 Defined results: null or empty text has no words and fingerprint 0, linked like
 any other; fewer words than the shingle length make one shingle of the whole
 sequence; repeated rows share a fingerprint; an empty table gives an empty
-result; extra columns are carried unchanged.
+result; extra columns are carried unchanged. Of a component's rows exactly one
+stays: least id, null ids last, then least text, null first; of rows equal in
+both, any one.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import release_memory, stored
+from .common import ROW, release_memory, stored
 from .components import components
 
 SHINGLE = 4
@@ -199,17 +201,23 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .applyInArrow(_search(max_bits), "a long, b long"))
 
 
+def _components_of(marked: DataFrame, max_bits: int) -> DataFrame:
+    """shared (a fingerprint), root, component_id (least id) and n_rows of its component."""
+    groups = marked.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    reached = components(links(groups.select("fp"), max_bits))
+    named = (groups.join(reached, F.col("fp") == F.col("node"), "left")
+             .select("fp", "first", "n", F.coalesce("root", "fp").alias("root")))
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"),
+                                      F.sum("n").alias("n_rows"))
+    return named.join(least, "root").select(F.col("fp").alias("shared"), "root", "component_id",
+                                            "n_rows")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """id, fp and component_id (the smallest id reachable over links) of every row."""
     marked = stored(fingerprints(df, F.col(text_col), shingle, id=F.col(id_col)), "simhash")
-    groups = marked.groupBy("fp").agg(F.min("id").alias("first"))
-    reached = components(links(groups.select("fp"), max_bits))
-    named = (groups.join(reached, F.col("fp") == F.col("node"), "left")
-             .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_fp = named.join(least, "root").select(F.col("fp").alias("shared"), "component_id")
-    return (marked.join(of_fp, F.col("fp") == F.col("shared"))
+    return (marked.join(_components_of(marked, max_bits), F.col("fp") == F.col("shared"))
             .select("id", "fp", "component_id"))
 
 
@@ -219,7 +227,22 @@ def hex_digits(fp: Column) -> Column:
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each component stays: the one with the smallest id."""
-    found = near_duplicates(df, id_col, text_col, shingle, max_bits)
-    dropped = found.filter("id <> component_id").select(F.col("id").alias("dropped_id"))
-    return df.join(dropped, df[id_col] == F.col("dropped_id"), "left_anti")
+    """One row of each component stays: least id, null ids last, then least text."""
+    # Stored with the rows, a key names one row for good, whatever ids repeat.
+    marked = stored(fingerprints(df, F.col(text_col), shingle, **{ROW: F.struct("*")},
+                                 id=F.col(id_col), key=F.monotonically_increasing_id()),
+                    "simhash-rows")
+    narrow = marked.select("key", "id", "fp")
+    shared = _components_of(narrow, max_bits).filter("n_rows > 1")
+    members = stored(narrow.join(shared, F.col("fp") == F.col("shared"))
+                     .select("key", "root", F.expr("id <=> component_id").alias("least")),
+                     "simhash-members")
+    firsts = members.filter("least").groupBy("root").agg(F.min("key").alias("kept"),
+                                                         F.count(F.lit(1)).alias("n"))
+    # Only rows that tie on the least id have their texts compared.
+    tied = members.filter("least").join(firsts.filter("n > 1").select("root"), "root", "left_semi")
+    by_text = (marked.select("key", F.col(ROW)[text_col].alias("text")).join(tied, "key")
+               .groupBy("root").agg(F.min(F.struct("text", "key"))["key"].alias("kept")))
+    kept = firsts.filter("n = 1").select("kept").union(by_text.select("kept"))
+    dropped = members.join(kept, F.col("key") == F.col("kept"), "left_anti").select("key")
+    return marked.join(dropped, "key", "left_anti").select(f"{ROW}.*")

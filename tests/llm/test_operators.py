@@ -317,6 +317,21 @@ def test_near_duplicates_keep_one_of_a_group(spark, docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_keep_one_row_whatever_ids_repeat(spark):
+    ship_library(spark)
+    text = lambda k: " ".join(f"{k}{i}" for i in range(400))
+    a, b, c, d = map(text, "abcd")
+    rows = [(1, a), (2, a + " tail"), (2, b),                  # a clean row beside a copy's id
+            (None, c), (None, c + " tail"), (None, c),         # only null ids
+            (7, d + " tail"), (7, d), (7, d), (None, d),       # least id on several rows
+            (9, "alone and short"), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("k"))
+    left = simhash.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    want = [(1, a), (2, b), (None, c), (7, d), (9, "alone and short")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 # --- repeats ----------------------------------------------------------------------------
 
 def repeat_rows():
