@@ -10,6 +10,9 @@ The filter takes BITS_PER_ROW bits a row, rounded up to a power of two, and at
 most MAX_FILTER_BITS (64 MB): that proves the bound of its broadcast. Past the
 bound more unique rows take the grouped path; results stay exact at any size.
 
+A text of more than ``hot_rows`` rows is joined in parts of about that many rows.
+There are at most HOT_GROUPS such texts, which bounds their broadcast.
+
 Defined results: null text counts as empty (so all null and empty texts are one
 group); the row with the largest id stays; null ids rank below every other id;
 of fully repeated rows (same id, same text) exactly one stays; an empty table
@@ -26,6 +29,8 @@ from .common import ROW, ascii_lower, packed
 
 BITS_PER_ROW = 16
 MAX_FILTER_BITS = 1 << 29
+HOT_GROUPS = 100_000
+MIN_HOT_ROWS = 100
 _BUCKET_BITS = 1 << 15  # one bitmap row holds 32,768 bits
 
 
@@ -36,6 +41,10 @@ def filter_bits(rows: int) -> int:
     return bits
 
 
+def hot_rows(rows: int) -> int:
+    return max(MIN_HOT_ROWS, rows // HOT_GROUPS)
+
+
 def _slots(key: Column, bits: int) -> list[Column]:
     return [key.bitwiseAND(F.lit(bits - 1)),
             F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(bits - 1))]
@@ -62,7 +71,8 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     # Unicode lower case merges at least the texts that ASCII lower case merges,
     # so this cheap key never separates equal texts.
     key = F.xxhash64(F.lower(text))
-    bits = filter_bits(df.count())
+    rows = df.count()
+    bits = filter_bits(rows)
     bitmaps = repeated_bits(key, df, bits)
 
     base = packed(df, id=F.col(id_col), key=key)
@@ -82,12 +92,22 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     candidates = base.filter("maybe").select(ROW, "id", sha.alias("sha"))
     groups = (candidates.groupBy(F.col("sha").alias("text_sha256"))
-              .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+              .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+              .withColumn("parts", F.floor(F.col("group_size") / hot_rows(rows)) + 1))
+    hot = F.broadcast(groups.filter("parts > 1").select(F.col("text_sha256").alias("hot_sha"),
+                                                        F.col("parts").alias("hot_parts")))
+    parts = groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                           F.col("parts") - 1)))
     # Rows that repeat an id and a text are numbered, so that one of them stays.
     # Spread by (text, id): a hot text is spread over all tasks.
     numbered = candidates.repartition("sha", "id").withColumn(
         "nth", F.row_number().over(Window.partitionBy("sha", "id").orderBy(F.lit(0))))
-    grouped = (numbered.join(groups, F.col("sha") == F.col("text_sha256"))
+    # The join spreads it too: a row takes one of its text's parts.
+    dealt = (numbered.join(hot, F.col("sha") == F.col("hot_sha"), "left")
+             .withColumn("dealt", F.pmod(F.xxhash64("id", "nth"),
+                                         F.coalesce("hot_parts", F.lit(1)))))
+    grouped = (dealt.join(parts, (F.col("sha") == F.col("text_sha256"))
+                          & (F.col("dealt") == F.col("part")))
                .select(ROW, "text_sha256", "keep_id", "group_size",
                        (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1))
                        .alias("kept")))

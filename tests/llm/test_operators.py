@@ -73,6 +73,32 @@ def test_exact_dedup_is_exact_with_a_full_filter(docs, monkeypatch):
     assert exact_dedup.drop_duplicates(docs[0]).count() == len({lowered(t) for _, t in TEXTS})
 
 
+def test_exact_dedup_deals_a_hot_text_out(spark, monkeypatch):
+    rows = [(i, "Hot" if i % 3 else f"text {i // 6}") for i in range(1_500)] + [(None, "hot")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    real, dealt = type(df).join, []
+
+    def join(self, other, on=None, how=None):
+        out = real(self, other, on, how)
+        if "dealt" in self.columns:
+            dealt.append(self)
+        return out
+    monkeypatch.setattr(type(df), "join", join)
+    got = exact_dedup.annotate(df).select(F.col(ROW)["doc_id"].alias("doc_id"), "keep_id",
+                                          "group_size", "kept").collect()
+    assert len(got) == len(rows)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(lowered(t), []).append(-1 if i is None else i)
+    for r in got:
+        members = groups[lowered(dict(rows)[r.doc_id])]
+        assert (r.keep_id, r.group_size, r.kept) == (max(members), len(members),
+                                                     r.doc_id == max(members))
+    # No part of the join by (text, part) holds much more than hot_rows rows.
+    most = dealt[0].groupBy("sha", "dealt").count().agg(F.max("count")).first()[0]
+    assert most < 2 * exact_dedup.hot_rows(len(rows)) < 1_000
+
+
 # --- sharding ---------------------------------------------------------------------------
 
 def test_sharding_law_key_places_and_growth(spark, docs, empty, tmp_path):
