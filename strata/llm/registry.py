@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, exact_dedup, html_blocks, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, fim, html_blocks, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from .common import ROW, ship_library, table
 
 SHARDS = 40
@@ -90,6 +90,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("key"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return out.select(F.col(ROW)["doc_id"].alias("doc_id"), "n", "form", "prefix_chars",
+                      "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored, 256).alias("restored_sha256"))
+
+
 def _shipped(query: Callable) -> Callable:
     """The query, run after the workers can import this package."""
     @functools.wraps(query)
@@ -110,6 +118,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }.items()}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -161,4 +170,27 @@ ORACLES = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM lists l LEFT JOIN marked m ON m.id = l.id LEFT JOIN named n ON n.id = l.id
         WHERE l.kind = 'd'""",
+    "op11_fill_in_middle": r"""
+        WITH h AS (SELECT doc_id, coalesce(text, '') AS t,
+                          sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+        k AS (SELECT doc_id, t, regexp_extract_all(t,
+                     '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS ts,
+                     ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2,
+                     ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4 FROM h),
+        c AS (SELECT *, len(ts) AS n, least(h1 % (len(ts) + 1), h2 % (len(ts) + 1)) AS a,
+                     greatest(h1 % (len(ts) + 1), h2 % (len(ts) + 1)) AS b,
+                     CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>')
+                               OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                          WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+        p AS (SELECT *, array_to_string(ts[1:a], '') AS pre,
+                     array_to_string(ts[a + 1:b], '') AS mid,
+                     array_to_string(ts[b + 1:], '') AS suf FROM c)
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                      WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p""",
 }
