@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, exact_dedup, fim, html_blocks, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, fim, html_blocks, phrases, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from .common import ROW, ship_library, table
 
 SHARDS = 40
@@ -98,6 +98,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(restored, 256).alias("restored_sha256"))
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable) -> Callable:
     """The query, run after the workers can import this package."""
     @functools.wraps(query)
@@ -119,6 +123,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_sharding": op10_sharding,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_phrase_mining": op12_phrase_mining,
 }.items()}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -193,4 +198,36 @@ ORACLES = {
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(t) AS restored_sha256
         FROM p""",
+    "op12_phrase_mining": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        ws AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'),
+                                        lambda w: w <> '') AS w FROM pieces),
+        grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p
+                  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                        FROM ws, (VALUES (1), (2), (3)) AS t(k))),
+        f AS (SELECT lang, k, p, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS w FROM f
+              WHERE k >= 2 AND f >= 10),
+        inside AS (SELECT lang, unnest([array_to_string(w[1:2], ' '),
+                                        array_to_string(w[2:3], ' ')]) AS p, a FROM c WHERE k = 3),
+        longest AS (SELECT lang, p, max(a) AS b FROM inside GROUP BY ALL),
+        free AS (SELECT c.* FROM c LEFT JOIN longest g ON g.lang = c.lang AND g.p = c.p
+                 WHERE c.k = 3 OR g.b IS NULL OR 100 * g.b < 50 * c.a),
+        cuts AS (SELECT lang, p, a, k, unnest(range(1, k)) AS cut, w FROM free),
+        scored AS (
+            SELECT s.lang, s.p, s.a, s.cut, l.f AS l, r.f AS r,
+                   ((1000000::HUGEINT * s.a * s.a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM cuts s
+            JOIN f l ON l.lang = s.lang AND l.p = array_to_string(s.w[1:s.cut], ' ')
+            JOIN f r ON r.lang = s.lang AND r.p = array_to_string(s.w[s.cut + 1:], ' ')),
+        least AS (SELECT * FROM scored QUALIFY row_number() OVER (
+                      PARTITION BY lang, p ORDER BY score, cut) = 1),
+        ranked AS (SELECT *, row_number() OVER (
+                       PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM least)
+        SELECT lang, rank, p AS phrase, a, l, r, n, score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
