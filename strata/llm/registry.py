@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, exact_dedup, fim, html_blocks, phrases, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, fim, html_blocks, ngram_join, phrases, sharding, simhash, substring_dedup, suffix_dedup, toxicity, warc
 from .common import ROW, ship_library, table
 
 SHARDS = 40
@@ -102,6 +102,11 @@ def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def _shipped(query: Callable) -> Callable:
     """The query, run after the workers can import this package."""
     @functools.wraps(query)
@@ -124,6 +129,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op10_sharding": op10_sharding,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_phrase_mining": op12_phrase_mining,
+    "op13_ngram_jaccard": op13_ngram_jaccard,
 }.items()}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -230,4 +236,22 @@ ORACLES = {
                        PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM least)
         SELECT lang, rank, p AS phrase, a, l, r, n, score
         FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+    "op13_ngram_jaccard": rf"""
+        WITH RECURSIVE ws AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i
+                    FROM ws WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+                   FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+                  WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+        reach AS (SELECT doc_id, doc_id AS r FROM documents
+                  UNION SELECT reach.doc_id, y FROM reach JOIN links ON x = r)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id
+        FROM documents d JOIN reach ON reach.doc_id = d.doc_id
+        LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
 }
