@@ -33,6 +33,7 @@ below 10^16.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -88,6 +89,23 @@ def _runs(sorted_key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, sorted_key[1:] != sorted_key[:-1])[:len(sorted_key)])
 
 
+def _distinct(columns: list[np.ndarray], sizes: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows in order, and how often each occurs."""
+    key = combine(columns, sizes)
+    if math.prod(sizes) >= 1 << 62:  # ranks were compressed: the key cannot be read back
+        order = np.argsort(key)
+        starts = _runs(key[order])
+        return [c[order[starts]] for c in columns], np.diff(np.append(starts, len(key)))
+    key.sort()
+    starts = _runs(key)
+    counts = np.diff(np.append(starts, len(key)))
+    key, out = key[starts], []
+    for size in reversed(sizes[1:]):
+        key, last = np.divmod(key, size)
+        out.append(last)
+    return [key, *reversed(out)], counts
+
+
 class Suffixes:
     """Distinct suffixes of a run of texts, cut to ``depth`` words, in order, with counts.
 
@@ -110,12 +128,7 @@ class Suffixes:
                 column[:n - d] = np.where(piece[d:] == piece[:n - d], ids[d:], 0)
             columns.append(column)
         self.sizes = [len(self.langs) + 1] + [len(self.words) + 1] * depth
-        key = combine(columns, self.sizes)
-        order = np.argsort(key, kind="stable")
-        starts = _runs(key[order])
-        at = order[starts]
-        self.columns = [c[at] for c in columns]
-        self.counts = np.diff(np.append(starts, n))
+        self.columns, self.counts = _distinct(columns, self.sizes)
 
     def keep(self, mask: np.ndarray) -> None:
         self.columns = [c[mask] for c in self.columns]
@@ -273,9 +286,9 @@ def _nodes(blocks: pa.Table, lang: str, depth: int, min_count: int,
     del spelled
     flat = [np.concatenate(c) for c in columns]
     key = combine(flat, [len(words) + 1] * depth)
-    order = np.argsort(key, kind="stable")
-    leaves = order[_runs(key[order])]
-    totals = np.add.reduceat(counts[order], _runs(key[order]))
+    order = np.argsort(key)
+    starts = _runs(key[order])
+    leaves, totals = order[starts], np.add.reduceat(counts[order], starts)
     flat = [c[leaves] for c in flat]
     out = []
     for size in range(1, depth + 1):
