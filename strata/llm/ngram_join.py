@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from .common import release_memory, stored
 from .components import components
 from .substring_dedup import sequence_hashes
-from .words import byte_table, slices, words_of
+from .words import byte_table, slices, word_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -73,24 +73,28 @@ SIGNED = ("id long, n long, digest binary, slot long, keys array<long>, common i
 
 def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): every text's distinct shingles in hash order."""
-    words = words_of(texts, _TABLE)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.distinct.to_pylist()),
-                         np.uint64, len(words.distinct))[words.ids]
-    ends = np.cumsum(words.sizes)
-    whole = np.flatnonzero(np.arange(len(hashes)) + shingle <= np.repeat(ends, words.sizes))
-    keys, text = sequence_hashes(hashes, shingle)[whole], words.text[whole]
+    hashes, of, words = word_hashes(texts, _TABLE)
+    ends = np.cumsum(words)
+    whole = np.flatnonzero(np.arange(len(hashes)) + shingle <= np.repeat(ends, words))
+    keys, text = sequence_hashes(hashes, shingle)[whole], of[whole]
     for length in range(1, shingle):
-        short = np.flatnonzero(words.sizes == length)
+        short = np.flatnonzero(words == length)
         if len(short):
             keys = np.append(keys, sequence_hashes(hashes, length)[ends[short] - length])
             text = np.append(text, short)
-    order = np.lexsort((keys, text))
+    order = np.argsort(keys)
+    order = order[np.argsort(_narrow(text[order], len(words)), kind="stable")]
     keys, text = keys[order], text[order]
     distinct = np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))[:len(keys)]
-    sizes = np.bincount(text[distinct], minlength=len(words.sizes))
+    sizes = np.bincount(text[distinct], minlength=len(words))
     return keys[distinct], np.append(0, np.cumsum(sizes))
 
 
+def _narrow(values: np.ndarray, bound: int) -> np.ndarray:
+    """Small numbers in 16 bits, which numpy's stable sort takes in one linear pass."""
+    return values.astype(np.uint16) if bound <= 1 << 16 else values
+
+
 def prefix_size(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """So many first n-grams hold one of any linked partner's, too."""
     return np.where(n > 0, n + (-percent * n) // 100 + 1, 0)
@@ -124,8 +128,10 @@ def _even_cuts(loads: dict[int, int], load: int) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(text_col).cast("string").alias("text"),
-                       F.col(id_col).cast("long").alias("id"))
+    """(text, id, slot); the slot is a hash of the raw text, taken before any work on it."""
+    text = F.col(text_col).cast("string")
+    return docs.select(text.alias("text"), F.col(id_col).cast("long").alias("id"),
+                       F.shiftrightunsigned(F.xxhash64(text), 64 - FILTER_BITS).alias("slot"))
 
 
 def _counted(task_counts: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
@@ -177,11 +183,6 @@ def global_order(docs: DataFrame, shingle: int = SHINGLE, sketch_bits: int = SKE
     return Order(classes.ravel())
 
 
-def _slots(digests: list[bytes], ids: np.ndarray) -> np.ndarray:
-    first = np.frombuffer(b"".join(d[:8] for d in digests), "<u8")
-    return ((first ^ (ids.astype(np.uint64) * _ODD[0])) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
 def _digests(hashes: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     raw = hashes.astype("<u8").tobytes()
     return [xxhash.xxh3_128_digest(raw[8 * a:8 * b]) for a, b in zip(offsets, offsets[1:])]
@@ -199,10 +200,11 @@ def _signed(docs: DataFrame, order, shingle: int, percent: int) -> DataFrame:
         hashes, offsets = shingle_sets(part.column(0), shingle)
         sizes = np.diff(offsets)
         digests = _digests(hashes, offsets)
-        ids = pc.fill_null(part.column(1), 0).to_numpy()
         text = np.repeat(np.arange(len(sizes)), sizes)
         ranks = order.value.keys(hashes)
-        at = np.lexsort((hashes, ranks, text))
+        # The hashes are in order within a text; so it takes only their classes, then the texts.
+        at = np.argsort((ranks >> np.uint64(56)).astype(np.uint16), kind="stable")
+        at = at[np.argsort(_narrow(text[at], len(sizes)), kind="stable")]
         place = np.arange(len(hashes)) - offsets[text]
         prefix = prefix_size(sizes, percent)
         head = at[place < prefix[text]]
@@ -218,7 +220,7 @@ def _signed(docs: DataFrame, order, shingle: int, percent: int) -> DataFrame:
         ends = np.append(0, np.cumsum(prefix)).astype(np.int32) * 8
         return pa.RecordBatch.from_arrays([
             part.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-            pa.array(_slots(digests, ids), pa.int64()),
+            part.column(2),
             pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * HUB_KEYS, pa.int32()),
                                      pa.array(keys.ravel(), pa.int64())),
             pa.array((1000 * common // np.maximum(prefix, 1)), pa.int32()),
@@ -274,25 +276,28 @@ def _sets(docs: DataFrame, needed: DataFrame, order, cuts: np.ndarray, shingle:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                hashes, offsets = shingle_sets(part.column(0), shingle)
-                digests = _digests(hashes, offsets)
-                slots = _slots(digests, pc.fill_null(part.column(1), 0).to_numpy())
-                bits = wanted.value[slots >> 5] >> (slots & 31).astype(np.uint32)
-                out: list[list] = [[], [], [], []]
-                for i in np.flatnonzero(bits & 1).tolist():
-                    mine = hashes[offsets[i]:offsets[i + 1]]
-                    place = np.searchsorted(cuts, order.value.keys(mine), side="right")
-                    for p in np.unique(place).tolist():
-                        for column, value in zip(out, (digests[i], int(slots[i]), p,
-                                                       mine[place == p].view(np.int64))):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
-                     pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int64()))],
-                    names=["digest", "slot", "part", "hashes"])
+            slots = batch.column(2).to_numpy()
+            bits = wanted.value[slots >> 5] >> (slots & 31).astype(np.uint32)
+            for part in slices(batch.filter(pa.array((bits & 1).astype(bool)))):
+                yield one(part)
         release_memory()
 
+    def one(part: pa.RecordBatch) -> pa.RecordBatch:
+        hashes, offsets = shingle_sets(part.column(0), shingle)
+        digests = _digests(hashes, offsets)
+        slots = part.column(2).to_pylist()
+        places = np.searchsorted(cuts, order.value.keys(hashes), side="right")
+        out: list[list] = [[], [], [], []]
+        for i, (a, b) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
+            mine, place = hashes[a:b].view(np.int64), places[a:b]
+            for p in np.unique(place).tolist():
+                for column, value in zip(out, (digests[i], slots[i], p, mine[place == p])):
+                    column.append(value)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()),
+             pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int64()))],
+            names=["digest", "slot", "part", "hashes"])
+
     found = docs.mapInArrow(cut, "digest binary, slot long, part int, hashes array<long>")
     return stored(found.join(needed, ["digest", "slot"]).select("node", "part", "hashes")
                   .dropDuplicates(["node", "part"]), "jaccard-sets")

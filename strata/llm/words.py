@@ -12,6 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SPACE, BREAK = -1, -2
 #: Bytes of text worked on at once; a longer text is worked on alone.
@@ -63,22 +64,63 @@ class Words(NamedTuple):
     distinct: pa.Array    # the distinct words, binary
 
 
-def words_of(texts: pa.Array, table: np.ndarray) -> Words:
+class Bounds(NamedTuple):
+    kinds: np.ndarray     # per byte, what it stands for
+    starts: np.ndarray    # per word, its first byte
+    ends: np.ndarray      # per word, past its last byte
+    sizes: np.ndarray     # words per text
+    text: np.ndarray      # per word, the text it stands in
+
+
+def bounds_of(texts: pa.Array, table: np.ndarray) -> Bounds:
     data, offsets = utf8(texts)
     kinds = table[data]
     inside = kinds >= 0
-    begins = inside.copy()
+    begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
-    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    begins[firsts] = inside[firsts]  # a text's end also ends a word
-    starts = np.flatnonzero(begins)
-    kept = kinds[inside].astype(np.uint8)
-    ends = np.append(np.cumsum(inside)[starts] - 1, len(kept)).astype(np.int64)
+    stops[:-1] &= ~inside[1:]
+    filled = offsets[:-1] < offsets[1:]  # a text's ends also end its words
+    firsts, lasts = offsets[:-1][filled], offsets[1:][filled] - 1
+    begins[firsts], stops[lasts] = inside[firsts], inside[lasts]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    sizes = np.diff(np.searchsorted(starts, offsets))
+    return Bounds(kinds, starts, ends, sizes, np.repeat(np.arange(len(sizes)), sizes))
+
+
+def words_of(texts: pa.Array, table: np.ndarray) -> Words:
+    kinds, starts, ends, sizes, text = bounds_of(texts, table)
+    kept = kinds[kinds >= 0].astype(np.uint8)
+    ends = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_binary(), len(starts),
                                   [None, pa.py_buffer(ends), pa.py_buffer(kept)])
     coded = found.dictionary_encode()
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    sizes = np.bincount(text, minlength=len(offsets) - 1)
     piece = np.cumsum(kinds == BREAK)[starts] + text if len(starts) else text
     return Words(coded.indices.to_numpy().astype(np.int64), text, piece, sizes,
                  coded.dictionary)
+
+
+_MULTIPLY = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
+_LONG_WORD = 256  # bytes; longer words are hashed one by one
+_HEADS = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for m in _MULTIPLY:
+        h = (h ^ (h >> np.uint64(33))) * m
+    return h ^ (h >> np.uint64(33))
+
+
+def word_hashes(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash of every word, its text, words per text), eight bytes of all words at once."""
+    kinds, starts, ends, sizes, text = bounds_of(texts, table)
+    raw = np.append(kinds, np.zeros(8, kinds.dtype)).astype(np.uint8)
+    length = ends - starts
+    hashes = _mixed(length.astype(np.uint64) + np.uint64(1))
+    for at in range(0, min(_LONG_WORD, int(length.max(initial=0))), 8):
+        more = np.flatnonzero((length > at) & (length <= _LONG_WORD)) if at else np.flatnonzero(length <= _LONG_WORD)
+        some = raw[(starts[more] + at)[:, None] + np.arange(8)].view("<u8").ravel()
+        some &= _HEADS[np.minimum(length[more] - at, 8)]
+        hashes[more] = _mixed(hashes[more] ^ some)
+    for i in np.flatnonzero(length > _LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(raw[starts[i]:ends[i]].tobytes())
+    return hashes, text, sizes
