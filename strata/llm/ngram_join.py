@@ -8,10 +8,11 @@ Documents with equal sets form one node and never meet each other again.
 
 1. Fragments. The order is cut into fragments of about equal load. A node sends
    the part of its prefix (the n-grams of which a linked partner must hold one)
-   that lies in a fragment to it. A fragment counts, for every pair that shares
-   n-grams there, how many (length, position and component filters first);
-   these partial overlaps are summed per pair, and a pair stays only if its sum
-   can still reach the threshold.
+   that lies in a fragment to it. A first look keeps the n-grams that nodes of
+   several components hold; how many a node has bounds what it can share.
+   Then a fragment counts, for every pair that shares n-grams there, how many
+   (length, position, component and bound first); these partial overlaps are
+   summed per pair, and a pair stays only if its sum can still reach the threshold.
 2. Exact overlaps. The whole sets of the pairs that stay are cut at fixed places
    of the same order; the overlaps of the parts are counted separately and
    summed per pair, which decides the link.
@@ -38,7 +39,7 @@ empty table gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ SHINGLE = 4
 PERCENT = 85
 SKETCH_BITS = 22
 FILTER_BITS = 24
-FRAGMENT_TOKENS = 1 << 18
+FRAGMENT_TOKENS = 1 << 20
 PARTS = 4            # fragments of the exact overlap
 HUB_KEYS = 4         # min-hash keys a node
 HUB_ROWS = 4         # nodes from which a bucket has a hub
@@ -118,13 +119,16 @@ class Order:
         return (level << np.uint64(56)) | (hashes >> np.uint64(8))
 
 
-def _even_cuts(loads: dict[int, int], load: int) -> np.ndarray:
-    """Cuts of the order, so that a class's fragments hold about ``load`` each."""
-    cuts = []
-    for level, n in sorted(loads.items()):
-        parts = max(1, -(-n // load))
-        cuts += [(level << 56) + ((1 << 56) * i) // parts for i in range(parts)]
-    return np.array(cuts[1:], np.uint64)
+def _balanced_cuts(loads: dict[int, int], load: int, shift: int) -> np.ndarray:
+    """Cuts between bins of the order (its keys without the last ``shift`` bits), so that a
+    fragment holds at most ``load``; a bin beyond that is a fragment of its own."""
+    cuts, held = [], 0
+    for place, n in sorted(loads.items()):
+        if held and held + n > load:
+            cuts.append(place << shift)
+            held = 0
+        held += n
+    return np.array(cuts, np.uint64)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -339,24 +343,35 @@ def _hub_pairs(nodes: DataFrame, percent: int) -> DataFrame:
 
 # --- partial overlaps in fragments ------------------------------------------------------
 
-def _placed(batch: pa.RecordBatch, order: Order, cuts: np.ndarray):
+Place = Callable[[np.ndarray], np.ndarray]  # keys of the order to fragment numbers
+
+
+def _by_cuts(cuts: np.ndarray) -> Place:
+    return lambda keys: np.searchsorted(cuts, keys, side="right")
+
+
+def _by_bins(shift: int) -> Place:
+    return lambda keys: (keys >> np.uint64(shift)).astype(np.int64)
+
+
+def _placed(batch: pa.RecordBatch, order: Order, place: Place):
     """(node row, fragment, token, position) of all prefix n-grams of a batch."""
     raw = batch.column("tokens")
     sizes = pc.binary_length(raw).to_numpy().astype(np.int64) // 8
     tokens = np.frombuffer(b"".join(raw.to_pylist()), "<u8")
     row = np.repeat(np.arange(len(sizes)), sizes)
     position = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return row, np.searchsorted(cuts, order.keys(tokens), side="right"), tokens, position
+    return row, place(order.keys(tokens)), tokens, position
 
 
-def _loads(nodes: DataFrame, order, cuts: np.ndarray, comps: set[int] | None = None) -> DataFrame:
-    """Prefix n-grams of every fragment (or of every component in the fragments ``comps``)."""
+def _loads(nodes: DataFrame, order, place: Place, only: set[int] | None = None) -> DataFrame:
+    """Prefix n-grams of every fragment (or of every component in the fragments ``only``)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, fragment, _, _ = _placed(batch, order.value, cuts)
+            row, fragment, _, _ = _placed(batch, order.value, place)
             comp = np.zeros(len(row), np.int64)
-            if comps is not None:
-                keep = np.isin(fragment, list(comps))
+            if only is not None:
+                keep = np.isin(fragment, list(only))
                 row, fragment = row[keep], fragment[keep]
                 comp = batch.column("comp").to_numpy()[row]
             pairs, n = np.unique(np.stack([fragment, comp]), axis=1, return_counts=True)
@@ -367,6 +382,14 @@ def _loads(nodes: DataFrame, order, cuts: np.ndarray, comps: set[int] | None = N
             .groupBy("fragment", "comp").agg(F.sum("n").alias("n")))
 
 
+def _cuts_of(nodes: DataFrame, order, load: int) -> np.ndarray:
+    """Cuts of the order by the loads of bins, of which there are some times total / load."""
+    total = nodes.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
+    shift = 56 - min(24, max(8, (total // (8 * load)).bit_length() + 4))
+    loads = {r.fragment: r.n for r in _loads(nodes, order, _by_bins(shift)).collect()}
+    return _balanced_cuts(loads, load, shift)
+
+
 class Blocks:
     """A hot fragment's nodes in blocks; pairs of blocks meet, but not within one component."""
 
@@ -390,43 +413,54 @@ class Blocks:
 
 def _hot_fragments(nodes: DataFrame, order, cuts: np.ndarray, load: int) -> dict[int, Blocks]:
     """At most total / load fragments, each with at most its load / (load / 4) large components."""
-    hot = {r.fragment: r.n for r in _loads(nodes, order, cuts).filter(F.col("n") > 2 * load).collect()}
+    place = _by_cuts(cuts)
+    hot = {r.fragment: r.n for r in _loads(nodes, order, place).filter(F.col("n") > 2 * load).collect()}
     if not hot:
         return {}
     large: dict[int, dict[int, int]] = {f: {} for f in hot}
-    for r in _loads(nodes, order, cuts, set(hot)).filter(F.col("n") > load // 4).collect():
+    for r in _loads(nodes, order, place, set(hot)).filter(F.col("n") > load // 4).collect():
         large[r.fragment][r.comp] = r.n
     return {f: Blocks(large[f], n - sum(large[f].values()), load) for f, n in hot.items()}
 
 
-_ARRAYS = ("node", "comp", "n", "start", "size", "side")
+# A fragment's arrays, in widths and differences that compress well.
+_ARRAYS = {"node": "<i8", "comp": "<i8", "n": "<i4", "start": "<i4", "size": "<i4", "side": "<i1"}
 PACKED = ("fragment long, block string, " + ", ".join(f"{a} binary" for a in _ARRAYS)
           + ", tokens binary")
+LIVE = ("fragment long, block string, node long, comp long, n long, side int, here long, "
+        "tokens binary, positions binary")
 
 
 def _fragments(nodes: DataFrame, order, cuts: np.ndarray, hot: dict[int, Blocks]) -> DataFrame:
     """Every node's prefix, cut into fragments; a batch packs one row a fragment and block pair."""
+    place = _by_cuts(cuts)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, fragment, tokens, position = _placed(batch, order.value, cuts)
+            batch = batch.take(pc.sort_indices(batch.column("node")))
+            row, fragment, tokens, position = _placed(batch, order.value, place)
             at = np.lexsort((position, row, fragment))
             row, fragment, tokens, position = (x[at] for x in (row, fragment, tokens, position))
             begin = np.append(True, (row[1:] != row[:-1]) | (fragment[1:] != fragment[:-1]))[:len(row)]
             begins = np.flatnonzero(begin)
             sizes = np.diff(np.append(begins, len(row)))
             rows, places = row[begins], fragment[begins]
-            fields = {"node": batch.column("node").to_numpy()[rows],
-                      "comp": batch.column("comp").to_numpy()[rows],
+            node = batch.column("node").to_numpy()[rows]
+            fields = {"node": node, "comp": batch.column("comp").to_numpy()[rows],
                       "n": batch.column("n").to_numpy()[rows], "start": position[begins],
                       "size": sizes, "side": np.zeros(len(rows), np.int64)}
             out: dict[str, list] = {c: [] for c in ("fragment", "block", *_ARRAYS, "tokens")}
 
             def emit(place: int, block: str, keep: np.ndarray, side: np.ndarray | None) -> None:
+                values = {name: fields[name][keep] for name in _ARRAYS}
+                if side is not None:
+                    values["side"] = side
+                values["comp"] = values["comp"] ^ values["node"]
+                values["node"] = np.diff(values["node"], prepend=0)
                 out["fragment"].append(place)
                 out["block"].append(block)
-                for name in _ARRAYS:
-                    values = side if name == "side" and side is not None else fields[name][keep]
-                    out[name].append(values.astype("<i8").tobytes())
+                for name, kind in _ARRAYS.items():
+                    out[name].append(values[name].astype(kind).tobytes())
                 spans = [tokens[b:b + s] for b, s in zip(begins[keep].tolist(), sizes[keep].tolist())]
                 out["tokens"].append(np.concatenate(spans).astype("<u8").tobytes())
 
@@ -450,24 +484,69 @@ def _fragments(nodes: DataFrame, order, cuts: np.ndarray, hot: dict[int, Blocks]
 
 
 class Fragment:
-    """The prefix parts in one fragment, and the pairs that share n-grams there."""
-
-    def __init__(self, rows: pa.Table, percent: int) -> None:
-        def flat(name: str, kind: str) -> np.ndarray:
-            return np.frombuffer(b"".join(rows[name].to_pylist()), kind)
-        self.percent = percent
-        self.node, self.comp, self.n, start, size, self.side = (flat(a, "<i8") for a in _ARRAYS)
-        tokens = flat("tokens", "<u8")
-        block = rows["block"][0].as_py()
+    """The postings in one fragment: n-grams of the nodes' prefixes, in order of the n-gram.
+
+    Per node: node, comp, n, side, and the n-grams ``here`` and ``alive`` anywhere that some
+    node of another component holds, too. Per posting: row (of the node), position (in its set).
+    """
+
+    def __init__(self, fields: dict[str, np.ndarray], row: np.ndarray, position: np.ndarray,
+                 tokens: np.ndarray, block: str, percent: int) -> None:
+        self.percent, self.block = percent, block
+        self.node, self.comp, self.n, self.side = (fields[c] for c in ("node", "comp", "n", "side"))
+        self.here, self.alive = fields.get("here"), fields.get("alive")
         self.cross = bool(block) and len(set(block.split(","))) == 2
-        row = np.repeat(np.arange(len(size)), size)
-        position = np.arange(len(tokens)) - np.repeat(np.cumsum(size) - size, size) + start[row]
         order = np.lexsort((self.n[row], tokens))
-        tokens = tokens[order]
-        self.row, self.position = row[order], position[order]
-        self.begins = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])[:len(tokens)])
+        self.tokens, self.row, self.position = tokens[order], row[order], position[order]
+        self.begins = np.flatnonzero(
+            np.append(True, self.tokens[1:] != self.tokens[:-1])[:len(tokens)])
         self.posted = np.diff(np.append(self.begins, len(tokens)))
 
+    @classmethod
+    def packed(cls, rows: pa.Table, percent: int) -> "Fragment":
+        fields: dict[str, np.ndarray] = {}
+        for name, kind in _ARRAYS.items():
+            parts = [np.frombuffer(b.as_py(), kind).astype(np.int64) for b in rows[name]]
+            fields[name] = np.concatenate([np.cumsum(p) for p in parts] if name == "node" else parts)
+        fields["comp"] ^= fields["node"]
+        size = fields["size"]
+        row = np.repeat(np.arange(len(size)), size)
+        begin = np.cumsum(size) - size
+        position = np.arange(len(row)) - np.repeat(begin - fields["start"], size)
+        tokens = np.frombuffer(b"".join(rows["tokens"].to_pylist()), "<u8")
+        return cls(fields, row, position, tokens, rows["block"][0].as_py(), percent)
+
+    @classmethod
+    def living(cls, rows: pa.Table, percent: int) -> "Fragment":
+        fields = {c: rows[c].to_numpy() for c in ("node", "comp", "n", "side", "here", "alive")}
+        row = np.repeat(np.arange(len(fields["node"])), fields["here"])
+        tokens = np.frombuffer(b"".join(rows["tokens"].to_pylist()), "<u8")
+        position = np.frombuffer(b"".join(rows["positions"].to_pylist()), "<i4").astype(np.int64)
+        return cls(fields, row, position, tokens, rows["block"][0].as_py(), percent)
+
+    def live(self, fragment: int) -> pa.Table:
+        """The postings whose n-gram occurs in several components (and on both sides)."""
+        def mixed(values: np.ndarray) -> np.ndarray:
+            at = values[self.row]
+            return np.minimum.reduceat(at, self.begins) != np.maximum.reduceat(at, self.begins)
+
+        alive = mixed(self.comp) & (mixed(self.side) if self.cross else True)
+        at = np.flatnonzero(np.repeat(alive, self.posted))
+        at = at[np.lexsort((self.position[at], self.row[at]))]
+        rows, here = np.unique(self.row[at], return_counts=True)
+        ends = np.append(0, np.cumsum(here)).astype(np.int32)
+
+        def cut(values: np.ndarray) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(rows), [
+                None, pa.py_buffer(ends * values.itemsize), pa.py_buffer(np.ascontiguousarray(values))])
+        return pa.table({
+            "fragment": pa.array(np.full(len(rows), fragment), pa.int64()),
+            "block": pa.array([self.block] * len(rows), pa.string()),
+            "node": self.node[rows], "comp": self.comp[rows], "n": self.n[rows],
+            "side": pa.array(self.side[rows], pa.int32()), "here": pa.array(here, pa.int64()),
+            "tokens": cut(self.tokens[at].astype("<u8")),
+            "positions": cut(self.position[at].astype("<i4"))})
+
     def _fits(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Can the postings' nodes link? i and j index postings."""
         a, b = self.row[i], self.row[j]
@@ -477,8 +556,17 @@ class Fragment:
         fits &= (100 + self.percent) * most >= self.percent * (na + nb)
         if self.cross:
             fits &= self.side[a] != self.side[b]
+        if self.alive is not None:
+            fits &= self._suffices(np.minimum(self.alive[a], self.alive[b]), na, nb)
         return fits
 
+    def _suffices(self, shared: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+        """Can sets whose prefixes share so many n-grams still link?"""
+        # Past its prefix a set has ceil(percent * n / 100) n-grams less one; the prefix that
+        # ends first in the order bounds what else is shared.
+        rest = (self.percent * np.maximum(na, nb) + 99) // 100 - 1
+        return (100 + self.percent) * (shared + rest) >= self.percent * (na + nb)
+
     def _shared(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of postings of one n-gram, in bounded pieces."""
         for m in np.unique(self.posted[(self.posted > 1) & (self.posted <= 32)]).tolist():
@@ -522,6 +610,10 @@ class Fragment:
         settle()
         keys, counts = held[0]
         a, b = keys // total, keys % total
+        if self.alive is not None:  # elsewhere a pair shares at most what is alive elsewhere
+            more = np.minimum(self.alive[a] - self.here[a], self.alive[b] - self.here[b])
+            fits = self._suffices(counts + more, self.n[a], self.n[b])
+            a, b, counts = a[fits], b[fits], counts[fits]
         swap = self.node[a] > self.node[b]
         a, b = np.where(swap, b, a), np.where(swap, a, b)
         return pa.table({"x": self.node[a], "y": self.node[b], "nx": self.n[a], "ny": self.n[b],
@@ -529,22 +621,30 @@ class Fragment:
 
 
 def _candidates(nodes: DataFrame, order, percent: int, load: int) -> DataFrame:
-    """Pairs (x, y, nx, ny) of different components whose summed prefix overlap may suffice."""
-    levels = {r.fragment: r.n for r in _loads(
-        nodes, order, np.array([i << 56 for i in range(1, 65)], np.uint64)).collect()}
-    cuts = _even_cuts(levels, load)
+    """Pairs (x, y, nx, ny) of different components whose summed prefix overlap may suffice.
+
+    A first look at the fragments finds the n-grams that several components hold; the pairs
+    are then counted among those alone, and a node's number of them bounds its overlaps.
+    """
+    cuts = _cuts_of(nodes, order, load)
     hot = _hot_fragments(nodes, order, cuts, load)
 
+    def look(key, rows):
+        found = Fragment.packed(rows, percent).live(key[0].as_py())
+        release_memory()
+        return found
+
     def count(rows: pa.Table) -> pa.Table:
-        found = Fragment(rows, percent).pairs()
+        found = Fragment.living(rows, percent).pairs()
         release_memory()
         return found
 
-    partial = (_fragments(nodes, order, cuts, hot).groupBy("fragment", "block")
+    live = stored(_fragments(nodes, order, cuts, hot).groupBy("fragment", "block")
+                  .applyInArrow(look, LIVE), "jaccard-live")
+    alive = live.groupBy("node").agg(F.sum("here").alias("alive"))
+    partial = (live.join(alive, "node").groupBy("fragment", "block")
                .applyInArrow(count, "x long, y long, nx long, ny long, c long"))
     summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("c").alias("c"))
-    # Past its prefix a set has floor(percent * n / 100) n-grams less one; the prefix that ends
-    # first in the order bounds what else is shared.
     rest = [F.expr(f"({percent} * {n} + 99) div 100 - 1") for n in ("nx", "ny")]
     return summed.filter(_linked(F.col("c") + F.greatest(*rest), percent)).drop("c")
 
@@ -590,13 +690,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _whole_cuts(nodes: DataFrame, order) -> np.ndarray:
-    """Cuts of the order into PARTS of about equal load, from the prefixes' classes."""
-    levels = {r.fragment: r.n for r in _loads(
-        nodes, order, np.array([i << 56 for i in range(1, 65)], np.uint64)).collect()}
-    total, seen, cuts = sum(levels.values()), 0, []
-    for level, n in sorted(levels.items()):
-        while len(cuts) < PARTS - 1 and seen + n > total * (len(cuts) + 1) // PARTS:
-            inside = total * (len(cuts) + 1) // PARTS - seen
-            cuts.append((level << 56) + (1 << 56) * inside // n)
-        seen += n
-    return np.array(cuts, np.uint64)
+    """Cuts of the order into PARTS of about equal load of prefixes."""
+    total = nodes.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
+    return _cuts_of(nodes, order, max(1, -(-total // (8 * PARTS))))[:PARTS]

@@ -106,16 +106,38 @@ def test_blocks_meet_once_and_never_within_one_component():
     assert not any(a != b and owner.get(a) == owner.get(b) == {5} for a, b in met)
 
 
+def packed(nodes, comps, tokens, n=60, block=""):
+    sizes = [len(t) for t in tokens]
+    values = {"node": np.diff(nodes, prepend=0), "comp": np.array(comps) ^ np.array(nodes),
+              "n": [n] * len(nodes), "start": [0] * len(nodes), "size": sizes, "side": [0] * len(nodes)}
+    return pa.table({**{k: [np.array(values[k], kind).tobytes()] for k, kind in ngram_join._ARRAYS.items()},
+                     "tokens": [np.concatenate(tokens).astype("<u8").tobytes()], "block": [block]})
+
+
 def test_fragment_counts_every_shared_gram_of_fitting_pairs():
     tokens = [np.arange(10, dtype=np.uint64), np.arange(1, 11, dtype=np.uint64)]
-    row = {"node": [8, 3], "comp": [8, 3], "n": [60, 60], "start": [0, 0], "size": [10, 10],
-           "side": [0, 0]}
-    table = pa.table({**{k: [np.array(v, "<i8").tobytes()] for k, v in row.items()},
-                      "tokens": [np.concatenate(tokens).astype("<u8").tobytes()], "block": [""]})
-    assert ngram_join.Fragment(table, 85).pairs().to_pylist() == [
+    assert ngram_join.Fragment.packed(packed([8, 3], [8, 3], tokens), 85).pairs().to_pylist() == [
         {"x": 3, "y": 8, "nx": 60, "ny": 60, "c": 9}]
 
 
+def test_only_grams_of_several_components_live():
+    tokens = [np.array(t, np.uint64) for t in ([1, 2, 5], [1, 2, 7], [2, 7, 9], [5, 11])]
+    live = ngram_join.Fragment.packed(packed([4, 6, 8, 9], [4, 4, 8, 4], tokens), 85).live(3)
+    got = {r["node"]: (np.frombuffer(r["tokens"], "<u8").tolist(), np.frombuffer(r["positions"], "<i4").tolist())
+           for r in live.to_pylist()}
+    # 1 and 5 occur in component 4 alone
+    assert got == {4: ([2], [1]), 6: ([2, 7], [1, 2]), 8: ([2, 7], [0, 1])}
+    assert live["here"].to_pylist() == [1, 2, 2] and set(live["fragment"].to_pylist()) == {3}
+
+
+def test_cuts_balance_whatever_the_hashes():
+    loads = {7: 5, 8: 50, 9: 1, 1 << 12: 3, (1 << 12) + 1: 3}
+    cuts = ngram_join._balanced_cuts(loads, 10, 44).tolist()
+    place = [sum(c <= k << 44 for c in cuts) for k in sorted(loads)]
+    held = [sum(n for p, (_, n) in zip(place, sorted(loads.items())) if p == i) for i in set(place)]
+    assert held == [5, 50, 7]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.near_duplicates(empty).count() == 0
