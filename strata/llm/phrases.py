@@ -55,6 +55,7 @@ SCALE = 1_000_000
 GROUP_BYTES = 96 << 20
 _SUFFIX_BYTES = 48  # of a suffix while its group is merged
 HOT_SHARE = 10_000
+MAX_PARTS = 256  # in which a language's phrases are ranked first
 SLICE_BYTES = 8 << 20
 UNKNOWN = "und"
 _TABLE = byte_table(spaces=(0x20, 0x09), breaks=(*b".,;:!?", *range(0x0A, 0x0E)))
@@ -358,6 +359,22 @@ def _with_count(cuts: DataFrame, part: str, name: str, counts: DataFrame,
     return seen.filter(F.col(name).isNotNull()).unionByName(rest)
 
 
+def _best(scored: DataFrame, keep: int) -> DataFrame:
+    """Each language's ``keep`` best phrases, ranked. A large language's phrases first compete
+    within parts, so no task ranks more than ``MAX_PARTS`` times ``keep`` of them at once."""
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+
+    def top(df: DataFrame, keys: list[str]) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("rank", nth).filter(F.col("rank") <= keep)
+
+    parts = min(MAX_PARTS, -(-scored.count() // (8 * keep)))
+    if parts > 1:
+        dealt = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+        scored = top(dealt, ["lang", "part"]).drop("part", "rank")
+    return top(scored, ["lang"])
+
+
 def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
          min_words: int = MIN_WORDS, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
          keep: int = KEEP, group_bytes: int = GROUP_BYTES) -> DataFrame:
@@ -388,8 +405,7 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     scored = (both.withColumn("score", score).groupBy("lang", "phrase", "a")
               .agg(F.min(F.struct("score", "k", "l", "r")).alias("least"))
               .select("lang", "phrase", "a", "least.*"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = (scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= keep))
+    ranked = _best(stored(scored, "phrases-scored"), keep)
     # At most ``keep`` rows a language are left here.
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

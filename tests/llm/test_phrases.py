@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from strata.llm import phrases
@@ -65,6 +66,24 @@ def test_mining_equals_brute_force(spark, budget):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
+def test_distinct_rows_whether_or_not_ranks_fit_one_integer():
+    columns = [np.array([1, 0, 1, 1, 0]), np.array([5, 2, 5, 3, 2]), np.array([0, 9, 0, 9, 9])]
+    for sizes in ([2, 10, 10], [2, 1 << 40, 1 << 40]):
+        rows, counts = phrases._distinct([c.copy() for c in columns], sizes)
+        assert list(zip(*[r.tolist() for r in rows])) == [(0, 2, 9), (1, 3, 9), (1, 5, 0)]
+        assert counts.tolist() == [2, 1, 2]
+
+
+def test_ranking_in_parts(spark, monkeypatch):
+    rows = [("en" if i % 3 else "fr", f"p{i}", i * 7 % 50, i % 11) for i in range(500)]
+    df = spark.createDataFrame(rows, "lang string, phrase string, a long, score long")
+    want = []
+    for lang in ("en", "fr"):
+        mine = sorted((-s, -a, p) for l, p, a, s in rows if l == lang)[:6]
+        want += [(lang, p, i) for i, (_, _, p) in enumerate(mine, 1)]
+    assert sorted((r.lang, r.phrase, r["rank"]) for r in phrases._best(df, 6).collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("longest", [2, 4])
 def test_other_lengths_and_limits(spark, longest):
     rows = some_rows()
