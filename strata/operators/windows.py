@@ -36,25 +36,36 @@ def lag_previous_period(df: DataFrame, order_col: str, value_col: str, out_col:
     return df.withColumn(out_col, prev)
 
 
-def _ranges(df: DataFrame, order: Column, ranges: int | None) -> DataFrame:
-    """``df`` cut into ranges of ``order``, stored once: adds ``_s`` (row hash) and ``_p`` (range).
-
-    Spark's range partitioning samples the keys, so any orderable type works.
-    The row hash is a second key: a run of equal or NULL keys spreads over as
-    many ranges as its size asks for (rows equal in every column stay
-    together). The ranges are stored below the shared scratch folder, because
-    a second evaluation could sample other bounds.
+_ROW, _KEY, _SPREAD, _RANGE = "row", "key", "spread", "range"
+
+
+def _ranges(df: DataFrame, key_col: str, order, ranges: int | None) -> DataFrame:
+    """``df`` cut into ranges of a key and stored once: (row, key, spread, range).
+
+    The source row travels as one struct, so working columns clash with none
+    of its own. Spark's range partitioning samples the keys, so any orderable
+    type works. A row hash is the second key: a run of equal or NULL keys
+    spreads over as many ranges as its size asks for (rows equal in every
+    column stay together). The ranges are stored below the shared scratch
+    folder, because a second evaluation could sample other bounds.
     """
     spark = df.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    cut = (df.withColumn("_s", F.xxhash64(*hashed)).repartitionByRange(n, order, F.col("_s"))
-           .withColumn("_p", F.spark_partition_id()))
+    packed = df.select(F.struct("*").alias(_ROW), F.col(f"`{key_col}`").alias(_KEY),
+                       F.xxhash64(*hashed).alias(_SPREAD))
+    cut = (packed.repartitionByRange(n, order(F.col(_KEY)), F.col(_SPREAD))
+           .withColumn(_RANGE, F.spark_partition_id()))
     path = scratch_path(spark, "ranges")
     cut.write.parquet(path)
     return spark.read.schema(cut.schema).parquet(path)
 
 
+def _unpacked(rows: DataFrame, out_col: str, value: Column) -> DataFrame:
+    """The source rows with one more column."""
+    return rows.select(f"{_ROW}.*", value.alias(out_col))
+
+
 def lag_previous_unbounded(df: DataFrame, order_col: str, value_col: str, out_col: str,
                            ranges: int | None = None) -> DataFrame:
     """``lag_previous_period`` (offset 1) for inputs of any size and any orderable key.
@@ -66,17 +77,15 @@ def lag_previous_unbounded(df: DataFrame, order_col: str, value_col: str, out_co
     previous row among equal keys has no defined order. Empty input gives an
     empty frame.
     """
-    order = F.col(order_col).asc_nulls_first()
-    inside = Window.partitionBy("_p").orderBy(order, "_s")
-    rows = _ranges(df, order, ranges)
-    numbered = (rows.withColumn("_l", F.lag(F.col(value_col)).over(inside))
-                .withColumn("_r", F.row_number().over(inside)))
-    last = (rows.withColumn("_r", F.row_number().over(inside)).groupBy("_p")
-            .agg(F.max_by(F.struct(F.col(value_col).alias("v")), F.col("_r")).alias("_last")))
-    carry = last.select("_p", F.lag("_last").over(Window.orderBy("_p"))["v"].alias("_carry"))
-    out = numbered.join(F.broadcast(carry), "_p")
-    return out.select(*[F.col(f"`{c}`") for c in df.columns],
-                      F.when(F.col("_r") == 1, F.col("_carry")).otherwise(F.col("_l")).alias(out_col))
+    inside = Window.partitionBy(_RANGE).orderBy(F.col(_KEY).asc_nulls_first(), _SPREAD)
+    value = F.col(_ROW)[value_col]
+    rows = _ranges(df, order_col, Column.asc_nulls_first, ranges).withColumn(
+        "nth", F.row_number().over(inside))
+    numbered = rows.withColumn("before", F.lag(value).over(inside))
+    last = rows.groupBy(_RANGE).agg(F.max_by(F.struct(value.alias("v")), "nth").alias("last"))
+    carry = last.select(_RANGE, F.lag("last").over(Window.orderBy(_RANGE))["v"].alias("carry"))
+    out = numbered.join(F.broadcast(carry), _RANGE)
+    return _unpacked(out, out_col, F.when(F.col("nth") == 1, F.col("carry")).otherwise(F.col("before")))
 
 
 def pct_change(current: Column, previous: Column, decimals: int = 2) -> Column:
@@ -139,28 +148,27 @@ def rank_desc_unbounded(df: DataFrame, value_col: str, out_col: str = "ranking",
     window over one row per range (broadcast: as many rows as shuffle
     partitions). NULL values rank last; empty input gives an empty frame.
     """
-    value = F.col(value_col)
-    order = value.desc_nulls_last()
-    rows = _ranges(df, order, ranges).withColumn(
-        "_r", F.rank().over(Window.partitionBy("_p").orderBy(order)).cast("bigint"))
-    key = F.struct(value.alias("v"))
-    summary = rows.groupBy("_p").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_r").alias("_last_rank"),
-        F.min_by(key, F.col("_r")).alias("_first"), F.max_by(key, F.col("_r")).alias("_last"))
-    in_order = Window.orderBy("_p")
+    order = F.col(_KEY).desc_nulls_last()
+    rows = _ranges(df, value_col, Column.desc_nulls_last, ranges).withColumn(
+        "inner", F.rank().over(Window.partitionBy(_RANGE).orderBy(order)).cast("bigint"))
+    key = F.struct(F.col(_KEY).alias("v"))
+    summary = rows.groupBy(_RANGE).agg(
+        F.count(F.lit(1)).alias("n"), F.max("inner").alias("last_rank"),
+        F.min_by(key, "inner").alias("first"), F.max_by(key, "inner").alias("last"))
+    in_order = Window.orderBy(_RANGE)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    goes_on = F.coalesce((F.col("_n_prev") > 0) & F.col("_first")["v"].eqNullSafe(F.col("_prev")["v"]),
+    goes_on = F.coalesce((F.col("n_prev") > 0) & F.col("first")["v"].eqNullSafe(F.col("prev")["v"]),
                          F.lit(False))
     starts = (summary
-              .withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-              .withColumn("_prev", F.lag("_last").over(in_order))
-              .withColumn("_n_prev", F.lag("_n").over(in_order))
-              .withColumn("_goes_on", goes_on)
-              .withColumn("_start", F.when(~(F.col("_goes_on") & (F.col("_last_rank") == 1)),
-                                           F.col("_o") + F.col("_last_rank")))
-              .withColumn("_run", F.last("_start", ignorenulls=True).over(before))
-              .select("_p", "_o", F.when(F.col("_goes_on"), F.col("_run"))
-                      .otherwise(F.col("_o") + 1).alias("_head")))
-    out = rows.join(F.broadcast(starts), "_p")
-    rank = F.when(F.col("_r") == 1, F.col("_head")).otherwise(F.col("_o") + F.col("_r"))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], rank.alias(out_col))
+              .withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+              .withColumn("prev", F.lag("last").over(in_order))
+              .withColumn("n_prev", F.lag("n").over(in_order))
+              .withColumn("goes_on", goes_on)
+              .withColumn("start", F.when(~(F.col("goes_on") & (F.col("last_rank") == 1)),
+                                          F.col("offset") + F.col("last_rank")))
+              .withColumn("run", F.last("start", ignorenulls=True).over(before))
+              .select(_RANGE, "offset", F.when(F.col("goes_on"), F.col("run"))
+                      .otherwise(F.col("offset") + 1).alias("head")))
+    out = rows.join(F.broadcast(starts), _RANGE)
+    return _unpacked(out, out_col, F.when(F.col("inner") == 1, F.col("head"))
+                     .otherwise(F.col("offset") + F.col("inner")))

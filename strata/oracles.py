@@ -9,9 +9,10 @@ here and not taken from the implementation, so a change there shows.
 
 from __future__ import annotations
 
-from .queries import PARTITION_YEAR, ROW_CAP, TOP_K
 from .sources.fixtures import LANDING_HEADERS, READINGS_SQL
 
+ROW_CAP, PARTITION_YEAR, TOP_K = 15_000, 1996, 3
+
 E, S = "total_energie_soutiree_wh", "nb_points_soutirage"
 
 
@@ -273,8 +274,81 @@ def oracle_sql() -> dict[str, str]:
                                "c_nationkey FROM customer")
     sql["csv_ragged_rows"] = ("SELECT c_custkey, CASE WHEN c_nationkey % 3 <> 0 THEN c_name END AS c_name, "
                               "CASE WHEN c_nationkey % 3 = 1 THEN 1 ELSE 0 END AS bad_cells FROM customer")
+    sql["csv_long_cells"] = (
+        "SELECT s_suppkey, CAST(length(note) AS BIGINT) AS note_chars, md5(note) AS note_md5, "
+        "CASE WHEN s_suppkey % 3 <> 0 THEN s_name END AS s_name, "
+        "CASE WHEN s_suppkey % 3 = 1 THEN 1 ELSE 0 END AS bad_cells "
+        "FROM (SELECT *, repeat('x\"; ', 20000) AS note FROM supplier) s")
+    clash = ("l_linestatus AS _p, l_tax AS _r, l_linenumber AS _s, l_discount AS _o, l_suppkey AS \"row\", "
+             "l_partkey AS key, l_quantity AS \"range\", l_returnflag AS spread")
+    sql["rank_desc_unbounded_clash"] = (
+        f"SELECT l_orderkey, l_extendedprice, {clash}, "
+        "rank() OVER (ORDER BY l_extendedprice DESC NULLS LAST) AS ranking FROM lineitem")
+    sql["lag_previous_unbounded_clash"] = (
+        "SELECT \"row\", count(*) AS n_rows, sum(_s)::BIGINT AS sum_s, min(_p) AS min_p, "
+        "max(spread) AS max_spread, min(previous) AS least_previous "
+        f"FROM (SELECT {clash}, lag(l_suppkey) OVER (ORDER BY l_suppkey) AS previous "
+        "FROM lineitem) x GROUP BY ALL")
     sql["csv_header_order"] = ("SELECT 'swapped' AS dataset, 'FAILED' AS status, CAST(NULL AS BIGINT) AS rows "
                                "UNION ALL SELECT 'same', 'SUCCESS', (SELECT count(*) FROM customer)")
+    late, again = "year(horodate) = 1996", f"{S} % 3 = 0"
+    both = (f"b AS (SELECT * FROM readings WHERE NOT ({late}) "
+            f"UNION ALL SELECT * FROM readings WHERE {late} OR {again})")
+    sql["dedup_against_history"] = rs + "SELECT * FROM silver"
+    sql["dedup_history_metrics"] = _with(READINGS, SILVER, both) + (
+        "SELECT rows_in, rows_distinct, rows_in - rows_distinct AS rows_deduplicated, rows_out, "
+        "rows_distinct - rows_out AS rows_suppressed FROM (SELECT (SELECT count(*) FROM b) AS rows_in, "
+        "(SELECT count(*) FROM (SELECT DISTINCT * FROM b)) AS rows_distinct, "
+        "(SELECT count(*) FROM silver) AS rows_out) x")
+    sql["quality_report_merged"] = _with(READINGS, both) + _dq("b", READING_COLS, [E, S])
+    for key in ("kpi_region_year", "kpi_national_trend", "kpi_category_share", "kpi_top_regions"):
+        sql[f"{key}_incremental"] = sql[key]
+    sql["partition_overwrite_one_year"] = (
+        "SELECT * REPLACE (CASE WHEN o_year = 1996 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice) "
+        "FROM (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders) o")
+    sql["compaction_files_per_year"] = (
+        "SELECT CAST(year(o_orderdate) AS INTEGER) AS o_year, count(*) AS n_rows, "
+        "CAST(sum(o_orderkey) AS BIGINT) AS sum_keys, true AS bounded FROM orders GROUP BY 1")
+    sql["csv_rejects"] = (
+        "SELECT CASE c_custkey % 4 WHEN 0 THEN 'kept' WHEN 1 THEN 'surplus fields' "
+        "WHEN 2 THEN 'unparsable cells' ELSE 'open quote' END AS outcome, "
+        "c_custkey || ';' || CASE WHEN c_custkey % 4 = 3 THEN '\"' ELSE '' END || c_name || "
+        "CASE c_custkey % 4 WHEN 0 THEN ';' || c_nationkey WHEN 1 THEN ';7;surplus' "
+        "WHEN 2 THEN ';none of ' || c_custkey ELSE '' END AS text FROM customer")
+    sql["csv_reject_summary"] = (
+        "SELECT 'unparsable cells' AS reason, 'c_nationkey' AS column_name, count(*) AS n_records "
+        "FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT 'unparsable cells', 'c_acctbal', count(*) "
+        "FROM customer WHERE c_custkey % 6 = 0")
+    sql["schema_drift"] = (
+        "SELECT CAST(2 AS INTEGER) AS version, * FROM (VALUES ('c_name', 'removed', 'string', NULL), "
+        "('c_acctbal', 'moved', 'double', 'double'), ('c_nationkey', 'added', NULL, 'bigint')) "
+        "AS t(column_name, change, old_type, new_type)")
+    sql["schema_store_scan"] = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, "
+                                "c_mktsegment FROM customer")
+    sql["run_log_durable"] = (
+        "SELECT run_id, 'bronze' AS layer, x.* FROM (VALUES ('run-1'), ('run-2')) AS r(run_id), "
+        "(SELECT 'customer' AS dataset, 'bronze_customer' AS table_name, 'SUCCESS' AS status, "
+        "(SELECT count(*) FROM customer) AS rows, CAST(NULL AS VARCHAR) AS error_class "
+        "UNION ALL SELECT 'missing', NULL, 'FAILED', NULL, 'PATH_NOT_FOUND') x")
+    sql["row_cap_first_rows"] = ("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem "
+                                 "ORDER BY l_orderkey, l_linenumber, l_partkey LIMIT 1000")
+    first = ("f AS (SELECT region, annee FROM k1 WHERE sites_total = (SELECT min(sites_total) FROM k1)),\n"
+             "p AS (SELECT k1.region, k1.annee FROM k1 JOIN f ON k1.annee = f.annee AND k1.region <> f.region "
+             "QUALIFY row_number() OVER (ORDER BY k1.sites_total, k1.region) = 1)")
+    why = ("CASE WHEN EXISTS (SELECT 1 FROM f WHERE f.region = k1.region AND f.annee = k1.annee) THEN 'primary' "
+           "WHEN EXISTS (SELECT 1 FROM p WHERE p.region = k1.region AND p.annee = k1.annee) THEN 'secondary' END")
+    shown = ", ".join(f"CASE WHEN hidden IS NULL THEN {c} END AS {c}" for c in (
+        "energy_total", "energy_mean", "n_records", "sites_total", "energy_per_site"))
+    sql["kpi_cells_suppressed"] = _with(READINGS, SILVER, K1, first) + (
+        f"SELECT region, annee, {shown}, hidden FROM (SELECT *, {why} AS hidden FROM k1) x")
+    sql["kpi_cells_rectangles"] = _with(READINGS, SILVER, K1, first.split(",\n")[0]) + (
+        "SELECT region, annee, hidden, false AS hide_totals FROM ("
+        "SELECT f.region, f.annee, 'primary' AS hidden FROM f UNION ALL SELECT unnest([f.region, b.region, b.region]), "
+        "unnest([a.annee, f.annee, a.annee]), 'secondary' FROM (SELECT a.annee AS c2, b.region AS r2 FROM f "
+        "JOIN k1 a ON a.region = f.region AND a.annee <> f.annee JOIN k1 b ON b.annee = f.annee AND b.region <> f.region "
+        "JOIN k1 d ON d.region = b.region AND d.annee = a.annee "
+        "QUALIFY row_number() OVER (ORDER BY a.sites_total + b.sites_total + d.sites_total, b.region, a.annee) = 1) c, "
+        "f, k1 a, k1 b WHERE a.region = f.region AND a.annee = c2 AND b.annee = f.annee AND b.region = r2) y")
     sql["silver_detected_roles"] = sql["silver_pipeline"]
     sql["ingest_stream_second_batch"] = sql["ingest_stream_available_now"]
     return sql

@@ -26,6 +26,9 @@ from ..operators.quality import N, grouped_rows, metric_exprs, report_from_value
 from ..session import scratch_path
 from ..sources.catalog import TableStore, write_gold
 from ..sources.ingest import ingest_all
+from ..sources.partitions import compact
+from ..sources.run_log import RunLog, new_run_id
+from ..sources.schema_store import SchemaStore
 from ..spec import DatasetSpec, Roles, TableName, bind_roles
 
 SILVER_CLOCK_COLUMNS = ("_silver_timestamp", "_silver_date")
@@ -59,11 +62,7 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
     df = bronze.select([F.col(f"`{old}`").alias(new) for old, new in zip(kept, names)])
     columns, numeric = df.columns, numeric_columns(df)
     types = {f.name: f.dataType for f in df.schema.fields}
-    if roles.sites not in types:
-        message = f"no column {roles.sites!r}: small counts cannot be suppressed"
-        if not allow_unsuppressed:
-            raise ValueError(f"{message} (allow_unsuppressed=True keeps the rows)")
-        warnings.warn(message, stacklevel=2)
+    check_suppressible(types, roles, allow_unsuppressed)
     g = grouped_rows(df)
     quality = suppression = None
     if observe:
@@ -73,6 +72,19 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
         g = g.observe(quality, *metric_exprs(columns, numeric, None),
                       F.coalesce(F.sum(N), F.lit(0)).cast("bigint").alias("rows_in"))
 
+    df = silver_rows(g, columns, types, roles, min_sites, strict, business_tz, with_clock)
+    if roles.sites in types and observe:
+        suppression = Observation(f"silver_suppression_{uuid.uuid4().hex[:8]}")
+        df = df.observe(suppression, F.count(F.lit(1)).alias("rows_out"))
+    return SilverPlan(df, columns, numeric, quality, suppression)
+
+
+def silver_rows(rows: DataFrame, columns: list[str], types: dict, roles: Roles, min_sites: int,
+                strict: bool = True, business_tz: str | None = None, with_clock: bool = True) -> DataFrame:
+    """Distinct rows cast, dated, banded and scored, small counts suppressed; other columns go.
+
+    ``types`` are the columns' types as they arrived.
+    """
     out = {c: F.col(c) for c in columns}
     measure = sites = None
     if roles.measure in types:
@@ -85,7 +97,7 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
         out[roles.category] = categorize(measure)
     if measure is not None and sites is not None and roles.score:
         out[roles.score] = carbon_score_normalised(measure, sites)
-    df = g.select([expr.alias(name) for name, expr in out.items()])
+    df = rows.select([expr.alias(name) for name, expr in out.items()])
 
     extra = {}
     if sites is not None:
@@ -93,12 +105,16 @@ def silver_plan(bronze: DataFrame, roles: Roles = Roles(), min_sites: int = DEFA
         extra[AUDIT_COLUMN] = F.lit(min_sites)
     if with_clock:
         extra.update(zip(SILVER_CLOCK_COLUMNS, (F.current_timestamp(), F.current_date())))
-    if extra:
-        df = df.withColumns(extra)
-    if sites is not None and observe:
-        suppression = Observation(f"silver_suppression_{uuid.uuid4().hex[:8]}")
-        df = df.observe(suppression, F.count(F.lit(1)).alias("rows_out"))
-    return SilverPlan(df, columns, numeric, quality, suppression)
+    return df.withColumns(extra) if extra else df
+
+
+def check_suppressible(types: dict, roles: Roles, allow_unsuppressed: bool) -> None:
+    """Without a sites column small counts cannot be suppressed."""
+    if roles.sites not in types:
+        message = f"no column {roles.sites!r}: small counts cannot be suppressed"
+        if not allow_unsuppressed:
+            raise ValueError(f"{message} (allow_unsuppressed=True keeps the rows)")
+        warnings.warn(message, stacklevel=3)
 
 
 @dataclass
@@ -116,11 +132,13 @@ def silver_roles(bronze: DataFrame, base: Roles = Roles()) -> Roles:
 
 def run_silver(store: TableStore, dataset: str, roles: Roles | None = None,
                min_sites: int = DEFAULT_MIN_SITES, strict: bool = True,
-               business_tz: str | None = None, allow_unsuppressed: bool = False) -> SilverResult:
+               business_tz: str | None = None, allow_unsuppressed: bool = False,
+               compact_bytes: int | None = None) -> SilverResult:
     """Write ``silver_<dataset>`` from ``bronze_<dataset>``, partitioned by year.
 
     Without ``roles`` they are bound by name, then by keyword. The metrics say
-    whether small counts were suppressed.
+    whether small counts were suppressed. With ``compact_bytes`` the files of each
+    year are then packed to about that size.
     """
     bronze = store.read(TableName("bronze", dataset).short)
     roles = roles or silver_roles(bronze)
@@ -129,6 +147,8 @@ def run_silver(store: TableStore, dataset: str, roles: Roles | None = None,
     target = TableName("silver", dataset).short
     parts = [roles.year] if roles.year and roles.year in plan.frame.columns else None
     store.write(plan.frame, target, partition_by=parts)
+    if parts and compact_bytes:
+        compact(store, target, compact_bytes)
     q = plan.quality.get
     metrics = {"rows_in": q["rows_in"], "rows_distinct": q["rows_total"],
                "rows_deduplicated": q["rows_in"] - q["rows_total"],
@@ -180,13 +200,23 @@ class PipelineResult:
 
 def run_pipeline(store: TableStore, specs: list[DatasetSpec], roles: Roles | None = None,
                  min_sites: int = DEFAULT_MIN_SITES, strict: bool = True,
-                 allow_unsuppressed: bool = False) -> PipelineResult:
+                 allow_unsuppressed: bool = False, compact_bytes: int | None = None,
+                 schemas: SchemaStore | None = None, run_log: RunLog | None = None,
+                 run_id: str | None = None) -> PipelineResult:
     """Every dataset through all three layers.
 
     A failed layer is logged, skips the rest for its dataset and leaves the
-    other datasets alone. Without ``roles`` each dataset binds its own.
+    other datasets alone. Without ``roles`` each dataset binds its own. With
+    ``run_log`` every layer's outcome is stored as soon as it is known, under ``run_id``.
     """
-    log = ingest_all(store, specs, strict=strict)
+    run_id = run_id or new_run_id()
+
+    def keep(layer: str, rows: DataFrame) -> None:
+        if run_log is not None:
+            run_log.record(run_id, layer, rows)
+
+    log = ingest_all(store, specs, strict=strict, schemas=schemas)
+    keep("bronze", log)
     ok = {r["dataset"] for r in log.filter(F.col("status") == "SUCCESS").select("dataset").collect()}
     silver, gold, layers = {}, {}, []
     for spec in specs:
@@ -195,12 +225,16 @@ def run_pipeline(store: TableStore, specs: list[DatasetSpec], roles: Roles | Non
         layer = "silver"
         try:
             silver[spec.name] = run_silver(store, spec.name, roles, min_sites, strict,
-                                           allow_unsuppressed=allow_unsuppressed)
+                                           allow_unsuppressed=allow_unsuppressed,
+                                           compact_bytes=compact_bytes)
             note = None if silver[spec.name].metrics["suppression_applied"] else "small counts not suppressed"
             layers.append((spec.name, layer, "SUCCESS" if note is None else "WARNING", note))
+            keep(f"silver-{spec.name}", store.spark.createDataFrame(layers[-1:], LAYER_LOG_SCHEMA))
             layer = "gold"
             gold[spec.name] = run_gold(store, spec.name, roles)
+            keep(f"gold-{spec.name}", gold[spec.name].withColumn("dataset", F.lit(spec.name)))
             layers.append((spec.name, layer, "SUCCESS", None))
         except Exception as exc:  # noqa: BLE001 - recorded in the layer log
             layers.append((spec.name, layer, "FAILED", str(exc)))
+            keep(f"{layer}-{spec.name}", store.spark.createDataFrame(layers[-1:], LAYER_LOG_SCHEMA))
     return PipelineResult(log, silver, gold, store.spark.createDataFrame(layers, LAYER_LOG_SCHEMA))

@@ -19,13 +19,18 @@ from .functions.columns import (cast_measures, derive_year, drop_audit_columns,
                                 standardize_column_names)
 from .functions.scoring import (carbon_score_emission, carbon_score_normalised, categorize,
                                 register_sql_functions)
-from .operators import chartdata, kpi, privacy, quality, windows
+from .incremental import states
+from .incremental.batches import SILVER_BATCH, Incremental
+from .operators import cells, chartdata, kpi, privacy, quality, windows
 from .plans.pipeline import SILVER_CLOCK_COLUMNS, gold_frames, run_silver, silver_plan
 from .session import scratch_path
-from .sources import fixtures
+from .sources import fixtures, partitions
 from .sources.catalog import TableStore, table_profile, write_gold
 from .sources.delimited import add_audit_columns, read_delimited
 from .sources.ingest import ingest_all, ingestion_report
+from .sources.rejects import ingest_with_rejects, reject_summary
+from .sources.run_log import RunLog
+from .sources.schema_store import SchemaStore
 from .spec import DatasetSpec, Roles, detect_column
 from .streaming.bronze_stream import ingest_stream
 
@@ -82,10 +87,10 @@ def q_csv_quoted_cells(spark, sf_dir):
     return read_delimited(spark, spec).toDF("c_custkey", "c_quoted", "c_nationkey")
 
 
-def _raw_lines(spark, sf_dir, header, line):
-    """Customer rows as unquoted landing lines below a header; returns the folder."""
+def _raw_lines(spark, sf_dir, header, line, table="customer"):
+    """A table's rows as raw landing lines below a header; returns the folder."""
     path = scratch_path(spark, "landing-lines")
-    (fixtures.load(spark, sf_dir, "customer").select(line.alias(header))
+    (fixtures.load(spark, sf_dir, table).select(line.alias(header))
      .write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path))
     return path
 
@@ -102,6 +107,21 @@ def q_csv_ragged_rows(spark, sf_dir):
     return read_delimited(spark, spec, strict=False, bad_cells_column="bad_cells")
 
 
+def q_csv_long_cells(spark, sf_dir):
+    # quoted cells of 100,000 characters; a third of the records is short, a third has a field too many
+    note = F.concat(F.lit('"'), F.repeat(F.lit('x""; '), 20_000), F.lit('"'))
+    kind = F.col("s_suppkey") % 3
+    parts = [F.col("s_suppkey").cast("string"), note]
+    line = (F.when(kind == 0, F.concat_ws(";", *parts))
+            .when(kind == 1, F.concat_ws(";", *parts, "s_name", F.lit("surplus")))
+            .otherwise(F.concat_ws(";", *parts, "s_name")))
+    path = _raw_lines(spark, sf_dir, "s_suppkey;note;s_name", line, "supplier")
+    spec = DatasetSpec("long", path, columns=(("s_suppkey", "bigint"),))
+    return read_delimited(spark, spec, strict=False, bad_cells_column="bad_cells").select(
+        "s_suppkey", F.char_length("note").cast("bigint").alias("note_chars"),
+        F.md5("note").alias("note_md5"), "s_name", "bad_cells")
+
+
 def q_csv_header_order(spark, sf_dir):
     # a second file with the columns in another order must fail, one in the same order must not
     store = TableStore.scratch(spark)
@@ -147,7 +167,7 @@ def q_ingest_stream_second_batch(spark, sf_dir):
     store = TableStore.scratch(spark)
     half = F.pmod(F.xxhash64(*rows.columns), F.lit(2))
     for n in (0, 1):
-        (rows.filter(half == n).coalesce(1).write.mode("append").option("sep", spec.sep)
+        (rows.filter(half == n).write.mode("append").option("sep", spec.sep)
          .option("header", True).option("escape", '"').csv(landing.location))
         ingest_stream(store, landing)
     bronze = store.read("bronze_readings")
@@ -245,6 +265,196 @@ def q_silver_pipeline_metrics(spark, sf_dir):
                                  ", ".join(f"{k} bigint" for k in keys))
 
 
+# --- batch by batch -----------------------------------------------------------
+
+LATE_YEAR = 1996
+
+
+def _batches(spark, sf_dir):
+    """Two batches of readings; the second brings a late year and rows the first brought already."""
+    rows = readings(spark, sf_dir)
+    late = F.year("horodate") == LATE_YEAR
+    return rows.filter(~late), rows.filter(late | (F.col(S) % 3 == 0))
+
+
+def _fed(spark, sf_dir, gold=False):
+    feed = Incremental(TableStore.scratch(spark), "readings", ROLES, MIN_SITES, buckets=16)
+    for n, batch in enumerate(_batches(spark, sf_dir)):
+        feed.run_batch(batch, f"batch-{n}", gold)
+    return feed
+
+
+def q_dedup_against_history(spark, sf_dir):
+    feed = _fed(spark, sf_dir)
+    return feed.store.read(feed.silver).drop(*SILVER_CLOCK_COLUMNS, SILVER_BATCH)
+
+
+def q_dedup_history_metrics(spark, sf_dir):
+    return _fed(spark, sf_dir).metrics()
+
+
+def q_quality_report_merged(spark, sf_dir):
+    return _fed(spark, sf_dir).quality_report()
+
+
+def _incremental_gold(spark, sf_dir):
+    return states.gold_from_base(_fed(spark, sf_dir, gold=True).store, "readings", ROLES)
+
+
+def q_kpi_region_year_incremental(spark, sf_dir):
+    return _incremental_gold(spark, sf_dir)["gold_region_year"]
+
+
+def q_kpi_national_trend_incremental(spark, sf_dir):
+    # from the tables that the second batch left; total rounded to cents as above
+    store = _fed(spark, sf_dir, gold=True).store
+    return kpi.kpi_national_trend(store.read("gold_base_readings"), ROLES, total_decimals=2, ordered=False)
+
+
+def q_kpi_category_share_incremental(spark, sf_dir):
+    return _incremental_gold(spark, sf_dir)["gold_category_share"]
+
+
+def q_kpi_top_regions_incremental(spark, sf_dir):
+    store = _fed(spark, sf_dir, gold=True).store
+    return store.read("gold_top_regions_readings").drop("_gold_timestamp")
+
+
+def _orders_by_year(spark, sf_dir, files=1):
+    store = TableStore.scratch(spark)
+    orders = fixtures.load(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    partitions.write_partitions(store, orders.repartition(files), "orders_by_year", "o_year")
+    return store
+
+
+def q_partition_overwrite_one_year(spark, sf_dir):
+    # one year is corrected by a plan that reads the table itself; the others stay
+    store = _orders_by_year(spark, sf_dir)
+    year = store.read("orders_by_year").filter(F.col("o_year") == PARTITION_YEAR)
+    partitions.write_partitions(store, year.withColumn("o_totalprice", -F.col("o_totalprice")),
+                                "orders_by_year", "o_year")
+    partitions.drop_superseded(store, "orders_by_year")
+    return store.read("orders_by_year")
+
+
+def q_compaction_files_per_year(spark, sf_dir):
+    store = _orders_by_year(spark, sf_dir, files=12)
+    before = partitions.files_per_partition(store, "orders_by_year")
+    target = 8 * max(size for sizes in before.values() for size in sizes)
+    partitions.compact(store, "orders_by_year", target)
+    after = partitions.files_per_partition(store, "orders_by_year")
+    rows = [(year, len(sizes) <= 2 * sum(before[year]) // target + 1 < len(before[year]))
+            for year, sizes in after.items()]
+    bounded = spark.createDataFrame(rows, "o_year int, bounded boolean")
+    counts = store.read("orders_by_year").groupBy("o_year").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("sum_keys"))
+    return counts.join(F.broadcast(bounded), "o_year")  # a row a year
+
+
+def q_csv_rejects(spark, sf_dir):
+    # a quarter of the records each: sound, with a surplus field, with a cell that is no number,
+    # with a quote that never closes
+    kind = F.col("c_custkey") % 4
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    line = (F.when(kind == 0, F.concat_ws(";", key, name, F.col("c_nationkey").cast("string")))
+            .when(kind == 1, F.concat_ws(";", key, name, F.lit("7"), F.lit("surplus")))
+            .when(kind == 2, F.concat_ws(";", key, name, F.concat(F.lit("none of "), key)))
+            .otherwise(F.concat_ws(";", key, F.concat(F.lit('"'), name))))
+    spec = DatasetSpec("customer", _raw_lines(spark, sf_dir, "c_custkey;c_name;c_nationkey", line),
+                       columns=(("c_custkey", "bigint"), ("c_nationkey", "int")))
+    store = TableStore.scratch(spark)
+    ingest_with_rejects(store, spec)
+    kept = store.read("bronze_customer").select(
+        F.lit("kept").alias("outcome"), F.concat_ws(";", "c_custkey", "c_name", "c_nationkey").alias("text"))
+    lost = store.read("rejects_customer").select(
+        F.col("_reason").alias("outcome"),
+        F.coalesce("_record", F.concat_ws(";", F.col("_cells")["c_custkey"], F.col("_cells")["c_name"],
+                                          F.col("_cells")["c_nationkey"])).alias("text"))
+    return kept.union(lost)
+
+
+def q_csv_reject_summary(spark, sf_dir):
+    # every column of a record may be at fault
+    line = F.concat_ws(";", F.col("c_custkey").cast("string"),
+                       F.when(F.col("c_custkey") % 3 == 0, "x").otherwise(F.col("c_nationkey").cast("string")),
+                       F.when(F.col("c_custkey") % 6 == 0, "y").otherwise(F.col("c_acctbal").cast("string")))
+    spec = DatasetSpec("customer", _raw_lines(spark, sf_dir, "c_custkey;c_nationkey;c_acctbal", line),
+                       columns=(("c_custkey", "bigint"), ("c_nationkey", "int"), ("c_acctbal", "double")))
+    store = TableStore.scratch(spark)
+    ingest_with_rejects(store, spec)
+    return reject_summary(store.read("rejects_customer"))
+
+
+def q_schema_drift(spark, sf_dir):
+    # the landing files of a second day have lost a column, moved one and gained one; the types
+    # of those that stayed are not inferred again
+    store = TableStore.scratch(spark)
+    schemas = SchemaStore(store)
+    customer = fixtures.load(spark, sf_dir, "customer")
+    for columns in (["c_custkey", "c_name", "c_acctbal"], ["c_custkey", "c_acctbal", "c_nationkey"]):
+        path = scratch_path(spark, "landing-drift")
+        customer.select(*columns).write.option("sep", ";").option("header", True).csv(path)
+        ingest_all(store, [DatasetSpec("customer", path, infer_types=True)], schemas=schemas)
+    return schemas.drift("customer")
+
+
+def q_schema_store_scan(spark, sf_dir):
+    # the second ingestion takes the stored types
+    store = TableStore.scratch(spark)
+    schemas = SchemaStore(store)
+    spec = fixtures.write_table_landing(spark, sf_dir, "customer")
+    for _ in range(2):
+        ingest_all(store, [spec], schemas=schemas)
+    bronze = store.read("bronze_customer")
+    return bronze.drop(*[c for c in bronze.columns if c.startswith("_")])
+
+
+def q_run_log_durable(spark, sf_dir):
+    # two runs, the second recorded twice, as after a retry
+    store = TableStore.scratch(spark)
+    log = RunLog(store)
+    specs = [fixtures.write_table_landing(spark, sf_dir, "customer"),
+             DatasetSpec(name="missing", location=scratch_path(spark, "no-such-landing"))]
+    for run in ("run-1", "run-2", "run-2"):
+        log.record(run, "bronze", ingest_all(store, specs))
+    return log.read().select("run_id", "layer", "dataset", "table_name", "status", "rows", "error_class")
+
+
+def q_row_cap_first_rows(spark, sf_dir):
+    # the first records in file order stay, on every run the same
+    path = scratch_path(spark, "landing-ordered")
+    rows = fixtures.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    (rows.repartitionByRange(8, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber", "l_partkey")
+     .write.option("sep", ";").option("header", True).csv(path))
+    spec = DatasetSpec("ordered", path, row_cap=1000, columns=(
+        ("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_partkey", "bigint")))
+    return read_delimited(spark, spec)
+
+
+# --- cell suppression -----------------------------------------------------------
+
+def _kpis_with_small_cell(spark, sf_dir):
+    """The KPIs, and a threshold that makes the cell of the fewest sites the only sensitive one."""
+    store = TableStore.scratch(spark)
+    store.write(kpi.kpi_region_year(silver(spark, sf_dir), ROLES, ordered=False), "cells")
+    k1 = store.read("cells")
+    least = k1.agg(F.min("sites_total")).first()[0] or 0
+    return k1, least + 1
+
+
+def q_kpi_cells_suppressed(spark, sf_dir):
+    # one more cell of that year is hidden, or the year's total would give the small one away
+    k1, threshold = _kpis_with_small_cell(spark, sf_dir)
+    figures = ["energy_total", "energy_mean", "n_records", "sites_total", "energy_per_site"]
+    return cells.suppress_cells(k1, ROLES.region, ROLES.year, "sites_total", threshold, figures)
+
+
+def q_kpi_cells_rectangles(spark, sf_dir):
+    # with totals per region published, too, four cells are hidden
+    k1, threshold = _kpis_with_small_cell(spark, sf_dir)
+    return cells.hidden_cells(k1, ROLES.region, ROLES.year, "sites_total", threshold, row_totals=True)
+
+
 # --- projection, expressions ------------------------------------------------
 
 def q_drop_audit_columns(spark, sf_dir):
@@ -395,6 +605,26 @@ def q_rank_desc_null_third(spark, sf_dir):
     return windows.rank_desc_unbounded(li, "ship_date")
 
 
+def _clashing(df):
+    """The rows with columns named like those that window operators work with."""
+    names = {"_p": "l_linestatus", "_r": "l_tax", "_s": "l_linenumber", "_o": "l_discount",
+             "row": "l_suppkey", "key": "l_partkey", "range": "l_quantity", "spread": "l_returnflag"}
+    return df.select("l_orderkey", "l_extendedprice", *[F.col(c).alias(n) for n, c in names.items()])
+
+
+def q_rank_desc_unbounded_clash(spark, sf_dir):
+    return windows.rank_desc_unbounded(_clashing(fixtures.load(spark, sf_dir, "lineitem")), "l_extendedprice")
+
+
+def q_lag_previous_unbounded_clash(spark, sf_dir):
+    # the key has ties, so only what does not depend on their order is returned
+    lagged = windows.lag_previous_unbounded(_clashing(fixtures.load(spark, sf_dir, "lineitem")),
+                                            "row", "row", "previous")
+    return lagged.groupBy("row").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("_s").alias("sum_s"), F.min("_p").alias("min_p"),
+        F.max("spread").alias("max_spread"), F.min("previous").alias("least_previous"))
+
+
 def q_lag_previous_dates(spark, sf_dir):
     # a date key with ties: the pairs (date, previous date) do not depend on the order of ties
     orders = fixtures.load(spark, sf_dir, "orders").select(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -107,6 +108,17 @@ def _swap_in(spark: SparkSession, staging: str, table: str, partitioned: bool) -
     spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
+def adopt_folder(spark: SparkSession, folder: str, schema: T.StructType, table: str,
+                 fmt: str = "parquet") -> str:
+    """Let ``table`` be the files in ``folder``: swapped in like an overwrite, without copying."""
+    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {staging} ({columns}) USING {fmt} LOCATION '{sql_text(folder)}'")
+    _swap_in(spark, staging, table, False)
+    spark.sql(f"REFRESH TABLE {table}")
+    return table
+
+
 def restore_table(spark: SparkSession, table: str) -> bool:
     """Put the backup of an interrupted overwrite back; False when there is nothing to do."""
     backup = f"{table}__backup"
@@ -119,7 +131,42 @@ def restore_table(spark: SparkSession, table: str) -> bool:
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a table; its partitions follow it.
+
+    A rename moves the folder of a managed table, but a catalog may leave its partitions
+    pointing at the old place, and dropping such a table would delete what lies there by then.
+    """
+    was = location_of(spark, old)
     spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    now = location_of(spark, new)
+    if was == now or not any(c.isPartition for c in spark.catalog.listColumns(new)):
+        return
+    for row in spark.sql(f"SHOW PARTITIONS {new}").collect():
+        spec = partition_spec(row[0])
+        place = location_of(spark, f"{new} {spec}")
+        if place.startswith(f"{was}/"):
+            spark.sql(f"ALTER TABLE {new} {spec} SET LOCATION '{sql_text(now + place[len(was):])}'")
+
+
+def location_of(spark: SparkSession, target: str) -> str:
+    """Folder of a table, or of a partition (``name PARTITION (...)``)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location").rstrip("/")
+
+
+def sql_text(text: str) -> str:
+    """Text for use between single quotes."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def partition_spec(shown: str) -> str:
+    """``PARTITION (...)`` for a line of SHOW PARTITIONS, whose values are written like folder names."""
+    pairs = []
+    for part in shown.split("/"):
+        column, value = part.split("=", 1)
+        null = value in ("__HIVE_DEFAULT_PARTITION__", "null")
+        pairs.append(f"`{column}` = " + ("NULL" if null else f"'{sql_text(unquote(value))}'"))
+    return f"PARTITION ({', '.join(pairs)})"
 
 
 PROFILE_SCHEMA = T.StructType([
@@ -138,6 +185,8 @@ def table_profile(spark: SparkSession, tables: list[str]) -> DataFrame:
     per task); a table that cannot be read yields a row with status ERROR
     instead of failing the others.
     """
+    if not tables:
+        return spark.createDataFrame([], PROFILE_SCHEMA)
     parts = []
     for name in tables:
         try:
@@ -157,6 +206,11 @@ def table_profile(spark: SparkSession, tables: list[str]) -> DataFrame:
     return out
 
 
+def preview(spark: SparkSession, table: str, rows: int = 5) -> DataFrame:
+    """A few rows of a table, for reading (which ones is up to the scan)."""
+    return spark.read.table(table).limit(rows)
+
+
 def schema_listing(df: DataFrame) -> DataFrame:
     """(position, column_name, data_type) rows of a DataFrame's schema."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]

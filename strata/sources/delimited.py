@@ -51,25 +51,72 @@ def read_text_cells(spark: SparkSession, spec: DatasetSpec, strict: bool = True,
     quotes (see ``multi_line``), raises; lenient scans keep it and count the
     surplus fields in ``SURPLUS``. With ``stream`` the frame is a stream.
     """
+    raw, names, surplus, broken = _scan(spark, spec, stream)
+    cells = [_na_to_null(F.col(f"`{c}`"), spec.na_tokens).alias(c) for c in names]
+    if not strict:
+        return raw.select(*cells, surplus.alias(SURPLUS))
+    # The message reads a data column, as Spark refuses plans over the raw record alone.
+    message = F.concat(F.lit(f"malformed record in {spec.name} (surplus fields, or a line break in "
+                             "quotes without multi_line): "), F.col(_RECORD),
+                       F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
+    sound = F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return raw.filter(sound).select(cells)
+
+
+def _scan(spark: SparkSession, spec: DatasetSpec, stream: DataStreamReader | None = None
+          ) -> tuple[DataFrame, list[str], Column, Column]:
+    """(rows of text cells and ``_RECORD``, header names, surplus fields of a row, is it malformed)."""
     names = header_names(spark, spec)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
     raw = (_reader(stream or spark.read, spec).schema(schema)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).csv(spec.location))
     record = F.col(_RECORD)
-    bare = F.regexp_replace(record, r'"([^"]|"")*"', "")
+    # Possessive and without a group: Java would recurse (or backtrack) once per character of a
+    # long cell. Doubled quotes are just two runs.
+    bare = F.regexp_replace(record, r'"[^"]*+"', "")
     fields = (F.length(bare) - F.length(F.replace(bare, F.lit(spec.sep)))) / len(spec.sep) + 1
     surplus = F.greatest(F.lit(0), F.coalesce(fields.cast("int"), F.lit(0)) - F.lit(len(names)))
-    cells = [_na_to_null(F.col(f"`{c}`"), spec.na_tokens).alias(c) for c in names]
-    if not strict:
-        return raw.select(*cells, surplus.alias(SURPLUS))
     quotes = F.length(record) - F.length(F.replace(record, F.lit('"')))
     broken = record.isNotNull() & ((surplus > 0) | (quotes % 2 == 1))
-    # The message reads a data column, as Spark refuses plans over the raw record alone.
-    message = F.concat(F.lit(f"malformed record in {spec.name} (surplus fields, or a line break in "
-                             "quotes without multi_line): "), record,
-                       F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
-    sound = F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return raw.filter(sound).select(cells)
+    return raw, names, surplus, broken
+
+
+# Columns of a rejected record beside the audit columns: why, the raw record (of a malformed
+# one), the cells as they were read, and the columns whose cells could not be parsed.
+REASON, RECORD, CELLS, BAD_COLUMNS = "_reason", "_record", "_cells", "_bad_columns"
+SURPLUS_FIELDS, OPEN_QUOTE, UNPARSABLE = "surplus fields", "open quote", "unparsable cells"
+
+
+def read_marked(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
+    """Every record, typed, with why it must be rejected (``REASON`` NULL: it is sound).
+
+    One scan, no record is lost and none raises: a malformed record carries its
+    raw text, one with unparsable cells the text of every cell.
+    """
+    raw, names, surplus, broken = _scan(spark, spec)
+    text = [F.col(f"`{c}`") for c in names]
+    marked = raw.select(
+        *[_na_to_null(c, spec.na_tokens).alias(n) for c, n in zip(text, names)],
+        F.when(broken, F.when(surplus > 0, SURPLUS_FIELDS).otherwise(OPEN_QUOTE)).alias("_broken"),
+        F.col(_RECORD).alias(RECORD),
+        F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*text)).alias(CELLS))
+    types = cell_types(marked.select([F.col(f"`{c}`") for c in names]), spec)
+    typed, bad = [], []
+    for c in names:
+        cell, kind = F.col(f"`{c}`"), types.get(c, "string")
+        parsed = _parsed(cell, kind, strict=False)
+        typed.append(parsed.alias(c))
+        if kind != "string":
+            bad.append(F.when(cell.isNotNull() & parsed.isNull(), F.lit(c)))
+    bad_columns = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+    bad_columns = F.when(F.col("_broken").isNull(), bad_columns).otherwise(
+        F.array().cast("array<string>"))  # a malformed record's cells mean nothing
+    out = marked.select(*typed, "_broken", RECORD, CELLS, bad_columns.alias(BAD_COLUMNS))
+    reason = F.coalesce("_broken", F.when(F.size(BAD_COLUMNS) > 0, UNPARSABLE))
+    return out.select(*[F.col(f"`{c}`") for c in names], reason.alias(REASON),
+                      F.when(F.col("_broken").isNotNull(), F.col(RECORD)).alias(RECORD),
+                      F.when(reason.isNotNull(), F.col(CELLS)).alias(CELLS),
+                      F.when(reason.isNotNull(), F.col(BAD_COLUMNS)).alias(BAD_COLUMNS))
 
 
 # Text shapes that parse as a whole number (fits bigint) or as a number.
@@ -124,6 +171,15 @@ def cell_types(cells: DataFrame, spec: DatasetSpec) -> dict[str, str]:
     return types
 
 
+def _parsed(text: Column, kind: str, strict: bool) -> Column:
+    """A text cell as ``kind``; what cannot be parsed raises, or is NULL when lenient."""
+    if kind in ("bigint", "long"):
+        return as_count(text, T.StringType(), strict)
+    if kind == "string":
+        return text
+    return text.cast(kind) if strict else text.try_cast(kind)
+
+
 def typed_cells(cells: DataFrame, types: dict[str, str], strict: bool = True,
                 bad_cells_column: str | None = None) -> DataFrame:
     """Text cells cast to ``types``; columns without a type stay text."""
@@ -131,11 +187,7 @@ def typed_cells(cells: DataFrame, types: dict[str, str], strict: bool = True,
     for c in (c for c in cells.columns if c != SURPLUS):
         text = F.col(f"`{c}`")
         kind = types.get(c, "string")
-        col = text
-        if kind in ("bigint", "long"):
-            col = as_count(text, T.StringType(), strict)
-        elif kind != "string":
-            col = text.cast(kind) if strict else text.try_cast(kind)
+        col = _parsed(text, kind, strict)
         if kind != "string" and not strict:
             lost.append(F.when(text.isNotNull() & col.isNull(), 1).otherwise(0))
         out.append(col.alias(c))
@@ -145,8 +197,18 @@ def typed_cells(cells: DataFrame, types: dict[str, str], strict: bool = True,
 
 
 def apply_row_cap(df: DataFrame, row_cap: int) -> DataFrame:
-    """Keep at most ``row_cap`` rows; a negative cap keeps all."""
-    return df.limit(row_cap) if row_cap is not None and row_cap >= 0 else df
+    """The first ``row_cap`` records of a file scan; a negative cap keeps all.
+
+    First means in the order of the files' paths and of the records in them, so
+    the same rows stay on every run. Spark takes them as a top-k: each task
+    forwards at most ``row_cap`` rows, though every file is read for it.
+    """
+    if row_cap is None or row_cap < 0:
+        return df
+    place = [F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+             F.monotonically_increasing_id().alias("_i")]
+    return (df.select(F.struct("*").alias("_row"), *place).orderBy("_f", "_b", "_i").limit(row_cap)
+            .select("_row.*"))
 
 
 def add_audit_columns(df: DataFrame, spec: DatasetSpec, with_clock: bool = True) -> DataFrame:

@@ -20,6 +20,7 @@ from ..plans.concurrency import run_all
 from ..spec import DatasetSpec, TableName
 from .catalog import TableStore
 from .delimited import add_audit_columns, read_delimited
+from .schema_store import SchemaStore
 
 _BAD = "__strata_bad_cells"
 
@@ -64,15 +65,27 @@ def ingest(store: TableStore, spec: DatasetSpec, strict: bool = True) -> tuple:
 
 
 def ingest_all(store: TableStore, specs: list[DatasetSpec], strict: bool = True,
-               max_workers: int = 4) -> DataFrame:
+               max_workers: int = 4, schemas: SchemaStore | None = None) -> DataFrame:
     """Ingest every spec (independent jobs, submitted side by side).
 
-    Failures are logged and isolated; the log keeps the order of ``specs``.
+    Failures are logged and isolated; the log keeps the order of ``specs``. With
+    ``schemas`` column types are inferred once and then taken from there.
     """
+    resolved: dict[DatasetSpec, DatasetSpec | Exception] = {}
+    if schemas is not None:  # one after the other: they share a table
+        for spec in specs:
+            try:
+                resolved[spec] = schemas.resolve(spec)
+            except Exception as exc:  # noqa: BLE001 - recorded below
+                resolved[spec] = exc
+
     def one(spec: DatasetSpec) -> tuple:
         started = datetime.now()
         try:
-            return ingest(store, spec, strict=strict)
+            known = resolved.get(spec, spec)
+            if isinstance(known, Exception):
+                raise known
+            return ingest(store, known, strict=strict)
         except Exception as exc:  # noqa: BLE001 - recorded in the run log
             return (spec.name, store.database, None, None, None, None, _cap(spec), None, "FAILED",
                     _error_class(exc), str(exc), started)

@@ -11,6 +11,8 @@ simply started again.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,9 +43,35 @@ def bronze_stream_frame(spark: SparkSession, spec: DatasetSpec, max_files_per_tr
     return add_audit_columns(typed_cells(cells, types, strict, bad), spec)
 
 
-def stream_checkpoint(store: TableStore, table: str) -> str:
-    """The one progress folder of a table; a fresh one would make the sink drop new files."""
-    return f"{scratch_root(store.spark)}/strata/stream-checkpoints/{table}"
+#: Table property naming the table's progress folder.
+STREAM_ID = "strata.stream_id"
+
+
+def stream_checkpoint(store: TableStore, table: str) -> str | None:
+    """The one progress folder of a table, named by an id that the table itself carries.
+
+    Two catalogs' tables of one name thus never share progress, and a dropped
+    table takes its id with it: the next run starts a new table from all
+    landing files. None when the table has no id (yet).
+    """
+    if not store.exists(table):
+        return None
+    rows = store.spark.sql(f"SHOW TBLPROPERTIES {store.qualify(table)}").collect()
+    ids = [r["value"] for r in rows if r["key"] == STREAM_ID]
+    return f"{scratch_root(store.spark)}/strata/stream-checkpoints/{ids[0]}" if ids else None
+
+
+def _create_streamed(store: TableStore, table: str, frame: DataFrame) -> None:
+    """An empty table with a fresh stream id; its files come from the stream alone."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+    store.spark.sql(f"CREATE TABLE {table} ({columns}) USING {store.fmt} "
+                    f"TBLPROPERTIES ('{STREAM_ID}' = '{uuid.uuid4().hex}')")
+
+
+def reset_stream(store: TableStore, spec: DatasetSpec) -> None:
+    """Drop a streamed table and forget its progress: the next run ingests every landing file."""
+    table = store.qualify(TableName("bronze", spec.name).short)
+    store.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def ingest_stream(store: TableStore, spec: DatasetSpec, checkpoint: str | None = None,
@@ -51,8 +79,9 @@ def ingest_stream(store: TableStore, spec: DatasetSpec, checkpoint: str | None =
                   strict: bool = True) -> StreamingQuery:
     """Append new landing files to ``bronze_<name>``; stop when caught up.
 
-    Without ``checkpoint`` the progress is kept at a fixed place per table below
-    the shared scratch folder, so the next run goes on where this one stopped.
+    Without ``checkpoint`` the progress is kept below the shared scratch folder at a
+    place that the table names, so the next run goes on where this one stopped, and a
+    table that was dropped (see ``reset_stream``) starts anew.
     A table that exists keeps its column types. ``strict=False`` turns
     unparsable cells into NULL and keeps their number in ``_bad_cells``.
     """
@@ -60,8 +89,14 @@ def ingest_stream(store: TableStore, spec: DatasetSpec, checkpoint: str | None =
     table = store.qualify(TableName("bronze", spec.name).short)
     types = dict(store.read(table).dtypes) if store.exists(table) else None
     frame = bronze_stream_frame(spark, spec, max_files_per_trigger, strict, types)
+    if checkpoint is None:
+        if types is None:
+            _create_streamed(store, table, frame)
+        checkpoint = stream_checkpoint(store, table)
+        if checkpoint is None:
+            raise ValueError(f"{table} was not written by this stream: name its checkpoint, or reset it")
     query = (frame.writeStream.format(store.fmt)
-             .option("checkpointLocation", checkpoint or stream_checkpoint(store, table))
+             .option("checkpointLocation", checkpoint)
              .outputMode("append")
              .trigger(availableNow=True)
              .toTable(table))

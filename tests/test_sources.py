@@ -161,3 +161,43 @@ def test_stream_infers_types_and_counts_bad_cells(spark):
     lenient = DatasetSpec("l", _landing(spark, "a;b\n1;x\noops;y;z\n"), columns=(("a", "bigint"),))
     ingest_stream(store, lenient, strict=False)
     assert sorted((r.a or 0, r._bad_cells) for r in store.read("bronze_l").collect()) == [(0, 2), (1, 0)]
+
+
+def test_long_quoted_cells_of_malformed_records(spark):
+    cell = '"' + 'x""; ' * 250_000 + '"'  # over 1 MB
+    text = f"a;b;c\n1;{cell}\n2;{cell};y;z\n3;{cell};y\n"
+    lenient = read_delimited(spark, DatasetSpec("t", _landing(spark, text)), strict=False, bad_cells_column="bad")
+    assert sorted((r.a, len(r.b), r.c, r.bad) for r in lenient.collect()) == [
+        ("1", 1_000_000, None, 0), ("2", 1_000_000, "y", 1), ("3", 1_000_000, "y", 0)]
+    short = DatasetSpec("t", _landing(spark, f"a;b;c\n1;{cell}\n"))
+    assert [len(r.b) for r in read_delimited(spark, short).collect()] == [1_000_000]
+    with pytest.raises(Exception, match="malformed record"):
+        read_delimited(spark, DatasetSpec("t", _landing(spark, f"a;b\n1;{cell};z\n"))).count()
+
+
+def test_dropped_stream_table_starts_anew(spark):
+    from strata.streaming.bronze_stream import ingest_stream, reset_stream, stream_checkpoint
+
+    store, other = TableStore.scratch(spark), TableStore.scratch(spark)
+    spec = DatasetSpec("again", _landing(spark, "a;b\n1;x\n2;y\n"))
+    ingest_stream(store, spec)
+    ingest_stream(store, spec)
+    assert store.read("bronze_again").count() == 2
+    first = stream_checkpoint(store, "bronze_again")
+    reset_stream(store, spec)
+    assert stream_checkpoint(store, "bronze_again") is None
+    ingest_stream(store, spec)
+    assert store.read("bronze_again").count() == 2
+    ingest_stream(other, spec)  # a table of the same name elsewhere has its own progress
+    assert other.read("bronze_again").count() == 2
+    assert len({first, stream_checkpoint(store, "bronze_again"), stream_checkpoint(other, "bronze_again")}) == 3
+
+
+def test_partitioned_table_is_overwritten_again_and_again(spark):
+    store = TableStore.scratch(spark)
+    for n in (1, 2, 3):
+        df = spark.range(60).selectExpr("id", f"{n} AS version", "cast(id % 3 AS int) AS p",
+                                        "CASE WHEN id % 2 = 0 THEN 'a b/c%' END AS q")
+        store.write(df, "t", partition_by=["p", "q"])
+        assert store.read("t").groupBy("version").count().collect()[0].asDict() == {"version": n, "count": 60}
+    assert store.read("t").filter("p = 1 AND q IS NULL").count() == 10
