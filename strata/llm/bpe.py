@@ -48,7 +48,8 @@ from .common import ROW, packed, release_memory
 CACHE_CHUNKS = 200_000
 WORDS_PER_QUERY = 100_000
 LONG_WORD = 64
-QUERY_TOKENS = 8_000_000
+QUERY_TOKENS = 4_000_000
+DUCKDB_MEMORY = "300MB"  # a worker's limit; queries are sized to stay well below
 LONG_TOKENS = 250_000
 SLICE_BYTES = 4 << 20
 
@@ -128,12 +129,13 @@ class Tokenizer:
         with open(ranks_path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
         self.byte_ranks = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        merges = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
-                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        merges = self._merges()
+        # No spill folder: a query fits its memory, and a worker's own disk is not to be used.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY,
+                                         "temp_directory": ""})
         pairs = pa.table({"pair": pa.array([a << 32 | b for a, b, _ in merges], pa.int64()),
                           "merged": pa.array([m for _, _, m in merges], pa.int32())})
-        self.merges, self.near = merges, False
+        self.near = False
         names = pa.table({"token": pa.array(self.ranks.values(), pa.int32()),
                           "hex": [t.hex() for t in self.ranks]})
         for name, rows in (("merges", pairs), ("vocabulary", names)):
@@ -144,6 +146,11 @@ class Tokenizer:
         self.young: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
 
+    def _merges(self) -> list[tuple[int, int, int]]:
+        """(left, right, merged) of every way a token comes from two."""
+        return [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
+                for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
+
     def _create(self, name: str, rows: pa.Table) -> None:
         self.db.register("rows_", rows)
         self.db.execute(f"CREATE TABLE {name} AS FROM rows_")
@@ -153,12 +160,12 @@ class Tokenizer:
         """Tables of the long-word query, made when the first long word comes."""
         if self.near:
             return
-        token_of = {r: t for t, r in self.ranks.items()}
+        token_of, merges = {r: t for t, r in self.ranks.items()}, self._merges()
         # Least rank at which b joins any token that ends in the key's left token,
         # and a any token that begins with the key's right token.
         lefts: dict[int, int] = {}
         rights: dict[int, int] = {}
-        for a, b, m in self.merges:
+        for a, b, m in merges:
             left, right = token_of[a], token_of[b]
             for end in (self.ranks.get(left[i:]) for i in range(len(left))):
                 if end is not None:
@@ -166,10 +173,10 @@ class Tokenizer:
             for begin in (self.ranks.get(right[:i + 1]) for i in range(len(right))):
                 if begin is not None:
                     rights[a << 32 | begin] = min(m, rights.get(a << 32 | begin, m))
-        twins = pa.table({"pair": pa.array([a << 32 | b for a, b, _ in self.merges], pa.int64()),
-                          "merged": pa.array([m for _, _, m in self.merges], pa.int32()),
+        twins = pa.table({"pair": pa.array([a << 32 | b for a, b, _ in merges], pa.int64()),
+                          "merged": pa.array([m for _, _, m in merges], pa.int32()),
                           "twin_safe": [self.ranks.get(2 * token_of[m], m) >= m
-                                        for _, _, m in self.merges]})
+                                        for _, _, m in merges]})
         self._create("long_merges", twins)
         for name, least in (("lefts", lefts), ("rights", rights)):
             self._create(name, pa.table({"pair": pa.array(least.keys(), pa.int64()),
@@ -336,8 +343,13 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
         yield start, len(column)
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``row`` (the source row), n_tokens, ids (little-endian uint32), decoded (bytes)."""
+def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
+           carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the source row), n_tokens, ids (little-endian uint32), decoded (bytes).
+
+    ``carry`` names the source columns that ``row`` holds (default: all). Texts that are
+    not needed afterwards are better left out: they travel to the workers and back.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(ranks_path, pattern)
@@ -354,7 +366,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text")
         bpe.forget()
         release_memory()
 
-    source = packed(df, text=F.col(text_col))
+    source = packed(df, carry, text=F.col(text_col))
     schema = StructType([source.schema[ROW], StructField("n_tokens", LongType()),
                          StructField("ids", BinaryType()), StructField("decoded", BinaryType())])
     return source.mapInArrow(run, schema)

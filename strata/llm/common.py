@@ -28,12 +28,14 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
-def packed(df: DataFrame, **columns: Column) -> DataFrame:
+def packed(df: DataFrame, carry_: list[str] | None = None, **columns: Column) -> DataFrame:
     """The source row as one struct ``row`` beside working columns.
 
     Working columns then never clash with whatever columns the input has.
+    ``carry_`` names the source columns the struct holds (default: all).
     """
-    return df.select(F.struct("*").alias(ROW), *[c.alias(n) for n, c in columns.items()])
+    row = F.struct("*") if carry_ is None else F.struct(*[F.col(f"`{c}`") for c in carry_])
+    return df.select(row.alias(ROW), *[c.alias(n) for n, c in columns.items()])
 
 
 def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -50,9 +52,18 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows an Arrow batch to and from Python; Spark's default of 10,000 whole texts takes tens of
+#: megabytes in the JVM and again in the worker, for every task at once.
+BATCH_ROWS = 1024
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def ship_library(spark: SparkSession) -> None:
-    """Give the Python workers this package, as ``--py-files`` would (once per context)."""
+    """Give the Python workers this package, as ``--py-files`` would (once per context), and
+    batches of texts a bounded number of rows, unless the session sets one."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
     if getattr(sc, "_strata_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -40,8 +40,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = bpe.encode(table(spark, sf_dir, "documents"),
+                     public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                     carry=["doc_id"])
     return out.select(F.col(ROW)["doc_id"].alias("doc_id"), "n_tokens",
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
