@@ -48,7 +48,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of the decoded bytes."""
     ship_library(spark)
     out = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                     public_tokenizers.PATTERN)
+                     public_tokenizers.PATTERN, carry=["doc_id"])
     return out.select(F.col(ROW)["doc_id"].alias("doc_id"), "n_tokens",
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
