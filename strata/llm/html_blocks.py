@@ -28,6 +28,7 @@ carried unchanged.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -70,11 +71,17 @@ _UNNAMED = frozenset("html body main article".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of a class, id or role that mark a page part as no article text.
 _NEVER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
+    "ad ads advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment "
     "comments consent contentinfo cookie cookies disqus footer gdpr masthead menu modal nav "
     "navbar navigation newsletter notice notification pagination popup promo promoted "
     "recommended related reply replies respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe tags toolbar widget complementary".split())
+#: Words that settle it whatever else the name holds, unless it says that there is none.
+_SURE_WORDS = frozenset(
+    "adbanner adbox adsbygoogle adsense adslot adslots adunit disqus newsletter response responses "
+    "sponsor sponsored".split())
+_SURE_STEMS = ("advert", "comment")
+_DENIALS = frozenset("closed count disabled enabled has have hide no not off on open with without".split())
 _MAIN_WORDS = frozenset("article articlebody content entry main post story".split())
 _NEUTRAL_WORDS = frozenset(
     "area article bar block box buttons container entry form inner item items links list outer "
@@ -106,11 +113,17 @@ def _hints(name: str, attributes: str) -> tuple[bool, bool]:
             names += [value] if kind.lower() == "aria-label" else value.split()
         words = [set(_TOKEN.findall(n)) for n in names]
         if name not in _UNNAMED:
-            never = any(w & _NEVER_WORDS and w <= _NEVER_WORDS | _NEUTRAL_WORDS for w in words)
+            never = any(w & _NEVER_WORDS and w <= _NEVER_WORDS | _NEUTRAL_WORDS or _sure(w)
+                        for w in words)
         main = main or not never and any(w & _MAIN_WORDS and not w & _NEVER_WORDS for w in words)
     return main, never
 
 
+def _sure(words: set[str]) -> bool:
+    return not words & _DENIALS and any(
+        w in _SURE_WORDS or w.startswith(_SURE_STEMS) for w in words)
+
+
 def blocks(page: str | None) -> list[Block]:
     """The page's flat text blocks, in order."""
     page = page or ""
@@ -229,6 +242,29 @@ TRAINING_PAGES = (
     <div data-label="other">12 likes</div><div data-label="other"><a>Top</a></div>""",
 )
 
+#: Plain pages, in which no name says what is main: short blocks go with the long ones they stand
+#: between, and so does a heading above one; those beside links or other short ones do not.
+_SHORT = ("Why now?", "It opens again.", "Bridge", "Not quite.", "A second look at it")
+_MENUS = ('<div data-label="other"><a>Home</a> <a>News</a> <a>Sport</a></div>',
+          '<div data-label="other">The Daily Example</div><div data-label="other"><a>Log in</a></div>',
+          '<div data-label="other"><a>Start</a></div><div data-label="other"><a>About us</a></div>')
+_ENDS = ('<div data-label="other">12 likes</div><div data-label="other"><a>Share</a></div>',
+         '<div data-label="other"><a>Next page</a></div><div data-label="other">Copyright 2020</div>',
+         '<div data-label="other"><h3>More</h3></div><div data-label="other"><a>The old town</a></div>'
+         '<div data-label="other"><a>How the harbour was built</a></div>')
+TRAINING_PAGES += tuple(
+    f"""{menu}<div data-label="main"><{head}>{_SHORT[n % 5]}</{head}><p>{_LONG}</p><p>{_SHORT[(n + 1) % 5]}</p>
+    <p>{_MIDDLE}</p><p>{_SHORT[(n + 2) % 5]}</p><p>{_LONG} {_LONG}</p></div>{end}"""
+    for n, (menu, end, head) in enumerate(
+        (m, e, h) for m in _MENUS for e in _ENDS for h in ("h1", "h2")))
+
+#: Inside an article every block is main, short or long, alone, first or last.
+_BODIES = (_SHORT[0], _SHORT[2] + " 2", _MIDDLE, _LONG, _LONG + " " + _MIDDLE)
+TRAINING_PAGES += tuple(
+    f'{_MENUS[0] if n % 2 else ""}<article data-label="main">' + "".join(f"<p>{b}</p>" for b in parts)
+    + f'</article>{_ENDS[n % 3] if n % 3 else ""}'
+    for n, parts in enumerate(p for k in (1, 2, 3) for p in itertools.product(_BODIES, repeat=k)))
+
 #: Page parts around an article, each with a short, a middle and a long text.
 _PARTS = ("<nav{}>{}</nav>", "<header{}>{}</header>", "<footer{}>{}</footer>",
           "<aside{}>{}</aside>", "<form{}>{}</form>", '<div class="ad"{}>{}</div>',
@@ -251,7 +287,7 @@ def labelled_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "values array<double>, label double")
 
 
-def train(spark: SparkSession, max_depth: int = 5) -> Tree:
+def train(spark: SparkSession, max_depth: int = 8) -> Tree:
     """Decision tree learned by Spark from the labelled table, as nested tuples."""
     data = labelled_table(spark).coalesce(1).withColumn("features", array_to_vector("values"))
     model = DecisionTreeClassifier(maxDepth=max_depth, minInstancesPerNode=1, seed=1).fit(data)

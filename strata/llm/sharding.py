@@ -4,7 +4,7 @@ Every record hashes to one of N_SLOTS virtual slots, for good. A small,
 versioned slot-to-shard map says which shard owns a slot. Growing or
 rebalancing edits the map and never the hash, so only the rows of the edited
 slots move. Rows and bytes are aggregated per slot, then joined to the map
-(N_SLOTS rows at most, whatever the input).
+(N_SLOTS + NULL_BINS rows at most, whatever the input).
 
 ``initial_map`` and ``grow`` are pure functions of the shard count, so a
 placement by them follows the law ``key``: id and shard count decide.
@@ -12,8 +12,8 @@ placement by them follows the law ``key``: id and shard count decide.
 stored beside the others.
 
 Defined results: null text has no bytes (size 16 = the record overhead, CRC of
-the empty string); a row without an id is dealt by its text; repeated rows get
-places of their own; an empty table gives an empty placement; extra columns
+the empty string); all rows without an id count as one key and share its shard;
+repeated rows get places of their own; an empty table gives an empty placement; extra columns
 are ignored by ``place``.
 """
 
@@ -24,6 +24,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+NULL_BINS = 1_024
 N_SLOTS = 1 << 14
 OVERHEAD_BYTES = 16
 Map = list[int]
@@ -99,12 +100,17 @@ def load_map(spark: SparkSession, path: str, version: int) -> DataFrame:
 def with_slots(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                n_slots: int = N_SLOTS) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), text))
+    # All null ids are one key, so they share a slot; their places are numbered in NULL_BINS
+    # parts by text, for they may be a third of all rows.
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    part = F.lit(n_slots) + F.pmod(F.xxhash64(text), F.lit(NULL_BINS))
     return df.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + F.lit(OVERHEAD_BYTES)).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.pmod(F.xxhash64(key), F.lit(n_slots)).cast("int").alias("virtual_slot"))
+        F.pmod(F.xxhash64(key), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+        F.when(F.col(id_col).isNull(), part)
+        .otherwise(F.pmod(F.xxhash64(key), F.lit(n_slots))).cast("int").alias("part"))
 
 
 def slot_load(slotted: DataFrame) -> DataFrame:
@@ -121,14 +127,17 @@ def place(df: DataFrame, owners: DataFrame, grown: DataFrame | None = None,
     plus its number within its own slot, so no task ever holds a whole shard.
     """
     slotted = with_slots(df, id_col, text_col)
-    load = (slot_load(slotted)
+    counted = slotted.groupBy("virtual_slot", "part").agg(F.count(F.lit(1)).alias("slot_rows"),
+                                                          F.sum("size").alias("slot_bytes"))
+    load = (counted
             .join(F.broadcast(owners.withColumnRenamed("slot", "virtual_slot")), "virtual_slot"))
-    # Both windows run over the aggregate: N_SLOTS rows at most.
+    # The windows run over the aggregate: N_SLOTS + NULL_BINS rows at most.
     by_shard = Window.partitionBy("shard")
     load = load.select(
-        "virtual_slot", "shard", "slot_bytes",
+        "virtual_slot", "part", "shard",
+        F.sum("slot_bytes").over(Window.partitionBy("virtual_slot")).alias("slot_bytes"),
         F.sum("slot_bytes").over(by_shard).alias("shard_bytes"),
-        (F.sum("slot_rows").over(by_shard.orderBy("virtual_slot")) - F.col("slot_rows"))
+        (F.sum("slot_rows").over(by_shard.orderBy("virtual_slot", "part")) - F.col("slot_rows"))
         .alias("before"))
     if grown is not None:
         load = load.join(F.broadcast(grown.select(F.col("slot").alias("virtual_slot"),
@@ -136,10 +145,10 @@ def place(df: DataFrame, owners: DataFrame, grown: DataFrame | None = None,
                          "virtual_slot")
     else:
         load = load.withColumn("grown_shard", F.lit(None).cast("int"))
-    within = F.row_number().over(Window.partitionBy("virtual_slot")
+    within = F.row_number().over(Window.partitionBy("part")
                                  .orderBy("doc_id", "size", "text_crc32"))
     return (slotted.withColumn("nth", within.cast("long"))
-            .join(F.broadcast(load), "virtual_slot")
+            .join(F.broadcast(load.drop("virtual_slot")), "part")
             .select("doc_id", "size", "text_crc32", "shard",
                     (F.col("before") + F.col("nth") - 1).alias("slot"), "grown_shard",
                     "virtual_slot", "slot_bytes", "shard_bytes"))

@@ -121,6 +121,8 @@ def test_sharding_law_key_places_and_growth(spark, docs, empty, tmp_path):
         places = sorted(r.slot for r in got if r.shard == shard)
         assert places == list(range(len(places)))
     assert all(r.grown_shard in (r.shard, 5) for r in got)
+    # id and shard count decide: rows without an id share one shard
+    assert len({(r.shard, r.grown_shard) for r in got if r.doc_id is None}) == 1
     assert sharding.place(empty, *args).count() == 0
     crc = {r.doc_id: (r["size"], r.text_crc32) for r in sharding.place(docs[0], *args).collect()}
     import zlib
@@ -493,10 +495,32 @@ TEMPLATES = {
 }
 
 
+TEMPLATES |= {
+    **{f"named {name}": (f"<article><p>{{}}</p><div class='{name}'><p>{OTHER}</p></div><p>It ends here.</p></article>",
+                         BODY + " It ends here.")
+       for name in ("user-comments", "reader_responses", "c-adslot", "alert", "comment-list-wrap", "js-advert-top")},
+    "denied names": ("<div class='comments-open has-comments no-adverts'><article><p>{}</p></article></div>", BODY),
+    "plain divs": ("<div><a href=/>Home</a> <a href=/n>News</a></div><div><h1>Bridge</h1><p>{}</p><p>Why now?</p>"
+                   "<p>" + OTHER + "</p><p>It opens again.</p><p>{}</p></div><div>7 likes</div><div><a>Share</a></div>",
+                   f"Bridge {BODY} Why now? {OTHER} It opens again. {BODY}"),
+    "plain paragraphs": ("<a href=/>Home</a><h2>On foot</h2><p>{}</p><p>Really?</p><p>{}</p><div><a>Next</a></div>"
+                         "<div>Imprint</div>", f"On foot {BODY} Really? {BODY}"),
+    "plain links": ("<div><p>{}</p><p>Yes.</p><p>{}</p></div><ul><li><a>Ten things to see in the old town</a></li>"
+                    "<li><a>How it was built</a></li></ul>", f"{BODY} Yes. {BODY}"),
+}
+
+
+def test_the_tree_splits_on_neighbours(spark):
+    def splits(tree):
+        return set() if tree[0] == "leaf" else {tree[0]} | splits(tree[2]) | splits(tree[3])
+    used = {html_blocks.FEATURES[i] for i in splits(html_blocks.train(spark))}
+    assert used & {"words_before", "words_after"} and used & {"words"}
+
+
 def test_html_of_other_templates(spark):
     ship_library(spark)
     tree = html_blocks.train(spark)
-    df = spark.createDataFrame([(n, t.format(BODY)) for n, (t, _) in TEMPLATES.items()],
+    df = spark.createDataFrame([(n, t.format(BODY, BODY)) for n, (t, _) in TEMPLATES.items()],
                                "name string, html string")
     got = {r[ROW].name: r.main_text for r in html_blocks.extract(df, tree).collect()}
     assert got == {n: want for n, (_, want) in TEMPLATES.items()}
