@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, ascii_lower, packed
+from .common import ROW, ascii_lower, packed, stored
 
 BITS_PER_ROW = 16
 MAX_FILTER_BITS = 1 << 29
@@ -71,11 +71,13 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     # Unicode lower case merges at least the texts that ASCII lower case merges,
     # so this cheap key never separates equal texts.
     key = F.xxhash64(F.lower(text))
-    rows = df.count()
+    # First reading: one number a row, kept beside the scan's own size.
+    keys = stored(df.select(key.alias("key")), "exact-keys")
+    rows = keys.count()
     bits = filter_bits(rows)
-    bitmaps = repeated_bits(key, df, bits)
+    bitmaps = stored(repeated_bits(F.col("key"), keys, bits), "exact-bits")
 
-    base = packed(df, id=F.col(id_col), key=key)
+    base = packed(df, id=F.col(id_col), key=key, text=text)
     maybe = F.lit(True)
     for n, slot in enumerate(_slots(F.col("key"), bits)):
         side = F.broadcast(bitmaps.select(F.col("bucket").alias(f"bucket{n}"),
@@ -83,14 +85,16 @@ def annotate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         base = (base.withColumn(f"slot{n}", slot)
                 .join(side, F.shiftright(f"slot{n}", 15) == F.col(f"bucket{n}"), "left"))
         maybe = maybe & _is_set(F.col(f"bitmap{n}"), F.col(f"slot{n}"))
-    base = base.select(ROW, "id", maybe.alias("maybe"))
-    sha = F.sha2(ascii_lower(F.coalesce(F.col(ROW)[text_col], F.lit(""))), 256)
+    base = base.select(ROW, "id", "text", maybe.alias("maybe"))
+    sha = F.sha2(ascii_lower(F.col("text")), 256)
 
     unique = base.filter(~F.col("maybe")).select(
         ROW, sha.alias("text_sha256"), F.col("id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
 
-    candidates = base.filter("maybe").select(ROW, "id", sha.alias("sha"))
+    # Second reading, of which the few possibly repeated rows are kept for the steps below;
+    # the third one passes the others through.
+    candidates = stored(base.filter("maybe").select(ROW, "id", sha.alias("sha")), "exact-maybe")
     groups = (candidates.groupBy(F.col("sha").alias("text_sha256"))
               .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .withColumn("parts", F.floor(F.col("group_size") / hot_rows(rows)) + 1))
