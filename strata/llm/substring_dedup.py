@@ -8,13 +8,14 @@ Round 1, anchors: the reference index holds every document's non-overlapping
 blocks of BLOCK words; every rolling window of BLOCK words probes it. BLOCK is
 half of WINDOW, so each occurrence of a repeated window holds a whole indexed
 block, and the other occurrence's rolling windows hit it. Round 2, extension:
-around the hits, the windows of WINDOW words are compared, so the covered
-stretch grows to the maximal exact repeat.
+every window of WINDOW words that reaches over a hit is compared with those of
+other occurrences, one word further at a time; the union of the windows that
+agree is the hit extended to the maximal exact repeat.
 
 Documents are split by ids into ordered shards (see ``rounds``); a window that
 repeats inside a shard is settled there, and a bucket only has to say whether
-an earlier shard holds it. Windows are compared by 64-bit hashes of their
-words' XXH64, after 48-bit anchors.
+an earlier shard holds it. Anchors are compared by 48 bits; what is removed is
+decided by two independent 64-bit hashes of a window's words, each from their XXH64.
 
 Defined results: null text has no words; rows of one id count in the order of
 their texts; a null id is the least; an empty table gives an empty result;
@@ -38,6 +39,7 @@ SHARD_BYTES = 8 << 20
 _ANCHOR_BITS = 48
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
+_CHECK = np.uint64(0xA0761D6478BD642F)
 SCHEMA = "id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
@@ -91,8 +93,9 @@ class Words:
         return [Asked(b, int(e - s), [pack(self.anchors[s:e]), marks[s:e].tobytes()])
                 for b, (s, e) in enumerate(zip(cut, cut[1:]))]
 
-    def candidates(self, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Windows that hold a hit anchor: places, whether first here, sorted keys, key of place."""
+    def candidates(self, hit: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Windows that hold a hit anchor: places, whether first here; the distinct windows' sorted
+        keys and checks, and which one each place has."""
         marked = np.zeros(len(self.hashes) + 1, np.int64)
         if len(hit):
             marked[self.rolling[hit[self.anchor_of] > 0] + 1] = 1
@@ -100,11 +103,20 @@ class Words:
         at = np.flatnonzero(self.windows)
         at = at[upto[at + WINDOW - BLOCK + 1] > upto[at]]
         n = len(self.hashes) - WINDOW + 1
-        keys = sequence_hashes(self.hashes, WINDOW)[at] if n > 0 else np.zeros(0, np.uint64)
-        distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
+        empty = np.zeros(0, np.uint64)
+        keys = sequence_hashes(self.hashes, WINDOW)[at] if n > 0 else empty
+        # The words around the hit, hashed again independently: equal windows agree in 128 bits.
+        checks = sequence_hashes(_mix(self.hashes ^ _CHECK), WINDOW)[at] if n > 0 else empty
+        order = np.lexsort((checks, keys))
+        keys, checks = keys[order], checks[order]
+        begins = np.flatnonzero(np.append(
+            True, (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1]))[:len(keys)])
+        sizes = np.diff(np.append(begins, len(keys)))
+        of = np.empty(len(at), np.int64)
+        of[order] = np.repeat(np.arange(len(begins)), sizes)
         is_first = np.zeros(len(at), bool)
-        is_first[first] = True
-        return at, is_first, distinct, of
+        is_first[order[begins]] = True  # the sort is stable: the earliest place of each window
+        return at, is_first, keys[begins], checks[begins], of
 
 
 def _judge_anchors(shards: list[int], payloads: list[Payload]) -> list[np.ndarray]:
@@ -122,10 +134,13 @@ def _judge_windows(shards: list[int], payloads: list[Payload]) -> list[np.ndarra
     """1 where an earlier shard holds the window."""
     keys = [unpack(p[0]) for p in payloads]
     everything = np.concatenate(keys)
-    # Shards come in ascending order: the first place of a key is in its earliest shard.
-    _, first = np.unique(everything, return_index=True)
+    checks = np.concatenate([np.frombuffer(p[1], "<u8") for p in payloads])
+    # Shards come in ascending order: the first place of a window is in its earliest shard.
+    order = np.lexsort((checks, everything))
+    one, two = everything[order], checks[order]
+    begins = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[:len(one)]
     later = np.ones(len(everything), np.uint8)
-    later[first] = 0
+    later[order[begins]] = 0
     return np.split(later, np.cumsum([len(k) for k in keys])[:-1])
 
 
@@ -138,14 +153,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return Words(texts).ask_anchors(buckets)
 
     def ask2(texts: Texts, hit: np.ndarray):
-        _, _, keys, _ = Words(texts).candidates(hit)
+        _, _, keys, checks, _ = Words(texts).candidates(hit)
         cut = bucket_limits(keys, 64, buckets)
-        return [Asked(b, int(e - s), [pack(keys[s:e])])
+        return [Asked(b, int(e - s), [pack(keys[s:e]), checks[s:e].astype("<u8").tobytes()])
                 for b, (s, e) in enumerate(zip(cut, cut[1:]))]
 
     def finish(texts: Texts, hit: np.ndarray, later: np.ndarray) -> pa.Table:
         shard = Words(texts)
-        at, is_first, _, of = shard.candidates(hit)
+        at, is_first, _, _, of = shard.candidates(hit)
         repeated = at[~is_first | (later[of] > 0)] if len(at) else at
         edge = np.zeros(len(shard.hashes) + 1, np.int64)
         np.add.at(edge, repeated, 1)
