@@ -9,9 +9,11 @@ the match names the items.
 Words: A-Z lower-cased, runs of 0-9, a-z and non-ASCII characters. An item of
 fewer than WINDOW words, but not none, is one window.
 
-The benchmark is read in blocks of at most BLOCK_BYTES of text (its size is
-measured first), so each broadcast automaton is bounded; documents stream
-through the blocks one after the other in the same task, without a shuffle.
+A benchmark of at most BLOCK_BYTES of text (its size is measured first) is one
+broadcast automaton, through which documents stream without a shuffle. A larger
+one is taken in blocks, one pass over the documents each, so that one automaton
+at a time is resident in the driver and the workers; the passes' spans are
+gathered by row and merged.
 
 Defined results: null or empty text has no words and no hits; null or empty
 items match nothing; a null item id counts as the empty id, repeated item ids
@@ -29,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import ROW, packed
+from .common import ROW, packed, stored
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20  # an automaton takes about a hundred times that
 MAX_COVERAGE = 0.5
 
 #: Byte table: A-Z lower-cased, every other ASCII byte that is no word byte becomes a space.
@@ -154,53 +156,94 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _automata(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> Iterator:
-    """Broadcast automata, one per bounded block of items."""
-    spark = benchmark.sparkSession
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """(block, item, text) and the number of blocks; a block holds about BLOCK_BYTES of text."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + total // BLOCK_BYTES
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    for n in range(blocks):
-        rows = items.filter(block == n).collect()
-        yield spark.sparkContext.broadcast(
-            Automaton([(r.item, words_of(r.text)) for r in rows], window))
+    count = 1 + total // BLOCK_BYTES
+    return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count))), count
+
+
+def _automaton(items: DataFrame, block: int, window: int):
+    """The broadcast automaton of one block."""
+    rows = items.filter(F.col("block") == block).collect()
+    return items.sparkSession.sparkContext.broadcast(
+        Automaton([(r.item, words_of(r.text)) for r in rows], window))
 
 
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
+_FOUND = [StructField("n_words", LongType()), StructField("spans", ArrayType(_SPAN)),
+          StructField("items", ArrayType(StringType()))]
+_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
-             item_col: str = "item_id", item_text_col: str = "text",
-             window: int = WINDOW) -> DataFrame:
-    """``row`` (the source row), n_words, spans (word ranges hit), items (ids, sorted)."""
-    automata = list(_automata(benchmark, item_col, item_text_col, window))
+def _spans_array(found: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": s, "end": e} for s, e in spans] for spans in found], _ARROW_SPANS)
+
+
+def _judged(source: DataFrame, automaton, all_rows: bool = True) -> DataFrame:
+    """``source`` is (kept column, text); the kept column, n_words, spans and items of every row,
+    or of the rows that are hit."""
+    kept = source.schema[0]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, ranges, ids = [], [], []
             for text in batch.column(1):
                 words = words_of(text.as_py())
-                found, items = [], set()
-                for automaton in automata:
-                    some, which = automaton.value.spans(words)
-                    found += some
-                    items |= which
+                found, items = automaton.value.spans(words)
                 counts.append(len(words))
-                ranges.append([{"start": s, "end": e} for s, e in merged(found)])
+                ranges.append(found)
                 ids.append(sorted(items))
-            span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), _spans_array(ranges),
+                 pa.array(ids, pa.list_(pa.string()))],
+                names=[kept.name, "n_words", "spans", "items"])
+            yield out if all_rows else out.filter(pa.array([bool(r) for r in ranges], pa.bool_()))
+
+    return source.mapInArrow(judge, StructType([kept, *_FOUND]))
+
+
+def _in_blocks(source: DataFrame, items: DataFrame, blocks: int, window: int) -> DataFrame:
+    """One block after the other: one automaton is resident at a time, in driver and workers."""
+    rows = stored(source.withColumn("key", F.monotonically_increasing_id()), "decontaminate-rows")
+    passes = []
+    for block in range(blocks):
+        automaton = _automaton(items, block, window)
+        passes.append(stored(_judged(rows.select("key", "text"), automaton, all_rows=block == 0),
+                             "decontaminate-hits"))
+        automaton.destroy()
+    found = passes[0]
+    for more in passes[1:]:
+        found = found.unionByName(more)
+    # The first pass has every row once; the others add the spans of their blocks.
+    gathered = found.groupBy("key").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    joined = rows.select("key", ROW).join(gathered, "key").select(ROW, "n_words", "spans", "items")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [merged([(s["start"], s["end"]) for s in r]) for r in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()),
-                 pa.array(ranges, pa.list_(span)), pa.array(ids, pa.list_(pa.string()))],
-                names=[ROW, "n_words", "spans", "items"])
+                [batch.column(0), batch.column(1), _spans_array(spans), batch.column(3)],
+                names=batch.schema.names)
+    return joined.mapInArrow(merge, StructType([source.schema[ROW], *_FOUND]))
+
 
+def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+             item_col: str = "item_id", item_text_col: str = "text",
+             window: int = WINDOW) -> DataFrame:
+    """``row`` (the source row), n_words, spans (word ranges hit), items (ids, sorted).
+
+    A benchmark beyond BLOCK_BYTES is taken in blocks, each over all documents.
+    """
+    items, blocks = _blocks(benchmark, item_col, item_text_col)
     source = packed(docs, text=F.col(text_col))
-    schema = StructType([source.schema[ROW], StructField("n_words", LongType()),
-                         StructField("spans", ArrayType(_SPAN)),
-                         StructField("items", ArrayType(StringType()))])
-    return source.mapInArrow(judge, schema)
+    if blocks == 1:
+        return _judged(source, _automaton(items, 0, window))
+    return _in_blocks(source, items, blocks, window)
 
 
 def n_hit(spans="spans"):

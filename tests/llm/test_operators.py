@@ -221,6 +221,23 @@ def test_decontamination_against_brute_force(spark, docs, empty):
     assert none.filter("size(spans) > 0").count() == 0
 
 
+def test_decontamination_in_blocks_equals_one_block(spark, monkeypatch):
+    ship_library(spark)
+    rng = np.random.default_rng(8)
+    text = lambda n: " ".join(rng.choice(["a", "B", "ç", "d1"], n))
+    items = [(i, text(int(rng.integers(0, 16)))) for i in range(40)] + [(40, None)]
+    many = [(i % 50, text(int(rng.integers(0, 60)))) for i in range(70)] + [(None, None), (None, "")]
+    df = spark.createDataFrame([(*r, "k", [1]) for r in many], "doc_id long, text string, key string, spans array<int>")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    got = decontaminate.annotate(df, bench).collect()
+    assert len(got) == len(many) and decontaminate._blocks(bench, "item_id", "text")[1] > 5
+    for r in got:
+        found = sum(s.end - s.start for s in r.spans)
+        assert (r.n_words, found, r["items"]) == brute_hits(r[ROW].text, items) and r[ROW].key == "k"
+        assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
+
+
 def test_decontamination_in_blocks_and_cleaning(spark, monkeypatch):
     ship_library(spark)
     passage = "one two three four five six seven eight nine ten eleven"
