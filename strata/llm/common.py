@@ -58,6 +58,48 @@ BATCH_ROWS = 1024
 _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
+#: A key with more than this part of the rows is dealt out; so there are at most so many.
+HOT_SHARE = 10_000
+
+
+def hot_limit(rows: int, least: int = 1000) -> int:
+    """More rows than this make a key hot; fewer than HOT_SHARE keys (or rows / least) can be."""
+    return max(least, rows // HOT_SHARE)
+
+
+def hot_parts(counts: DataFrame, key: str, n: str, rows: int) -> DataFrame:
+    """(hot_key, hot_parts) of the hot keys, from a count of every key among ``rows`` rows."""
+    limit = hot_limit(rows)
+    return counts.filter(F.col(n) > limit).select(
+        F.col(key).alias("hot_key"), F.ceil(F.col(n) / limit).cast("int").alias("hot_parts"))
+
+
+def deal_join(many: DataFrame, one: DataFrame, key: str, spread: str,
+              hot: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """Inner join on ``key``; a hot key's rows of ``many`` are dealt out by ``spread``, and the
+    few rows that ``one`` has for it go to every part.
+
+    ``hot`` comes from ``hot_parts`` where counts are at hand; else the keys are counted here
+    (those of ``many``, or given as ``keys``).
+    """
+    if hot is None:
+        source = (many if keys is None else keys).select(key)
+        counts = stored(source.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                        .filter(F.col("n") > hot_limit(0)), "hot-keys")
+        hot = hot_parts(counts, key, "n", source.count()) if not counts.isEmpty() else None
+        if hot is None:
+            return many.join(one, key)
+    hot = F.broadcast(hot)
+    dealt = (many.join(hot, F.col(key) == F.col("hot_key"), "left")
+             .withColumn("deal", F.pmod(F.xxhash64(spread), F.coalesce("hot_parts", F.lit(1))))
+             .drop("hot_key", "hot_parts"))
+    copies = (one.join(hot, F.col(key) == F.col("hot_key"), "left")
+              .withColumn("deal", F.explode(F.sequence(
+                  F.lit(0).cast("long"), F.coalesce("hot_parts", F.lit(1)).cast("long") - 1)))
+              .drop("hot_key", "hot_parts"))
+    return dealt.join(copies, [key, "deal"]).drop("deal")
+
+
 def ship_library(spark: SparkSession) -> None:
     """Give the Python workers this package, as ``--py-files`` would (once per context), and
     batches of texts a bounded number of rows, unless the session sets one."""

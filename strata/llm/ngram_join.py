@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_memory, stored
+from .common import deal_join, release_memory, stored
 from .components import components
 from .substring_dedup import sequence_hashes
 from .words import byte_table, slices, word_hashes
@@ -61,7 +61,6 @@ FRAGMENT_TOKENS = 1 << 20
 PARTS = 4            # fragments of the exact overlap
 HUB_KEYS = 4         # min-hash keys a node
 HUB_ROWS = 4         # nodes from which a bucket has a hub
-HOT_SHARE = 10_000   # a key with more than this part of the rows is dealt out or broadcast
 _CHUNK = 1 << 12
 _LANES = 64
 _TABLE = byte_table()
@@ -235,32 +234,6 @@ def _signed(docs: DataFrame, order, shingle: int, percent: int) -> DataFrame:
     return docs.mapInArrow(sign, SIGNED)
 
 
-# --- hot keys ---------------------------------------------------------------------------
-
-def _hot(rows: DataFrame, key: str, least: int = 1000) -> tuple[DataFrame, int]:
-    """Keys of so many rows that they are dealt out (at most HOT_SHARE), and a part's rows."""
-    limit = max(least, rows.count() // HOT_SHARE)
-    counted = rows.groupBy(F.col(key).alias("hot_key")).agg(F.count(F.lit(1)).alias("hot_n"))
-    return counted.filter(F.col("hot_n") > limit), limit
-
-
-def deal_join(many: DataFrame, one: DataFrame, key: str, spread: str,
-              keys: DataFrame | None = None) -> DataFrame:
-    """Inner join on ``key``; a hot key's rows of ``many`` are dealt out by ``spread``, and the
-    few rows that ``one`` has for it go to every part. ``keys`` may give the keys of ``many``."""
-    hot, limit = _hot((many if keys is None else keys).select(key), key)
-    hot = F.broadcast(stored(hot.select("hot_key", F.ceil(F.col("hot_n") / limit).cast("int")
-                                        .alias("hot_parts")), "hot-keys"))
-    dealt = (many.join(hot, F.col(key) == F.col("hot_key"), "left")
-             .withColumn("deal", F.pmod(F.xxhash64(spread), F.coalesce("hot_parts", F.lit(1))))
-             .drop("hot_key", "hot_parts"))
-    copies = (one.join(hot, F.col(key) == F.col("hot_key"), "left")
-              .withColumn("deal", F.explode(F.sequence(
-                  F.lit(0).cast("long"), F.coalesce("hot_parts", F.lit(1)).cast("long") - 1)))
-              .drop("hot_key", "hot_parts"))
-    return dealt.join(copies, [key, "deal"]).drop("deal")
-
-
 # --- exact overlaps ---------------------------------------------------------------------
 
 def _filter_of(slots: DataFrame) -> np.ndarray:
@@ -316,7 +289,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, order, cuts: np.
     one = deal_join(pairs, sets.withColumnRenamed("node", "x"), "x", "y")
     both = deal_join(one.withColumnRenamed("hashes", "mine"),
                      sets.select(F.col("node").alias("y"), F.col("part").alias("their_part"),
-                                 F.col("hashes").alias("theirs")), "y", "x", pairs)
+                                 F.col("hashes").alias("theirs")), "y", "x", keys=pairs)
     partial = both.filter("part = their_part").select(
         "x", "y", "nx", "ny", F.size(F.array_intersect("mine", "theirs")).alias("overlap"))
     summed = partial.groupBy("x", "y", "nx", "ny").agg(F.sum("overlap").alias("overlap"))

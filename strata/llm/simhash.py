@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import ROW, release_memory, stored
+from .common import ROW, deal_join, hot_parts, release_memory, stored
 from .components import components
 
 SHINGLE = 4
@@ -202,23 +202,28 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def _components_of(marked: DataFrame, max_bits: int) -> DataFrame:
-    """shared (a fingerprint), root, component_id (least id) and n_rows of its component."""
+    """shared (a fingerprint), root, component_id (least id) and n_rows of its component, copies."""
     groups = marked.groupBy("fp").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     reached = components(links(groups.select("fp"), max_bits))
-    named = (groups.join(reached, F.col("fp") == F.col("node"), "left")
-             .select("fp", "first", "n", F.coalesce("root", "fp").alias("root")))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"),
-                                      F.sum("n").alias("n_rows"))
-    return named.join(least, "root").select(F.col("fp").alias("shared"), "root", "component_id",
-                                            "n_rows")
+    named = stored(groups.join(reached, F.col("fp") == F.col("node"), "left")
+                   .select("fp", "first", "n", F.coalesce("root", "fp").alias("root")),
+                   "simhash-roots")
+    least = stored(named.groupBy("root").agg(
+        F.min("first").alias("component_id"), F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("prints")), "simhash-least")
+    hot = hot_parts(least, "root", "prints", named.count())
+    return stored(deal_join(named.select("root", F.col("n").alias("copies"), F.col("fp").alias("shared")),
+                            least.drop("prints"), "root", "shared", hot)
+                  .select("shared", "root", "component_id", "n_rows", "copies"), "simhash-components")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """id, fp and component_id (the smallest id reachable over links) of every row."""
     marked = stored(fingerprints(df, F.col(text_col), shingle, id=F.col(id_col)), "simhash")
-    return (marked.join(_components_of(marked, max_bits), F.col("fp") == F.col("shared"))
-            .select("id", "fp", "component_id"))
+    found = _components_of(marked, max_bits).withColumnRenamed("shared", "fp")
+    hot = hot_parts(found, "fp", "copies", marked.count())
+    return deal_join(marked, found, "fp", "id", hot).select("id", "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
@@ -234,7 +239,9 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
                     "simhash-rows")
     narrow = marked.select("key", "id", "fp")
     shared = _components_of(narrow, max_bits).filter("n_rows > 1")
-    members = stored(narrow.join(shared, F.col("fp") == F.col("shared"))
+    shared = shared.withColumnRenamed("shared", "fp")
+    hot = hot_parts(shared, "fp", "copies", narrow.count())
+    members = stored(deal_join(narrow, shared, "fp", "key", hot)
                      .select("key", "root", F.expr("id <=> component_id").alias("least")),
                      "simhash-members")
     firsts = members.filter("least").groupBy("root").agg(F.min("key").alias("kept"),

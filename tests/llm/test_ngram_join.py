@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from strata.llm import ngram_join
+from strata.llm import common, ngram_join
 from strata.llm.common import ship_library
 
 SCHEMA = "doc_id long, text string, n long, node string, digest int, x long"
@@ -83,9 +83,9 @@ def test_components_equal_brute_force(spark, monkeypatch, bits, load, hub_rows):
 def test_hot_keys_are_dealt_out(spark):
     many = spark.createDataFrame([(i % 3 and 1, i) for i in range(9000)], "k long, v long")
     one = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, w string")
-    hot, limit = ngram_join._hot(many, "k")
-    assert {r.hot_key for r in hot.collect()} == {0, 1} and limit == 1000
-    got = ngram_join.deal_join(many, one, "k", "v").collect()
+    counts = many.groupBy("k").count()
+    assert {r.hot_key: r.hot_parts for r in common.hot_parts(counts, "k", "count", 9000).collect()} == {0: 3, 1: 6}
+    got = common.deal_join(many, one, "k", "v").collect()
     assert sorted((r.k, r.v, r.w) for r in got) == sorted(
         (i % 3 and 1, i, "ab"[i % 3 and 1]) for i in range(9000))
 
