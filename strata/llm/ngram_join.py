@@ -637,18 +637,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = _texts(df, id_col, text_col)
     sketched = global_order(docs, shingle, sketch_bits)
     order = spark.sparkContext.broadcast(sketched)
-    signed = stored(_signed(docs, order, shingle, percent), "jaccard-signed")
+    # Stored with its row, a number names one row of every set, the node, for good.
+    signed = stored(_signed(docs, order, shingle, percent)
+                    .withColumn("node", F.monotonically_increasing_id()), "jaccard-signed")
     full = signed.filter("n > 0")
     nodes = stored(full.groupBy("digest").agg(
-        F.min_by(F.struct("n", "slot", "keys", "common", "tokens"),
-                 F.struct(F.col("id").isNull(), "id")).alias("s"), F.min("id").alias("least"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "least", "s.*"),
-        "jaccard-nodes")
-    cuts = _whole_cuts(nodes, order)
+        F.min_by(F.struct("node", "n", "slot", "keys", "common"),
+                 F.struct(F.col("id").isNull(), "id", "node")).alias("s"), F.min("id").alias("least"))
+        .select("digest", "least", "s.*"), "jaccard-nodes")
+    cuts = _whole_cuts(full, order)
     hub_links = _links(stored(_hub_pairs(nodes, percent), "jaccard-hub-pairs"), nodes, docs, order,
                        cuts, shingle, percent)
-    grouped = stored(_with_roots(nodes.select("node", "n", "tokens"), hub_links, "comp"),
-                     "jaccard-grouped")
+    comps = _with_roots(nodes.select("node", "n"), hub_links, "comp")
+    grouped = stored(full.select("node", "tokens").join(comps, "node"), "jaccard-grouped")
     pairs = stored(_candidates(grouped, order, percent, load), "jaccard-pairs")
     links = hub_links.union(_links(pairs, nodes, docs, order, cuts, shingle, percent))
     rooted = stored(_with_roots(nodes.select("node", "digest", "least"), links, "root"),
