@@ -23,7 +23,7 @@ from .incremental import states
 from .incremental.batches import SILVER_BATCH, Incremental
 from .operators import cells, chartdata, kpi, privacy, quality, windows
 from .plans.pipeline import SILVER_CLOCK_COLUMNS, gold_frames, run_silver, silver_plan
-from .session import scratch_path
+from .session import input_bytes, scratch_path
 from .sources import fixtures, partitions
 from .sources.catalog import TableStore, table_profile, write_gold
 from .sources.delimited import add_audit_columns, read_delimited
@@ -39,6 +39,7 @@ E, S = ROLES.measure, ROLES.sites
 MIN_SITES = privacy.DEFAULT_MIN_SITES
 ROW_CAP = 15_000
 PARTITION_YEAR = 1996
+SLICE_BYTES = 16 << 20  # of the orders file, behind one task that writes small files
 TOP_K = 3
 
 
@@ -320,25 +321,34 @@ def q_kpi_top_regions_incremental(spark, sf_dir):
     return store.read("gold_top_regions_readings").drop("_gold_timestamp")
 
 
-def _orders_by_year(spark, sf_dir, files=1):
+def _orders_by_year(spark, sf_dir, slices=None):
+    """Orders in a partition a year, from tasks of bounded size: every task sorts what it writes."""
     store = TableStore.scratch(spark)
     orders = fixtures.load(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
-    partitions.write_partitions(store, orders.repartition(files), "orders_by_year", "o_year")
+    orders = _balanced(orders, "o_year") if slices is None else orders.repartition(slices)
+    partitions.write_partitions(store, orders, "orders_by_year", "o_year")
     return store
 
 
+def _balanced(df, column):
+    """Few tasks a value, none far above the advisory size: a large value is dealt to several."""
+    return df.hint("rebalance", column)
+
+
 def q_partition_overwrite_one_year(spark, sf_dir):
     # one year is corrected by a plan that reads the table itself; the others stay
     store = _orders_by_year(spark, sf_dir)
     year = store.read("orders_by_year").filter(F.col("o_year") == PARTITION_YEAR)
-    partitions.write_partitions(store, year.withColumn("o_totalprice", -F.col("o_totalprice")),
-                                "orders_by_year", "o_year")
+    year = _balanced(year.withColumn("o_totalprice", -F.col("o_totalprice")), "o_year")
+    partitions.write_partitions(store, year, "orders_by_year", "o_year")
     partitions.drop_superseded(store, "orders_by_year")
     return store.read("orders_by_year")
 
 
 def q_compaction_files_per_year(spark, sf_dir):
-    store = _orders_by_year(spark, sf_dir, files=12)
+    orders = f"{sf_dir.rstrip('/')}/orders.parquet"
+    slices = max(12, -(-input_bytes(spark, [orders]) // SLICE_BYTES))
+    store = _orders_by_year(spark, sf_dir, slices)
     before = partitions.files_per_partition(store, "orders_by_year")
     target = 8 * max(size for sizes in before.values() for size in sizes)
     partitions.compact(store, "orders_by_year", target)

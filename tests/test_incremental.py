@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from strata import queries
 from strata.incremental import states
 from strata.incremental.batches import SILVER_BATCH, Incremental
 from strata.incremental.history import KEY, row_key
@@ -11,7 +12,7 @@ from strata.plans.pipeline import SILVER_CLOCK_COLUMNS, silver_plan
 from strata.sources import fixtures, partitions
 from strata.sources.catalog import TableStore
 from strata.spec import Roles
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 ROLES = Roles()
 E, S = ROLES.measure, ROLES.sites
@@ -240,3 +241,26 @@ def test_compaction_bounds_files_per_partition(spark):
 def test_bins():
     assert partitions.bins([5, 4, 3, 3], 7) == [[5], [4, 3], [3]]
     assert partitions.bins([9, 1], 7) == [[9], [1]] and partitions.bins([], 7) == []
+
+
+def test_year_partitions_are_written_by_tasks_of_bounded_size(spark, monkeypatch, tmp_path):
+    """A task sorts what it writes, so no task takes the whole table, and a large year is shared."""
+    fixtures.load(spark, SF_MID, "orders").repartition(8).write.parquet(f"{tmp_path}/orders.parquet")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        store = queries._orders_by_year(spark, str(tmp_path))
+    finally:
+        spark.conf.set(key, before)
+    orders = fixtures.load(spark, SF_MID, "orders").withColumn("o_year", F.year("o_orderdate"))
+    assert same(store.read("orders_by_year"), orders)
+    sizes = partitions.files_per_partition(store, "orders_by_year")
+    whole_years = sorted(sizes)[:-1]  # the last is short
+    assert len(whole_years) >= 5 and all(len(sizes[y]) > 1 for y in whole_years)
+
+    asked = []
+    monkeypatch.setattr(queries, "SLICE_BYTES", 8 << 10)
+    monkeypatch.setattr(queries, "_orders_by_year", lambda *a, f=queries._orders_by_year: asked.append(a[2]) or f(*a))
+    assert queries.q_compaction_files_per_year(spark, str(tmp_path)).filter("bounded").count() == len(sizes)
+    assert asked[0] > 12
