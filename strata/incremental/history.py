@@ -43,8 +43,8 @@ def row_key(df: DataFrame, columns: list[str] | None = None) -> Column:
     parts = []
     for name in columns or df.columns:
         text = _spelled(F.col(f"`{name}`"), df.schema[name].dataType)
-        parts.append(F.when(F.col(f"`{name}`").isNull(), F.lit("-"))
-                     .otherwise(F.concat(F.char_length(text).cast("string"), F.lit(":"), text)))
+        # No branch holds the text, so it is spelled once a row.
+        parts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.substring(F.unhex(F.sha2(F.concat_ws("", *parts), 256)), 1, 16)
 
 
@@ -107,9 +107,11 @@ class RowHistory:
         name = self.store.qualify(self.table)
         if not self.exists():
             (fresh.select(KEY).limit(0).withColumn(BATCH, F.lit(batch)).write.format(self.store.fmt)
-             .partitionBy(BATCH).bucketBy(self.buckets, KEY).sortBy(KEY).saveAsTable(name))
+             .partitionBy(BATCH).bucketBy(self.buckets, KEY).saveAsTable(name))
             set_names(self.store, self.table, columns=columns)
-        # One task a bucket; the named partition alone is replaced.
+        # One task a bucket; the named partition alone is replaced. Keys lie in no order within a
+        # file: the join sorts what it reads in any case, and sorting files by bucket and key
+        # would work the bucket out anew at every comparison.
         self.store.spark.sql(
             f"INSERT OVERWRITE TABLE {name} PARTITION ({BATCH} = '{batch}') SELECT {KEY} FROM {{entries}}",
             entries=fresh.select(KEY).repartition(self.buckets, KEY))

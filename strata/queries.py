@@ -39,7 +39,7 @@ E, S = ROLES.measure, ROLES.sites
 MIN_SITES = privacy.DEFAULT_MIN_SITES
 ROW_CAP = 15_000
 PARTITION_YEAR = 1996
-SLICE_BYTES = 16 << 20  # of the orders file, behind one task that writes small files
+SLICE_BYTES = 16 << 20  # of an input file, behind one task or bucket of a table written by queries
 TOP_K = 3
 
 
@@ -279,7 +279,9 @@ def _batches(spark, sf_dir):
 
 
 def _fed(spark, sf_dir, gold=False):
-    feed = Incremental(TableStore.scratch(spark), "readings", ROLES, MIN_SITES, buckets=16)
+    lineitem = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    buckets = max(16, -(-input_bytes(spark, [lineitem]) // SLICE_BYTES))
+    feed = Incremental(TableStore.scratch(spark), "readings", ROLES, MIN_SITES, buckets=buckets)
     for n, batch in enumerate(_batches(spark, sf_dir)):
         feed.run_batch(batch, f"batch-{n}", gold)
     return feed

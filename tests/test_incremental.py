@@ -1,5 +1,7 @@
 """Batch by batch equals all at once: rows, metrics, quality report, KPIs; failures and re-runs."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +266,35 @@ def test_year_partitions_are_written_by_tasks_of_bounded_size(spark, monkeypatch
     monkeypatch.setattr(queries, "_orders_by_year", lambda *a, f=queries._orders_by_year: asked.append(a[2]) or f(*a))
     assert queries.q_compaction_files_per_year(spark, str(tmp_path)).filter("bounded").count() == len(sizes)
     assert asked[0] > 12
+
+
+def test_a_batch_is_stored_once_and_its_keys_unsorted(spark, rows, monkeypatch):
+    """Writing an index sorted by key evaluates the bucket at every comparison; cleaned rows are
+    a narrow plan over the stored batch and are not stored a second time."""
+    stored = []
+    monkeypatch.setattr(Incremental, "_staged",
+                        lambda self, df, f=Incremental._staged: stored.append(df.columns) or f(self, df))
+    feed = Incremental(TableStore.scratch(spark), "once", buckets=4)
+    for n, part in enumerate(cut(rows, 2)):
+        feed.run_batch(part, f"b{n}")
+    assert len(stored) == 2 and all(KEY in columns for columns in stored)
+    described = spark.sql(f"DESCRIBE EXTENDED {feed.store.qualify(feed.history.table)}").collect()
+    facts = {r.col_name: r.data_type for r in described}
+    assert facts["Num Buckets"] == "4" and facts.get("Sort Columns", "[]") == "[]"
+    want = whole([rows])
+    assert same(feed.store.read("silver_once").select(*want.columns), want)
+
+
+def test_row_keys_keep_their_spelling(spark):
+    """Keys on record stay comparable: SHA-256 over length-prefixed texts, '-' for NULL."""
+    df = spark.createDataFrame([("é:", None, -0.0, 7), (None, "", 2.5, None)],
+                               "p string, q string, v double, n bigint")
+    want = ["2:é:-3:0.01:7", "-0:3:2.5-"]
+    assert [bytes(r[0]) for r in df.select(row_key(df)).collect()] == [
+        hashlib.sha256(w.encode()).digest()[:16] for w in want]
+
+
+def test_index_buckets_grow_with_the_input(spark, monkeypatch):
+    monkeypatch.setattr(queries, "SLICE_BYTES", 1 << 10)
+    monkeypatch.setattr(Incremental, "run_batch", lambda *args: None)
+    assert queries._fed(spark, SF_SMALL).buckets > 16
