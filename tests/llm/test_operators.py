@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import struct
 
@@ -458,6 +459,27 @@ def test_merge_equals_one_sort():
         assert flags.tolist() == want
 
 
+@pytest.mark.parametrize("pass_bytes", [1, 700, 1 << 16])
+def test_merge_costs_the_same_per_byte_for_many_small_shards(monkeypatch, pass_bytes):
+    """One string a shard, as at large inputs: shards share the sorts, with the same result."""
+    rng = random.Random(pass_bytes)
+    texts = ["".join(rng.choice("ab") for _ in range(58)).encode() for _ in range(12)]
+    groups = [[rng.choice(texts)[rng.randrange(5):] + rng.choice([b"", b"a", b"ba"])] for _ in range(400)]
+    ranks = [[rng.randrange(300)] for _ in groups]
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(suffix_dedup, "_PASS_BYTES", pass_bytes, raising=False)
+    monkeypatch.setattr(np, "argsort", lambda *a, **kw: sorts.append(1) or argsort(*a, **kw))
+    got = suffix_dedup.repeats(groups, ranks)
+    monkeypatch.undo()
+    least: dict[bytes, int] = {}
+    for (s,), (d,) in zip(groups, ranks):
+        for i in range(len(s) - 49):
+            least[s[i:i + 50]] = min(d, least.get(s[i:i + 50], d))
+    for (s,), (d,), flags in zip(groups, ranks, got):
+        assert flags.tolist() == [int(least[s[i:i + 50]] < d) for i in range(len(s) - 49)]
+    assert len(sorts) < 40 or pass_bytes < 1 << 16
+
+
 # --- HTML -------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>
